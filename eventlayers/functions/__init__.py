@@ -4,6 +4,7 @@ from eventlayers.functions.text import (
     basename,
     canonical_uuid,
     is_missing,
+    keep_where,
     nan_to_null,
     strip_text,
     truncate_error,
@@ -25,6 +26,7 @@ __all__ = [
     "is_missing",
     "iso_parts",
     "iso_timestamp",
+    "keep_where",
     "nan_to_null",
     "strip_text",
     "truncate_error",

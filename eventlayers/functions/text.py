@@ -53,3 +53,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     if not floats:
         return df
     return df.withColumns({n: F.when(~F.isnan(df[n]), df[n]) for n in floats})
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows for which the condition holds.
+
+    For conditions on columns that are costly to compute: a filter would be pushed below the
+    projections that compute them, and they would be computed once more above it.
+    """
+    return df.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept")).drop("_kept")

@@ -12,18 +12,20 @@ _PLAIN = r"\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|\+00:00)?\z"
 # Calendar date in extended or basic form; then, after any one character, a time of one to
 # three parts with an optional fraction; then an optional offset of one to three parts.
 _ISO = (
-    r"\A(\d{4})(-?)(\d{2})\2(\d{2})"
-    r"(?:[\s\S](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
-    r"(Z|([+-])(\d{2})(?:(:?)(\d{2})(?:\13(\d{2}))?)?)?)?\z"
+    r"\A(?<y>\d{4})(?<a>-?)(?<m>\d{2})\k<a>(?<d>\d{2})"
+    r"(?:[\s\S](?<h>\d{2})(?:(?<b>:?)(?<i>\d{2})(?:\k<b>(?<s>\d{2})(?:[.,](?<f>\d+))?)?)?"
+    r"(?:Z|(?<sign>[+-])(?<oh>[01]\d|2[0-3])(?:(?<c>:?)(?<oi>[0-5]\d)(?:\k<c>(?<os>[0-5]\d))?)?)?)?\z"
 )
-# Date, time, fraction and offset digits of a match; parts left out are empty.
-_DIGITS = "$1$3$4|$5$7$8|$9|$11$12$14$15"
+# Time and offset of a match, apart; a part left out leaves a gap to fill with zeros.
+_APART = "${y}-${m}-${d} ${h}:${i}:${s}.${f}0|${sign}${oh}:${oi}:${os}"
+_GAP = r"(?<=[ :|])(?=[:.])|(?<=:)\z"
 
 
 def iso_parts(c: Column) -> Column:
-    """[date, time, fraction, offset] digits of a text that is not in the usual form, else null."""
-    matched = (c >= "0001") & ~c.rlike(_PLAIN) & c.rlike(_ISO)
-    return F.when(matched, F.split(F.regexp_replace(c, _ISO, _DIGITS), r"\|"))
+    """[time, offset] of a text that is ISO-8601 but not in the usual form, else null."""
+    matched = ~c.rlike(_PLAIN) & c.rlike(_ISO)
+    apart = F.regexp_replace(F.regexp_replace(c, _ISO, _APART), _GAP, "00")
+    return F.when(matched, F.split(apart, r"\|"))
 
 
 def iso_timestamp(c: Column, parts: Column | None = None) -> Column:
@@ -33,25 +35,10 @@ def iso_timestamp(c: Column, parts: Column | None = None) -> Column:
     Callers over whole layers give `parts`, a column of `iso_parts(c)`, so it is computed once.
     """
     parts = iso_parts(c) if parts is None else parts
-    date, offset = F.get(parts, F.lit(0)), F.get(parts, F.lit(3))
-    time = F.rpad(F.get(parts, F.lit(1)), 6, "0")
-    behind = F.rpad(F.substring(offset, 2, 6), 6, "0")
-
-    def pair(digits: Column, i: int) -> Column:
-        return F.substring(digits, 2 * i + 1, 2)
-
-    wall = F.concat(
-        F.substring(date, 1, 4), F.lit("-"), F.substring(date, 5, 2), F.lit("-"), F.substring(date, 7, 2),
-        F.lit(" "), pair(time, 0), F.lit(":"), pair(time, 1), F.lit(":"), pair(time, 2),
-        F.lit("."), F.rpad(F.get(parts, F.lit(2)), 6, "0"),
-    )
-    hours, minutes, seconds = (pair(behind, i).cast("int") for i in range(3))
-    shift = F.when(offset.startswith("-"), 1).otherwise(-1) * (hours * 3600 + minutes * 60 + seconds)
-    in_range = (hours < 24) & (minutes < 60) & (seconds < 60)
-    # The wall clock is cast before the offset moves it, so 24:00 or 30 February stay null.
-    general = F.when(in_range, F.timestamp_add("SECOND", shift, wall.try_cast("timestamp_ntz")))
-    plain = (c >= "0001") & c.rlike(_PLAIN)
-    return F.when(plain, c.try_cast("timestamp_ntz")).when(parts.isNotNull(), general)
+    wall = F.get(parts, F.lit(0)).try_cast("timestamp_ntz")
+    offset = F.get(parts, F.lit(1)).try_cast("interval hour to second")
+    parsed = F.when(parts.isNotNull(), wall - offset).when(c.rlike(_PLAIN), c.try_cast("timestamp_ntz"))
+    return F.when(c >= "0001", parsed)
 
 
 def epoch_seconds(c: Column, data_type: T.DataType) -> Column:

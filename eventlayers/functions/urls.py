@@ -22,7 +22,9 @@ _SCHEME = r"\A([a-zA-Z][a-zA-Z0-9+.\-]*):"
 
 def url_hierarchy(url: Column) -> Column:
     """The text before query and fragment, without leading controls and inner line breaks."""
-    clean = F.translate(F.ltrim(url, F.lit(_CONTROL_AND_BLANK)), "\t\r\n", "")
+    trimmed = F.ltrim(url, F.lit(_CONTROL_AND_BLANK))
+    broken = trimmed.contains("\t") | trimmed.contains("\r") | trimmed.contains("\n")
+    clean = F.when(broken, F.translate(trimmed, "\t\r\n", "")).otherwise(trimmed)
     return F.substring_index(F.substring_index(clean, "#", 1), "?", 1)
 
 

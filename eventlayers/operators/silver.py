@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlayers.functions import has_valid_host, iso_parts, iso_timestamp, with_url_parts
+from eventlayers.functions import has_valid_host, iso_parts, iso_timestamp, keep_where, with_url_parts
 from eventlayers.schemas import SILVER, names
 
 _COPIED = (
@@ -53,11 +53,11 @@ def bronze_to_silver(bronze: DataFrame, mode: str = "quarantine") -> DataFrame:
         checked = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason")).cast("timestamp_ntz"))
         rows = rows.withColumn("event_time", checked.otherwise(F.col("event_time")))
     else:
-        rows = rows.filter("reason IS NULL")
+        rows = keep_where(rows, F.col("reason").isNull())
     return rows.select(*names(SILVER))
 
 
 def silver_rejects(bronze: DataFrame) -> DataFrame:
     """The rows that stay behind, with their reason and raw time text."""
-    rows = classify(bronze).filter("reason IS NOT NULL")
+    rows = keep_where(classify(bronze), F.col("reason").isNotNull())
     return rows.drop("event_time", *_FROM_URL)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlayers.functions import canonical_uuid, epoch_seconds
+from eventlayers.functions import canonical_uuid, epoch_seconds, keep_where
 
 
 class Star(NamedTuple):
@@ -65,12 +65,12 @@ def process_records(
     """Split records into rows to append to the three tables and the records left out."""
     optional = {c: F.lit(None).cast("string") for c in ("browser", "device") if c not in records.columns}
     rows = checked(records.withColumns(optional) if optional else records)
-    valid = rows.filter("session_uuid IS NOT NULL")
+    valid = keep_where(rows, F.col("session_uuid").isNotNull())
     return Star(
         new_users(valid, users),
         new_sessions(valid, sessions, order),
         event_facts(valid, event_key),
-        rows.filter("session_uuid IS NULL").drop("session_uuid"),
+        keep_where(rows, F.col("session_uuid").isNull()).drop("session_uuid"),
     )
 
 

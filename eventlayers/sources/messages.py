@@ -6,11 +6,13 @@ The operators work on frames of the MESSAGE schema, batch or streaming; only
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlayers.functions import nan_to_null
+from eventlayers.functions import keep_where, nan_to_null
 from eventlayers.schemas import BRONZE, EXTRA, MESSAGE, OPTIONAL_KEYS, REQUIRED_KEYS, names
 
 # Fixed values of the topic and its clients.
@@ -25,7 +27,6 @@ _PRODUCER = {
 }
 FLUSH_SECONDS = 5
 
-_TEXT_MAP = "map<string,string>"
 _UNPARSED = "_unparsed"
 _DECODED = T.StructType(
     [
@@ -37,6 +38,7 @@ _DECODED = T.StructType(
         T.StructField(_UNPARSED, T.StringType()),
     ]
 )
+_STRICT = {"columnNameOfCorruptRecord": _UNPARSED, "allowSingleQuotes": "false"}
 
 
 def topic_options(
@@ -86,18 +88,16 @@ def encode(events: DataFrame, *keep: str | Column) -> DataFrame:
 
 def _message_keys(text: Column) -> Column:
     # json_object_keys gives up on NaN and Infinity, which the decoder accepts.
-    return F.coalesce(
-        F.json_object_keys(text),
-        F.map_keys(F.from_json(text, _TEXT_MAP)),
-    )
+    return F.coalesce(F.json_object_keys(text), F.map_keys(F.from_json(text, "map<string,string>")))
 
 
-def _extra_is_wrong(extra: Column) -> Column:
-    def wrong(key: str, kind: str) -> Column:
-        raw = F.try_element_at(extra, F.lit(key))
-        return raw.isNotNull() & raw.try_cast(kind).isNull()
+def _payload(extra: Column, name: str, kind: T.DataType) -> Column:
+    return F.try_element_at(extra, F.lit(name)).try_cast(kind)
 
-    return wrong("scroll_depth", "int") | wrong("basket_value", "double")
+
+def _is_wrong(extra: Column, name: str, kind: T.DataType) -> Column:
+    there = F.try_element_at(extra, F.lit(name)).isNotNull()
+    return F.coalesce(there & _payload(extra, name, kind).isNull(), F.lit(False))
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -106,42 +106,39 @@ def decode(messages: DataFrame) -> DataFrame:
     A bad message never takes its neighbours along: it stays in the frame with a reason,
     and with the text it came with.
     """
-    text = F.col("raw_value")
-    decoded = F.from_json(
-        text, _DECODED, {"columnNameOfCorruptRecord": _UNPARSED, "allowSingleQuotes": "false"}
-    )
+    text, keys, extra = F.col("raw_value"), F.col("_keys"), F.col("_row.extra")
     parsed = messages.select(
         F.col("value").cast("string").alias("raw_value"), "topic", "partition", "offset", "timestamp"
-    ).select("*", decoded.alias("d"), _message_keys(text).alias("keys"))
+    ).select("*", F.from_json(text, _DECODED, _STRICT).alias("_row"), _message_keys(text).alias("_keys"))
 
     known = F.array(*map(F.lit, REQUIRED_KEYS + OPTIONAL_KEYS))
     required = F.array(*map(F.lit, REQUIRED_KEYS))
     whole = F.rtrim(text).endswith("}") & F.is_valid_utf8(text)
-    extra = F.col("d.extra")
-    wrong_type = F.col(f"d.{_UNPARSED}").isNotNull() | F.coalesce(_extra_is_wrong(extra), F.lit(False))
+    wrong_type = reduce(
+        Column.__or__,
+        (_is_wrong(extra, f.name, f.dataType) for f in EXTRA if f.dataType != T.StringType()),
+        F.col(f"_row.{_UNPARSED}").isNotNull(),
+    )
     reason = (
-        F.when(F.col("keys").isNull() | ~F.coalesce(whole, F.lit(False)), "bad_json")
-        .when(F.size(F.array_except("keys", known)) > 0, "unknown_keys")
-        .when(F.size(F.array_except(required, F.col("keys"))) > 0, "missing_keys")
+        F.when(keys.isNull() | ~F.coalesce(whole, F.lit(False)), "bad_json")
+        .when(F.size(F.array_except(keys, known)) > 0, "unknown_keys")
+        .when(F.size(F.array_except(required, keys)) > 0, "missing_keys")
         .when(wrong_type, "wrong_type")
     )
-
-    def payload(key: str, kind: T.DataType) -> Column:
-        return F.try_element_at(extra, F.lit(key)).try_cast(kind).alias(key)
-
     # An absent payload is an empty one; a payload written as null stays null.
-    no_extra = ~F.array_contains("keys", "extra")
-    lifted = F.when(extra.isNotNull() | no_extra, F.struct(*(payload(f.name, f.dataType) for f in EXTRA)))
-    unnamed = F.array_except(F.map_keys(extra), F.array(*map(F.lit, names(EXTRA))))
-    other = F.when(
-        F.size(unnamed) > 0,
-        F.map_from_arrays(unnamed, F.transform(unnamed, lambda k: F.try_element_at(extra, k))),
+    no_payload = ~F.array_contains(keys, "extra")
+    lifted = F.when(
+        extra.isNotNull() | no_payload,
+        F.struct(*(_payload(extra, f.name, f.dataType).alias(f.name) for f in EXTRA)),
     )
+    has_other = F.size(F.array_except(F.map_keys(extra), F.array(*map(F.lit, names(EXTRA))))) > 0
+    other = F.map_filter(extra, lambda name, _: ~name.isin(*names(EXTRA)))
+    plain = [n for n in names(_DECODED) if n not in ("extra", _UNPARSED)]
     return nan_to_null(
         parsed.select(
-            *(F.col(f"d.{n}").alias(n) for n in names(_DECODED) if n not in ("extra", _UNPARSED)),
+            *(F.col(f"_row.{n}").alias(n) for n in plain),
             lifted.alias("extra"),
-            other.alias("extra_other"),
+            F.when(has_other, other).alias("extra_other"),
             "topic",
             "partition",
             "offset",
@@ -153,11 +150,12 @@ def decode(messages: DataFrame) -> DataFrame:
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter("reason IS NULL").select(*names(BRONZE))
+    return keep_where(decoded, F.col("reason").isNull()).select(*names(BRONZE))
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
-    return decoded.filter("reason IS NOT NULL").select("topic", "partition", "offset", "raw_value", "reason")
+    bad = keep_where(decoded, F.col("reason").isNotNull())
+    return bad.select("topic", "partition", "offset", "raw_value", "reason")
 
 
 def next_offsets(messages: DataFrame) -> DataFrame:
