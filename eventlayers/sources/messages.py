@@ -25,7 +25,9 @@ _PRODUCER = {
     "kafka.batch.size": "32768",
     "kafka.retries": "3",
 }
+# A small batch is due after this many seconds, or this many messages.
 FLUSH_SECONDS = 5
+FLUSH_MESSAGES = 100
 
 _UNPARSED = "_unparsed"
 _DECODED = T.StructType(

@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlayers.operators import archive, gold, ledger, marts, monitoring, runs, silver
@@ -31,6 +32,16 @@ from eventlayers.schemas import (
 )
 from eventlayers.sources import layers, messages
 
+# Triggers: work off what is there and stop, or follow the topic in small batches.
+DRAIN = {"availableNow": True}
+FOLLOW = {"processingTime": f"{messages.FLUSH_SECONDS} seconds"}
+
+# What a hop reads of its layer; columns left out here are not read from the files.
+_BRONZE_READ = T.StructType([f for f in BRONZE if f.name != "extra_other"])
+_SILVER_READ = T.StructType(
+    [f for f in SILVER if f.name in (*names(GOLD_PAGE_VIEW), *names(GOLD_PRODUCT_EVENT))]
+)
+
 # Routes of a layer: its rows and the rows left out of it. Gold has its two outputs as routes.
 ROWS, QUARANTINE = "rows", "quarantine"
 
@@ -62,7 +73,8 @@ class Layout:
 
     root: str
     archive_root: str | None = None
-    max_bytes_per_trigger: str | None = None
+    # Bounds a batch, so that a backlog is worked off in steps that commit one by one.
+    max_bytes_per_trigger: str | None = "1t"
 
     def layer(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -167,7 +179,7 @@ def _start(
     query = (
         stream.writeStream.queryName(job)
         .option("checkpointLocation", layout.layer(f"checkpoints/{job}"))
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**(trigger or DRAIN))
         .foreachBatch(write)
         .start()
     )
@@ -189,7 +201,7 @@ def _event_date() -> Column:
 def ingest(topic: DataFrame, layout: Layout, trigger: dict | None = None, **hooks) -> Job:
     """Topic messages to the raw layer and its quarantine, by message date.
 
-    The default trigger drains the topic; `{"processingTime": "5 seconds"}` follows it.
+    The default trigger drains the topic; FOLLOW keeps going in small batches.
     """
 
     def transform(batch: DataFrame) -> DataFrame:
@@ -207,7 +219,7 @@ def ingest(topic: DataFrame, layout: Layout, trigger: dict | None = None, **hook
 
 def bronze_to_silver(spark: SparkSession, layout: Layout, **hooks) -> Job:
     stream = layers.stream_layer(
-        spark, layout.layer("bronze"), BRONZE, ROWS,
+        spark, layout.layer("bronze"), _BRONZE_READ, ROWS,
         layout.archive("bronze"), layout.max_bytes_per_trigger,
     )
 
@@ -227,7 +239,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, **hooks) -> Job:
 def silver_to_gold(spark: SparkSession, layout: Layout, **hooks) -> Job:
     """Both gold outputs in one write: read once, committed together."""
     stream = layers.stream_layer(
-        spark, layout.layer("silver"), SILVER, ROWS,
+        spark, layout.layer("silver"), _SILVER_READ, ROWS,
         layout.archive("silver"), layout.max_bytes_per_trigger,
     )
 

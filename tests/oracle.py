@@ -1,5 +1,6 @@
 """Compare a Spark result with DuckDB's, order-insensitively, by column name."""
 
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -39,8 +40,9 @@ def rows(frame: pd.DataFrame) -> list[str]:
 
 
 def compare(spark_frame, con, sql: str) -> tuple[int, list, list]:
+    """Row count, and up to three rows only one side has (or has more often)."""
     got = spark_frame.toPandas()
     want = con.execute(sql).df()
     assert sorted(got.columns) == sorted(want.columns), (sorted(got.columns), sorted(want.columns))
-    g, w = rows(got), rows(want)
-    return len(g), [x for x in g if x not in set(w)][:3], [x for x in w if x not in set(g)][:3] if g != w else []
+    g, w = Counter(rows(got)), Counter(rows(want))
+    return len(got), list(g - w)[:3], list(w - g)[:3]

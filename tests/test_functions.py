@@ -1,0 +1,284 @@
+"""Column rules against Python's own parsers."""
+
+import uuid
+from datetime import datetime, timedelta, timezone
+from urllib.parse import urlparse
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventlayers import functions as fn
+
+# One Spark job per example, so few examples of many values each.
+few = settings(
+    max_examples=6,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow, HealthCheck.data_too_large, HealthCheck.large_base_example],
+)
+
+
+def column(spark, values):
+    rows = [(i, v) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "i int, v string").repartition(4)
+
+
+def evaluate(spark, values, expression):
+    rows = column(spark, values).select("i", expression.alias("x")).collect()
+    return [r.x for r in sorted(rows, key=lambda r: r.i)]
+
+
+# --- missing texts -------------------------------------------------------------------------
+
+
+def python_is_missing(v):
+    return v is None or v.strip().lower() in {"", "nan", "none", "null"}
+
+
+def test_is_missing(spark):
+    values = [None, "", "  ", " NaN ", "none", "NULL", "\t\nnull\r", "\xa0nan　", "nanx", "p1", "no ne", "0"]
+    assert evaluate(spark, values, fn.is_missing(F.col("v"))) == list(map(python_is_missing, values))
+
+
+@few
+@given(st.lists(st.text(alphabet=" \t\x1c  nNaAoOeEuUlLx", max_size=6), min_size=150, max_size=200))
+def test_is_missing_any_text(spark, values):
+    assert evaluate(spark, values, fn.is_missing(F.col("v"))) == list(map(python_is_missing, values))
+
+
+# --- URLs ----------------------------------------------------------------------------------
+
+
+def python_url(v):
+    split = urlparse(v)
+    parts = [p for p in split.path.split("/") if p][:3]
+    return (split.netloc, split.path, *(parts + [None] * 3)[:3])
+
+
+def spark_urls(spark, values):
+    rows = fn.with_url_parts(column(spark, values), "v").collect()
+    return [tuple(r)[2:] for r in sorted(rows, key=lambda r: r.i)]
+
+
+URLS = [
+    "https://shop.example.com/category/components/brakes?x=1#top",
+    "https://user:pw@Shop.Example.com:8443/a/b;v=1/c;w=2;x",
+    "//host/path",
+    "/only/path",
+    "mailto:a@b.c;d",
+    "no scheme at all/x",
+    "https://h",
+    "https://h?q=/product/z",
+    "https://h/a//b///c/d",
+    "",
+    "  \x01https://h/x",
+    "ht\ntps://h/\tx",
+    "1http://h/x",
+    "HTTP://H/x;y",
+    "custom://h/x;y",
+    "https:/one/slash",
+    "https://h/#a?b",
+    "?q",
+    "#f",
+    "a b/c",
+]
+
+
+def test_url_parts(spark):
+    assert spark_urls(spark, URLS) == list(map(python_url, URLS))
+
+
+@few
+@given(st.lists(st.text(alphabet="htps:/?#;@.a1+- \t\né", max_size=14), min_size=150, max_size=200))
+def test_url_parts_any_text(spark, values):
+    assert spark_urls(spark, values) == list(map(python_url, values))
+
+
+def test_null_url_has_no_parts(spark):
+    assert spark_urls(spark, [None]) == [(None,) * 5]
+
+
+def test_unpaired_brackets_are_invalid(spark):
+    values = ["https://[::1]/x", "https://[bad/x", "https://bad]/x", "https://h/[x", None]
+    df = fn.with_url_parts(column(spark, values), "v").withColumn(
+        "ok", fn.has_valid_host(F.col("v"), F.col("page_host"))
+    )
+    assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, True, False]
+
+
+# --- times ---------------------------------------------------------------------------------
+
+
+def python_time(v):
+    try:
+        parsed = datetime.fromisoformat(v)
+    except (ValueError, TypeError):
+        return None
+    if parsed.tzinfo:
+        try:
+            parsed = parsed.astimezone(timezone.utc).replace(tzinfo=None)
+        except OverflowError:
+            return None
+    return parsed
+
+
+TIMES = [
+    "2026-05-17T12:00:00+00:00",
+    "2026-05-17T12:00:00.123456+00:00",
+    "2026-05-17T12:00:00.5Z",
+    "2026-05-17T12:00:00",
+    "2026-05-17 12:00:00",
+    "2026-05-17T12:00:00+02:00",
+    "2026-05-17T12:00:00-23:59:59",
+    "2026-05-17T12:00Z",
+    "2026-05-17T12",
+    "2026-05-17",
+    "20260517",
+    "20260517T120000",
+    "20260517T120000.25+0530",
+    "20260517T12:00",
+    "2026-05-17T120000",
+    "2026-05-17T12:00:00,123456789",
+    "2026-02-30T12:00:00",
+    "2026-05-17T25:00:00",
+    "2026-05-17T12:60:00",
+    "2026-05-17T12:00:00+24:00",
+    "0000-01-01T00:00:00",
+    "0001-01-01T00:00:00",
+    "9999-12-31T23:59:59",
+    "2026-0517",
+    "2026",
+    "12:00:00",
+    "yesterday",
+    "",
+    " 2026-05-17",
+    "2026-05-17T12:00:00 ",
+    "2026-05-17T12:00:00z",
+    "2026-05-17T1:00:00",
+    "2026-5-17",
+]
+
+
+def test_iso_timestamp(spark):
+    got = evaluate(spark, TIMES, fn.iso_timestamp(F.col("v")))
+    assert dict(zip(TIMES, got)) == {v: python_time(v) for v in TIMES}
+    assert evaluate(spark, [None], fn.iso_timestamp(F.col("v"))) == [None]
+
+
+def test_iso_timestamp_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        values = ["2026-03-08T02:30:00", "2026-05-17T12:00:00+02:00", "20260517T120000Z"]
+        assert evaluate(spark, values, fn.iso_timestamp(F.col("v"))) == list(map(python_time, values))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+offsets = st.timedeltas(timedelta(hours=-23, minutes=-59), timedelta(hours=23, minutes=59)).map(
+    lambda d: timezone(timedelta(minutes=d // timedelta(minutes=1)))
+)
+
+
+@few
+@given(
+    st.lists(
+        st.datetimes(datetime(1900, 1, 1), datetime(2200, 1, 1), timezones=st.none() | offsets).map(
+            datetime.isoformat
+        ),
+        min_size=100,
+        max_size=150,
+    )
+)
+def test_iso_timestamp_any_time(spark, values):
+    assert evaluate(spark, values, fn.iso_timestamp(F.col("v"))) == list(map(python_time, values))
+
+
+@few
+@given(
+    # Offset minutes stay below 60: Python takes 99 of them, we do not.
+    st.lists(
+        st.from_regex(
+            r"\A20\d\d-?[01]\d-?[0-3]\d[T ]?[0-2]?\d:?[0-6]\d?:?\d*[.,]?\d*[Z+-]?[0-2]?\d?:?[0-5]?\d?\Z"
+        ),
+        min_size=60,
+        max_size=90,
+    )
+)
+def test_iso_timestamp_near_misses(spark, values):
+    ascii_only = [v for v in values if v.isascii() and "T24" not in v and " 24" not in v]
+    got = evaluate(spark, ascii_only, fn.iso_timestamp(F.col("v")))
+    assert dict(zip(ascii_only, got)) == {v: python_time(v) for v in ascii_only}
+
+
+def test_epoch_seconds(spark):
+    values = ["2024-01-01T00:00:01.9", "1969-12-31T23:59:59.5", "2024-01-01T02:00:00+02:00", "nope"]
+    got = evaluate(spark, values, fn.epoch_seconds(F.col("v"), T.StringType()))
+    assert got == [1704067201, 0, 1704067200, None]
+    numbers = spark.range(1).select(fn.epoch_seconds(F.col("id"), T.LongType()).alias("x"))
+    assert numbers.first().x is None
+    times = spark.sql("SELECT timestamp'2024-01-01 00:00:01.9' AS t")
+    assert times.select(fn.epoch_seconds(F.col("t"), T.TimestampType()).alias("x")).first().x == 1704067201
+
+
+def test_dated_object_name(spark):
+    row = spark.sql("SELECT timestamp_ntz'2026-05-17 12:34:56.789' AS t").select(
+        fn.dated_object_name(F.col("t")).alias("x")
+    )
+    assert row.first().x == "2026/05/17/events_20260517_123456_789000.parquet"
+
+
+# --- uuids ---------------------------------------------------------------------------------
+
+
+def python_uuid(v):
+    try:
+        return str(uuid.UUID(v))
+    except (ValueError, TypeError, AttributeError):
+        return None
+
+
+def test_canonical_uuid(spark):
+    u = "0F8FAD5B-d9cb-469f-a165-70867728950e"
+    values = [u, u.replace("-", ""), "{" + u + "}", "urn:uuid:" + u, "{{" + u, "uuid:" + u, u[:-1], u + "0",
+              u.replace("0", "g"), "", None, "session-1"]
+    assert evaluate(spark, values, fn.canonical_uuid(F.col("v"))) == list(map(python_uuid, values))
+
+
+@few
+@given(
+    st.lists(
+        st.uuids().flatmap(
+            lambda u: st.sampled_from([str(u), u.hex, "{%s}" % u, u.urn, u.urn.upper(), str(u)[1:], u.hex + "a"])
+        ),
+        min_size=100,
+        max_size=150,
+    )
+)
+def test_canonical_uuid_any(spark, values):
+    assert evaluate(spark, values, fn.canonical_uuid(F.col("v"))) == list(map(python_uuid, values))
+
+
+# --- the rest ------------------------------------------------------------------------------
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(1.0, "NaN", 1), (float("nan"), None, 2), (None, "x", 3)], "a double, b string, c int")
+    assert [tuple(r) for r in fn.nan_to_null(df).orderBy("c").collect()] == [(1.0, "NaN", 1), (None, None, 2), (None, "x", 3)]
+
+
+def test_truncate_and_basename(spark):
+    assert evaluate(spark, ["x" * 600], fn.truncate_error(F.col("v"))) == ["x" * 500]
+    assert evaluate(spark, ["a/b/c.parquet", "c"], fn.basename(F.col("v"))) == ["c.parquet", "c"]
+
+
+def test_keep_where_computes_costly_columns_once(spark):
+    df = column(spark, ["1", "x", None]).withColumn("n", F.col("v").try_cast("int"))
+    kept = fn.keep_where(df, F.col("n").isNotNull())
+    assert [r.v for r in kept.collect()] == ["1"]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("try_cast") == 1
+
+
+if __name__ == "__main__":
+    pytest.main([__file__])
