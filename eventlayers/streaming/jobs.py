@@ -74,7 +74,7 @@ class Layout:
     root: str
     archive_root: str | None = None
     # Bounds a batch, so that a backlog is worked off in steps that commit one by one.
-    max_bytes_per_trigger: str | None = "1t"
+    max_bytes_per_trigger: str | None = str(1 << 40)
 
     def layer(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
