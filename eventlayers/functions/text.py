@@ -14,6 +14,8 @@ _WHITESPACE = "".join(
     map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)))
 ) + "".join(map(chr, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
+_UUID = r"\A" + "".join(r"([0-9a-f]{%d})" % n for n in (8, 4, 4, 4, 12)) + r"\z"
+
 # Fixed value: longest error text a task or run keeps.
 ERROR_LENGTH = 500
 
@@ -43,8 +45,7 @@ def canonical_uuid(c: Column) -> Column:
     bare = F.replace(F.replace(c, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
     bare = F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit(""))
     low = F.lower(bare)
-    parts = [F.substring(low, pos, n) for pos, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(bare.rlike(r"\A[0-9a-fA-F]{32}\z"), F.concat_ws("-", *parts))
+    return F.nullif(F.regexp_replace(low, _UUID, "$1-$2-$3-$4-$5"), low)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -19,6 +19,9 @@ def build_session(app: str = "eventlayers", master: str | None = None, **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # The JVM does not compile methods above this size; Spark's own limit lets them through.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

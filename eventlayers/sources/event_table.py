@@ -183,8 +183,10 @@ def files(events: DataFrame) -> DataFrame:
 
 def session_records(events: DataFrame) -> DataFrame:
     """Star records: session ids in four spellings of a UUID, some unreadable or missing."""
-    digest = F.md5(F.concat_ws("/", _text("user_id"), day(F.col("ts"))).cast("binary"))
-    canonical = canonical_uuid(digest)
+    digest, canonical = F.col("_digest"), F.col("_canonical")
+    events = events.withColumn(
+        "_digest", F.md5(F.concat_ws("/", _text("user_id"), day(F.col("ts"))).cast("binary"))
+    ).withColumn("_canonical", canonical_uuid(digest))
     form = F.col("event_id") % 17
     session = (
         F.when(form == 0, F.concat(F.lit("session-"), _text(F.col("event_id") % 5)))
