@@ -538,7 +538,12 @@ class _CrashOnce:
             raise RuntimeError("crash between write and commit")
 
 
-def _drained(spark: SparkSession, sf: str, crash: bool = False) -> jobs.Layout:
+_MARTS = (gold.PAGE_VIEWS, gold.PRODUCT_EVENTS)
+
+
+def _drained(
+    spark: SparkSession, sf: str, crash: bool = False, tables: tuple[str, ...] = _MARTS
+) -> jobs.Layout:
     """The events table as a topic, carried to the marts by the streaming jobs."""
     layout = jobs.Layout(scratch_dir(spark, "layers"))
     topic = et.topic_messages(et.stream_events(spark, sf))
@@ -555,17 +560,15 @@ def _drained(spark: SparkSession, sf: str, crash: bool = False) -> jobs.Layout:
     settle(lambda **h: jobs.ingest(topic, layout, **h))
     settle(lambda **h: jobs.bronze_to_silver(spark, layout, **h))
     settle(lambda **h: jobs.silver_to_gold(spark, layout, **h))
-    for table in (gold.PAGE_VIEWS, gold.PRODUCT_EVENTS):
+    for table in tables:
         settle(lambda table=table, **h: jobs.load_mart(spark, layout, table, **h))
     return layout
 
 
 def _layer_rows(spark: SparkSession, layout: jobs.Layout) -> DataFrame:
-    files = {"bronze": "bronze", "silver": "silver", "gold": "gold", "mart_page_views": "mart_page_views",
-             "mart_product_events": "mart_product_events"}
     parts = [
-        spark.read.schema("route string").parquet(layout.layer(folder)).select(F.lit(name).alias("layer"), "route")
-        for name, folder in files.items()
+        spark.read.schema("route string").parquet(layout.layer(name)).select(F.lit(name).alias("layer"), "route")
+        for name in ("bronze", "silver", "gold", "mart_page_views", "mart_product_events")
     ]
     rows = reduce(DataFrame.unionByName, parts)
     return rows.groupBy("layer", "route").agg(F.count("*").alias("n"))
@@ -581,12 +584,14 @@ def stream_replay_no_duplicates(spark, sf):
 
 
 def stream_mart_page_views(spark, sf):
-    rows = jobs.read_mart(spark, _drained(spark, sf), gold.PAGE_VIEWS)
+    layout = _drained(spark, sf, tables=(gold.PAGE_VIEWS,))
+    rows = jobs.read_mart(spark, layout, gold.PAGE_VIEWS)
     return rows.drop("created_at", "event_date")
 
 
 def stream_mart_product_events(spark, sf):
-    rows = jobs.read_mart(spark, _drained(spark, sf), gold.PRODUCT_EVENTS)
+    layout = _drained(spark, sf, tables=(gold.PRODUCT_EVENTS,))
+    rows = jobs.read_mart(spark, layout, gold.PRODUCT_EVENTS)
     return rows.drop("created_at", "event_date").withColumn("price", F.col("price").cast("double"))
 
 

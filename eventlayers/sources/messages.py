@@ -25,9 +25,8 @@ _PRODUCER = {
     "kafka.batch.size": "32768",
     "kafka.retries": "3",
 }
-# A small batch is due after this many seconds, or this many messages.
+# Fixed value: how often a followed topic is written out.
 FLUSH_SECONDS = 5
-FLUSH_MESSAGES = 100
 
 _UNPARSED = "_unparsed"
 _DECODED = T.StructType(
@@ -44,17 +43,19 @@ _STRICT = {"columnNameOfCorruptRecord": _UNPARSED, "allowSingleQuotes": "false"}
 
 
 def topic_options(
-    servers: str, topic: str = TOPIC, max_offsets_per_trigger: int | None = None
+    servers: str,
+    topic: str = TOPIC,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    options = {
+    """Kafka source options. `min_partitions` cuts topic partitions into more tasks than there are."""
+    limits = {"maxOffsetsPerTrigger": max_offsets_per_trigger, "minPartitions": min_partitions}
+    return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
-    }
-    if max_offsets_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    return options
+    } | {name: str(value) for name, value in limits.items() if value}
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC, **limits: int) -> DataFrame:

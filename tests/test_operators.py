@@ -403,3 +403,31 @@ def test_referrer_is_the_page_before(spark):
     for (session, step), row in by_step.items():
         before = by_step[(session, step - 1)].page_url if step else "https://shop.example.com/home"
         assert row.referrer_url == before
+
+
+# --- skew ----------------------------------------------------------------------------------
+
+
+def test_one_key_with_a_third_of_all_rows(spark):
+    """One page, product, user and session hold a third of the rows; nothing is lost or capped."""
+    n = 30_000
+    hot = F.col("id") % 3 == 0
+    key = F.when(hot, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 1000).cast("string")))
+    rows = spark.range(n).select(
+        F.lit("2026-05-17 00:00:00").cast("timestamp_ntz").alias("event_time"), key.alias("session_id"),
+        key.alias("user_id"), key.alias("page_url"), key.alias("product_id"), F.lit(1.5).alias("price"),
+        F.lit("A").alias("ab_group"), (F.col("id") % 100).cast("int").alias("scroll_depth"), F.col("id"),
+    )
+    top = analytics.top_landing_pages(rows, 1).first()
+    assert (top.page_url, top.page_views, top.bounces) == ("hot", 10_000, 3_000)
+    assert tuple(analytics.top_products(rows, 1).first()) == ("hot", 10_000, 15_000.0)
+    distinct = rows.select("session_id").distinct().count()
+    assert tuple(analytics.ab_test_summary(rows, rows).first()) == ("A", n, distinct, n)
+    assert analytics.user_sessions(rows, "hot").first().page_views == 10_000
+    requests = rows.select(
+        F.lit("ARCHIVE").alias("event_type"), F.lit("web_events").alias("dataset"), F.lit("bronze").alias("layer"),
+        key.alias("partition_key"), F.col("id").alias("request_id"), F.lit("IN_PROGRESS").alias("to_status"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    taken, refused = ledger.apply_transitions(log(spark, task("hot")), requests, F.lit(NOW), F.lit(9))
+    assert taken.count() == 1 and refused.count() == n - 1
