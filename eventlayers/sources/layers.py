@@ -1,6 +1,7 @@
 """Layer folders: `<layer>/writer=<query id>/batch_id=<n>/route=<output>/<date>=.../part-*.parquet`.
 
-A batch is written by overwriting its own folder, so a replayed batch replaces itself.
+A batch owns its folder. It is written to a hidden folder and renamed, and a replayed batch
+that is already there is left alone, so readers never see a file twice or half a batch.
 All outputs of a batch (good rows, quarantine, the two marts) are routes of one write.
 """
 
@@ -138,11 +139,33 @@ def batch_folder(root: str, writer: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/writer={writer}/batch_id={batch_id}"
 
 
-def write_batch(rows: DataFrame, folder: str, partition_by: list[str]) -> None:
-    """Replace the batch's folder. No rows, no files."""
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def is_published(spark: SparkSession, folder: str) -> bool:
+    fs, marker = _file_system(spark, f"{folder}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def publish_batch(rows: DataFrame, root: str, writer: str, batch_id: int, partition_by: list[str]) -> None:
+    """Write a batch out of sight and show it as a whole. No rows, no files.
+
+    Readers of the layer skip `_staging`, so they never see part of a batch; where the file
+    system renames folders in one step, neither does a crash leave part of one behind.
+    """
     session = rows.sparkSession
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    staging = batch_folder(f"{root.rstrip('/')}/_staging", writer, batch_id)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    fs, target = _file_system(session, batch_folder(root, writer, batch_id))
+    _, source = _file_system(session, staging)
+    if fs.exists(target):  # a rename that a crash cut short, on a store without folder renames
+        fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not publish {target.toString()}")
 
 
 def write_layer(rows: DataFrame, path: str, partition_by: list[str]) -> None:

@@ -1,8 +1,9 @@
 """Layer hops as checkpointed streaming queries.
 
-Each hop reads the new files of a layer, transforms them and writes one folder per batch.
-A replayed batch overwrites its own folders (rows, file tasks, watermark), so a crash at
-any point leaves no duplicates. One run at a time, as with any checkpoint.
+Each hop reads the new files of a layer, transforms them and publishes one folder per batch.
+A replayed batch finds its rows published, or publishes them; it overwrites its own file
+tasks and watermark. So a crash at any point leaves no duplicates, and a hop may run while
+the one before it does. One run of a hop at a time, as with any checkpoint.
 """
 
 from __future__ import annotations
@@ -162,12 +163,20 @@ def _start(
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        read, kept = Observation(), Observation()
-        rows = transform(batch.observe(read, F.count("*").alias(read_count)))
-        rows = rows.observe(kept, *(c.alias(n) for n, c in measured.items()))
-        folder = layers.batch_folder(layout.layer(target), writer, batch_id)
-        layers.write_batch(arrange(rows) if arrange else rows, folder, ["route", date])
-        line = {"batch_id": batch_id, **read.get, **kept.get}
+        root = layout.layer(target)
+        folder = layers.batch_folder(root, writer, batch_id)
+        values = [c.alias(n) for n, c in measured.items()]
+        if layers.is_published(session, folder):
+            # Replayed after its rows were published: count what is there.
+            there = "route string" + (", event_time timestamp_ntz" if watermark else "")
+            shown = session.read.schema(there).parquet(folder).agg(*values).first().asDict()
+            line = {"batch_id": batch_id, read_count: batch.count(), **shown}
+        else:
+            read, kept = Observation(), Observation()
+            rows = transform(batch.observe(read, F.count("*").alias(read_count))).observe(kept, *values)
+            rows = arrange(rows) if arrange else rows
+            layers.publish_batch(rows, root, writer, batch_id, ["route", date])
+            line = {"batch_id": batch_id, **read.get, **kept.get}
         if source:
             _hand_over(session, layout, source, folder, writer, batch_id)
         if watermark:

@@ -122,10 +122,17 @@ def test_crash_between_write_and_commit_leaves_no_duplicates(spark, tmp_path):
         lambda **h: jobs.load_mart(spark, layout, gold.PAGE_VIEWS, **h),
         lambda **h: jobs.load_mart(spark, layout, gold.PRODUCT_EVENTS, **h),
     ]
-    for start in starts:
+    targets = ("bronze", "silver", "gold", "mart_page_views", "mart_product_events")
+    for start, target in zip(starts, targets):
         with pytest.raises(Exception, match="crash after write"):
             jobs.finish(start(after_write=CrashOnce()))
-        jobs.finish(start())
+        before = sorted(Path(layout.layer(target)).rglob("*.parquet"))
+        replayed = jobs.finish(start())
+        # The replay leaves the published files alone, so no later hop reads them twice.
+        assert before and sorted(Path(layout.layer(target)).rglob("*.parquet")) == before
+        assert len(replayed.batches) == 1
+    # Counters of a replay equal those of the run it completes.
+    assert replayed.total("loaded_product_events_count") == expected(sessions(spark, 30))[1]
     total = sessions(spark, 30).count()
     views, products = expected(sessions(spark, 30))
     assert counts(spark, layout) == {
@@ -140,6 +147,30 @@ def test_crash_between_write_and_commit_leaves_no_duplicates(spark, tmp_path):
     assert jobs.read_log(spark, layout, "watermarks").count() == 2
 
 
+def test_crash_while_writing_leaves_nothing_to_see(spark, tmp_path, monkeypatch):
+    from eventlayers.sources import layers
+
+    layout = jobs.Layout(str(tmp_path / "layers"))
+    send(spark, tmp_path / "topic", 0, 10)
+    real = layers._file_system
+
+    def no_rename(session, path):
+        if "_staging" in path:
+            raise RuntimeError("crash while writing")
+        return real(session, path)
+
+    monkeypatch.setattr(layers, "_file_system", no_rename)
+    with pytest.raises(Exception, match="crash while writing"):
+        jobs.finish(jobs.ingest(topic(spark, tmp_path / "topic"), layout))
+    monkeypatch.undo()
+    assert list(Path(layout.layer("bronze")).glob("_staging/**/*.parquet"))
+    assert not list(Path(layout.layer("bronze")).glob("writer=*/**/*.parquet"))
+    jobs.finish(jobs.ingest(topic(spark, tmp_path / "topic"), layout))
+    total = sessions(spark, 10).count()
+    assert counts(spark, layout, ("bronze",)) == {"bronze": {"rows": total}}
+    assert jobs.finish(jobs.bronze_to_silver(spark, layout)).total("silver_count") == total
+
+
 def test_failed_hop_marks_the_run_failed(spark, tmp_path):
     layout = jobs.Layout(str(tmp_path / "layers"))
     send(spark, tmp_path / "topic", 0, 5)
