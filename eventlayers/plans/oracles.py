@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
         SELECT 'gold', CAST(sum(files) AS BIGINT), CAST(sum(rows) AS BIGINT) FROM per_layer WHERE layer LIKE 'gold_%'""",
     "generated_sessions_invariants": "SELECT count(*) AS sessions, "
     + ", ".join(
-        f"0 AS {name}"
+        f"CAST(0 AS BIGINT) AS {name}"
         for name in (
             "bad_length", "bad_times", "bad_end", "bad_identity", "bad_rows", "bad_first", "bad_commerce",
             "bad_price", "bad_purchase", "bad_scroll", "bad_payment", "bad_basket", "bad_host",

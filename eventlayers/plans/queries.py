@@ -228,9 +228,11 @@ def _task_log(files: DataFrame) -> DataFrame:
         "created_at": F.col("modified_at"),
     }
     return files.select("*", F.explode(history).alias("s")).select(
-        *(values.get(f.name, F.col(f"s.{f.name}") if f.name not in values else None)
-          .cast(f.dataType).alias(f.name) for f in TASK_LOG)
-    )
+        *(
+            (values[f.name] if f.name in values else F.col(f"s.{f.name}")).cast(f.dataType).alias(f.name)
+            for f in TASK_LOG
+        )
+    )
 
 
 def _utc_text(*columns: str) -> dict[str, Column]:

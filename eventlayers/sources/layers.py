@@ -149,7 +149,17 @@ def is_published(spark: SparkSession, folder: str) -> bool:
     return fs.exists(marker)
 
 
-def publish_batch(rows: DataFrame, root: str, writer: str, batch_id: int, partition_by: list[str]) -> None:
+def lookup_options(column: str) -> dict[str, str]:
+    """Writer options that let a reader looking for one value skip files which do not have it."""
+    return {
+        f"parquet.bloom.filter.enabled#{column}": "true",
+        f"parquet.bloom.filter.expected.ndv#{column}": "200000",
+    }
+
+
+def publish_batch(
+    rows: DataFrame, root: str, writer: str, batch_id: int, partition_by: list[str], **options: str
+) -> None:
     """Write a batch out of sight and show it as a whole. No rows, no files.
 
     Readers of the layer skip `_staging`, so they never see part of a batch; where the file
@@ -158,7 +168,7 @@ def publish_batch(rows: DataFrame, root: str, writer: str, batch_id: int, partit
     session = rows.sparkSession
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
     staging = batch_folder(f"{root.rstrip('/')}/_staging", writer, batch_id)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(staging)
     fs, target = _file_system(session, batch_folder(root, writer, batch_id))
     _, source = _file_system(session, staging)
     if fs.exists(target):  # a rename that a crash cut short, on a store without folder renames

@@ -151,6 +151,7 @@ def _start(
     source: str | None = None,
     watermark: bool = False,
     arrange: Callable[[DataFrame], DataFrame] | None = None,
+    options: dict[str, str] | None = None,
     trigger: dict | None = None,
     after_write: Callable[[int], None] | None = None,
 ) -> Job:
@@ -175,7 +176,7 @@ def _start(
             read, kept = Observation(), Observation()
             rows = transform(batch.observe(read, F.count("*").alias(read_count))).observe(kept, *values)
             rows = arrange(rows) if arrange else rows
-            layers.publish_batch(rows, root, writer, batch_id, ["route", date])
+            layers.publish_batch(rows, root, writer, batch_id, ["route", date], **(options or {}))
             line = {"batch_id": batch_id, **read.get, **kept.get}
         if source:
             _hand_over(session, layout, source, folder, writer, batch_id)
@@ -266,7 +267,7 @@ def silver_to_gold(spark: SparkSession, layout: Layout, **hooks) -> Job:
 
 
 def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
-    """One gold output to its mart, clustered by date and sorted by the mart's lookup key."""
+    """One gold output to its mart, clustered by date, sorted and indexed by the mart's lookup key."""
     row, _, target, sort_key, counter = _MARTS[table]
     stream = layers.stream_layer(
         spark, layout.layer("gold"), row, table, layout.archive(table), layout.max_bytes_per_trigger
@@ -280,7 +281,7 @@ def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
         stream, layout, f"load_{target}", target, transform,
         {counter: F.count_if(F.col("route") == ROWS)}, "gold_rows",
         source=table, arrange=lambda r: marts.clustered(r, "route", "event_date", sort_key=sort_key),
-        **hooks,
+        options=layers.lookup_options(sort_key), **hooks,
     )
 
 

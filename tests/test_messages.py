@@ -155,3 +155,10 @@ def test_legacy_files_with_null_typed_columns(spark, tmp_path):
 def test_flatten_batches(spark):
     df = spark.sql("SELECT array(array(struct(1 AS a), struct(2 AS a)), array(), array(struct(3 AS a))) AS b")
     assert sorted(r.a for r in layers.flatten_batches(df, "b").collect()) == [1, 2, 3]
+
+
+def test_write_layer_appends_by_partition(spark, tmp_path):
+    rows = spark.sql("SELECT 1L AS id, DATE'2026-05-17' AS event_date")
+    for _ in range(2):
+        layers.write_layer(rows, str(tmp_path / "layer"), ["event_date"])
+    assert spark.read.parquet(str(tmp_path / "layer")).filter("event_date = DATE'2026-05-17'").count() == 2
