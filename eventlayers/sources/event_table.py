@@ -142,7 +142,8 @@ def raw_events(events: DataFrame, faults: bool = True) -> DataFrame:
 def topic_messages(events: DataFrame, faults: bool = True) -> DataFrame:
     """Raw rows as topic messages, in which `faults` breaks some of the JSON texts."""
     rows = raw_events(events, faults)
-    sent = encode(rows, "event_id", "topic", "partition", "offset", F.col("sent_at").cast("timestamp").alias("timestamp"))
+    sent_at = F.col("sent_at").cast("timestamp").alias("timestamp")
+    sent = encode(rows, "event_id", "topic", "partition", "offset", sent_at)
     value = F.col("value").cast("string")
     if faults:
         body = F.substr(value, F.lit(1), F.length(value) - 1)
@@ -168,7 +169,8 @@ def silver_events(events: DataFrame) -> DataFrame:
 
 
 def hourly_file(ts: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy/MM/dd"), F.lit("/events_"), F.date_format(ts, "yyyyMMdd_HH"), F.lit(".parquet"))
+    folder, hour = F.date_format(ts, "yyyy/MM/dd"), F.date_format(ts, "yyyyMMdd_HH")
+    return F.concat(folder, F.lit("/events_"), hour, F.lit(".parquet"))
 
 
 def files(events: DataFrame) -> DataFrame:

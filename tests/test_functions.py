@@ -16,7 +16,12 @@ from eventlayers import functions as fn
 few = settings(
     max_examples=6,
     deadline=None,
-    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow, HealthCheck.data_too_large, HealthCheck.large_base_example],
+    suppress_health_check=[
+        HealthCheck.function_scoped_fixture,
+        HealthCheck.too_slow,
+        HealthCheck.data_too_large,
+        HealthCheck.large_base_example,
+    ],
 )
 
 
