@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -124,3 +125,27 @@ def finish(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+class WordTable:
+    """Rows of numbers per distinct word, computed once and kept by a worker while they are few enough."""
+
+    def __init__(self, compute, most: int = 250_000):
+        self.compute, self.most = compute, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.rows: np.ndarray | None = None
+
+    def ids(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The row of each word of the texts, one after the other; valid until the next call."""
+        if len(self.index) > self.most:
+            self._clear()
+        known = len(self.index)
+        index = self.index
+        out = np.fromiter((index.setdefault(w, len(index)) for t in texts for w in t), np.int64)
+        if len(index) > known or self.rows is None:
+            new = self.compute(list(islice(index, known, None)))
+            self.rows = new if self.rows is None else np.concatenate([self.rows, new])
+        return out

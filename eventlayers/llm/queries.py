@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventlayers.llm import bpe, packing, quality, token_counts, vptree
+from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, token_counts, vptree
 from eventlayers.llm.common import read_table
 
 
+def op1_pii(spark, sf):
+    return pii.pii_report(read_table(spark, sf, "documents"))
+
+
+def op2_lm_scoring(spark, sf):
+    return ppm.score_texts(read_table(spark, sf, "documents"))
+
+
 def op4_token_counts(spark, sf):
     return token_counts.count_tokens(read_table(spark, sf, "documents"))
 
@@ -24,12 +32,19 @@ def op8_quality_rules(spark, sf):
     return quality.quality_rules(read_table(spark, sf, "documents"))
 
 
+def op9_language_id(spark, sf):
+    return langid.language_id(read_table(spark, sf, "documents")).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op10_bpe(spark, sf):
     return bpe.encode_digests(read_table(spark, sf, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_token_counts, op6_best_fit_packing, op7_nearest_neighbours, op8_quality_rules, op10_bpe)
-}
+    for f in (
+        op1_pii, op2_lm_scoring, op4_token_counts, op6_best_fit_packing, op7_nearest_neighbours,
+        op8_quality_rules, op9_language_id, op10_bpe,
+    )
+}
 ORACLES: dict[str, str] = {}

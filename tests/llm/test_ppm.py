@@ -1,0 +1,96 @@
+"""Partial matching against a trie that is walked byte by byte."""
+
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from eventlayers.llm import ppm
+
+ORDER = ppm.ORDER
+
+
+def trie(texts):
+    counts = defaultdict(Counter)
+    for t in texts:
+        past = bytes(ORDER)
+        for s in [*t, 256]:
+            for k in range(ORDER + 1):
+                counts[k, past[ORDER - k :]][s] += 1
+            past = (past + bytes([s & 255]))[1:]
+    return counts
+
+
+def log_probability(counts, past, s):
+    total, out = 0.0, set()
+    for k in range(ORDER, -1, -1):
+        seen = counts.get((k, past[ORDER - k :]), {})
+        left = {x: n for x, n in seen.items() if x not in out}
+        if not left:
+            continue
+        whole = 2 * sum(left.values())
+        if s in left:
+            return total + math.log10((2 * left[s] - 1) / whole)
+        total += math.log10(len(left) / whole)
+        out |= set(left)
+    return total - math.log10(257 - len(out))
+
+
+def brute(rows):
+    train = [(t or "").encode() for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2]
+    counts = trie(train)
+    words = Counter(w for t in train for w in [*t.lower().split(), None])
+    n, v = sum(words.values()), len(words)
+    for i, t in rows:
+        t = (t or "").encode()
+        tokens = [*t.lower().split(), None]
+        past, score = bytes(ORDER), 0.0
+        for s in [*t, 256]:
+            score += log_probability(counts, past, s)
+            past = (past + bytes([s & 255]))[1:]
+        base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in tokens)
+        held = zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+        yield i, held, len(tokens), sum(words[w] > 0 for w in tokens), n, base, score
+
+
+def compare(got, want):
+    key = lambda r: (repr(r[:5]), r[5], r[6])
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for g, w in zip(got, want):
+        assert g[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
+def test_scores(spark, texts):
+    rows = [(i, t) for i, t in texts if len(t or "") < 9000]
+    frame = spark.createDataFrame([(i, t, 0.0) for i, t in rows], "doc_id bigint, text string, score double")
+    compare(ppm.score_texts(frame, group_bytes=60_000).collect(), brute(rows))
+
+
+def test_few_texts_with_zero_bytes(spark):
+    rng = random.Random(1)
+    rows = [(i, "".join(rng.choices(["a", "b", "\0", "é", " "], k=rng.randint(0, 30)))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compare(ppm.score_texts(frame, group_bytes=200).collect(), brute(rows))
+
+
+def test_probabilities_add_up():
+    counts = trie([b"abracadabra", b"banana band"])
+    for past in (bytes(5), b"\0\0\0ab", b"dabra", b"zzzzz", b"banan"):
+        assert sum(10 ** log_probability(counts, past, s) for s in range(257)) == pytest.approx(1)
+
+
+def test_empty_and_untrained(spark, empty):
+    assert ppm.score_texts(empty).count() == 0
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    row = ppm.score_texts(spark.createDataFrame([(held, "ab")], "doc_id bigint, text string")).first()
+    assert row.score == pytest.approx(-3 * math.log10(257)) and row.train_tokens == 0
+
+
+def test_better_than_two_bits_and_a_half_a_byte_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = ppm.score_texts(docs).where("held_out").join(docs.selectExpr("doc_id", "octet_length(text) n"), "doc_id")
+    row = held.selectExpr("sum(score) s", "sum(n) n").first()
+    assert -row.s / math.log10(2) / row.n < 2.5
