@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, token_counts, vptree
+from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, token_counts, toxicity, vptree
 from eventlayers.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op4_token_counts(spark, sf):
     return token_counts.count_tokens(read_table(spark, sf, "documents"))
 
 
+def op5_toxicity(spark, sf):
+    return toxicity.score_toxicity(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 def op6_best_fit_packing(spark, sf):
     return packing.pack_documents(read_table(spark, sf, "documents"))
 
@@ -43,7 +47,7 @@ def op10_bpe(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii, op2_lm_scoring, op4_token_counts, op6_best_fit_packing, op7_nearest_neighbours,
+        op1_pii, op2_lm_scoring, op4_token_counts, op5_toxicity, op6_best_fit_packing, op7_nearest_neighbours,
         op8_quality_rules, op9_language_id, op10_bpe,
     )
 }
