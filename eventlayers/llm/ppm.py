@@ -20,23 +20,24 @@ No task holds more than one group or one shard, and nothing that grows with the
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventlayers.llm.common import chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
 
 ORDER = 5
 END = 256
 SYMBOLS = 257
-#: Bytes of text in a group of documents, and of the parts in which a group is scored.
-GROUP_BYTES = 12 << 20
+#: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
+#: and bytes of the parts in which a group is read.
+GROUP_BYTES, GROUPS, LEAST_BYTES = 48 << 20, 12, 4 << 20
 CHUNK_BYTES = 1 << 20
+PACK_BYTES = 32 << 20
 SHARDS = 64
 WORD = -1
 
@@ -62,60 +63,82 @@ def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes[real], lengths
 
 
-def with_group(docs: DataFrame, group_bytes: int, folds: int, held: int) -> DataFrame:
-    """Adds the fold and a group number; a group has about `group_bytes` of text."""
+def dealt(docs: DataFrame, group_bytes: int, folds: int, held: int) -> DataFrame:
+    """`part, docs`: the documents with their fold, dealt to groups; each row holds what a batch has of one group, as a
+    compressed Arrow stream, since texts cross shuffles twice."""
     rows = id_and_text(docs).withColumn("held_out", fold_of(F.col("doc_id"), folds) == held)
     total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    groups = max(1, -(-total // group_bytes))
+    groups = max(1, -(-total // group_bytes), min(GROUPS, -(-total // min(LEAST_BYTES, group_bytes))))
 
-    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
-            small = pa.array([squeeze(t) for t in text_bytes(batch.column(1))], pa.binary())
-            yield batch.set_column(1, "text", small)
+            part = batch.column(3).to_numpy()
+            for some in chunks([len(t) for t in text_bytes(batch.column(1))], PACK_BYTES):
+                for p in np.unique(part[some]):
+                    own = batch.take(pa.array(some.start + np.flatnonzero(part[some] == p)))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, own.schema, options=options) as writer:
+                        writer.write_batch(own)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p], pa.int32()), pa.array([sink.getvalue().to_pybytes()])], names=["part", "docs"]
+                    )
 
-    # A text longer than a group is one row and cannot be dealt further. Texts cross shuffles compressed.
+    # A text longer than a group is one row and cannot be dealt further.
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
-    return rows.mapInArrow(shrink, row_schema(docs, "text binary, held_out boolean, part int"))
+    return rows.mapInArrow(pack, "part int, docs binary")
 
 
-def unshrink(column: pa.ChunkedArray) -> list[bytes]:
-    grow = zstandard.ZstdDecompressor().decompress
-    return [grow(t) for t in column.to_pylist()]
+def unpacked(table: pa.Table) -> Iterator[tuple[pa.Table, list[bytes]]]:
+    """The documents of a group in parts of about `CHUNK_BYTES`, with their texts."""
+    for packed in table.column("docs"):
+        docs = pa.ipc.open_stream(packed.as_buffer()).read_all()
+        texts = text_bytes(docs.column(1).combine_chunks())
+        for some in chunks([len(t) for t in texts], CHUNK_BYTES):
+            yield docs.slice(some.start, some.stop - some.start), texts[some]
 
 
 def group_statistics(rows: DataFrame) -> DataFrame:
     """`part, code, word, n`: what each group asks for, with its training counts; the empty word is the end."""
 
     def count(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        texts = unshrink(table.column("text"))
-        held = table.column("held_out").to_pylist()
-        words: Counter[bytes] = Counter()
+        words: dict[bytes, int] = {}
         codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for training in (True, False):
-            some = [t for t, h in zip(texts, held) if h != training]
-            for piece in chunks([len(t) for t in some], 4 * CHUNK_BYTES):
-                got, n = np.unique(gram_codes(some[piece])[0], return_counts=True)
-                both = np.concatenate([codes, got])
-                codes, at = np.unique(both, return_inverse=True)
-                n = np.concatenate([counts, n if training else np.zeros(len(n), np.int64)])
-                counts = np.bincount(at, n, len(codes)).astype(np.int64)
-                for t in some[piece]:
-                    if training:
-                        words.update(t.lower().split())
-                    else:
-                        words.update(dict.fromkeys(t.lower().split(), 0))
-            words[b""] += len(some) if training else 0
+        new: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def settle() -> None:
+            nonlocal codes, counts
+            all_codes = np.concatenate([codes, *(c for c, _ in new)])
+            all_counts = np.concatenate([counts, *(n for _, n in new)])
+            new.clear()
+            codes, at = np.unique(all_codes, return_inverse=True)
+            counts = np.bincount(at, all_counts, len(codes)).astype(np.int64)
+
+        for docs, texts in unpacked(table):
+            held = docs.column("held_out").to_pylist()
+            for training in (True, False):
+                some = [t for t, h in zip(texts, held) if h != training]
+                if not some:
+                    continue
+                got, n = np.unique(gram_codes(some)[0], return_counts=True)
+                new.append((got, n if training else np.zeros(len(n), np.int64)))
+                step = int(training)
+                for t in some:
+                    for w in [*t.lower().split(), b""]:
+                        words[w] = words.get(w, 0) + step
+            if len(new) > 8:
+                settle()
+        settle()
+        part = table.column("part")[0].as_py()
         return pa.table({
-            "part": pa.array([part] * (len(codes) + len(words)), pa.int32()),
+            "part": pa.array(np.full(len(codes) + len(words), part, np.int32)),
             "code": np.concatenate([codes, np.full(len(words), WORD)]),
-            "word": pa.array([None] * len(codes) + list(words), pa.binary()),
+            "word": pa.concat_arrays([pa.nulls(len(codes), pa.binary()), pa.array(words.keys(), pa.binary())]),
             "n": np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))]),
         })
 
     schema = "part int, code bigint, word binary, n bigint"
-    return rows.select("part", "text", "held_out").groupBy("part").applyInArrow(count, schema)
+    return rows.groupBy("part").applyInArrow(count, schema)
 
 
 def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -179,13 +202,17 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     end alone. Rows are scored one by one, so repeated rows get repeated results and count as often in training; an
     empty table gives no rows; without training rows every byte has the same probability.
     """
-    rows = with_group(docs, group_bytes, folds, held)
+    rows = dealt(docs, group_bytes, folds, held)
     asked = materialise(group_statistics(rows), "gram-counts")
-    grams = asked.where(F.col("code") != WORD).groupBy("code").agg(F.sum("n").alias("n"))
-    words = asked.where(F.col("code") == WORD).groupBy("word").agg(F.sum("n").alias("n"))
-    grams, words = materialise(grams, "grams"), materialise(words, "words")
-    known = words.agg(F.sum("n").alias("tokens"), F.count_if(F.col("n") > 0).alias("kinds")).first()
-    tokens, kinds = known["tokens"] or 0, known["kinds"] or 0
+    grams = materialise(asked.where(F.col("code") != WORD).groupBy("code").agg(F.sum("n").alias("n")), "grams")
+    # One shuffle gives each group's words their counts in all groups; a word is in a group once.
+    word = Window.partitionBy("word")
+    words = asked.where(F.col("code") == WORD).select(
+        "part", "word", F.sum("n").over(word).cast("double").alias("value"), (F.min("part").over(word) == F.col("part")).alias("first")
+    )
+    words = materialise(words, "words")
+    known = words.where("first").agg(F.sum("value").alias("tokens"), F.count_if(F.col("value") > 0).alias("kinds")).first()
+    tokens, kinds = int(known["tokens"] or 0), known["kinds"] or 0
     # At most 256 contexts of one byte times 257 symbols: bounded whatever the corpus.
     low = np.zeros((256, SYMBOLS))
     pair = F.shiftright("code", 9).bitwiseAND(255)
@@ -202,37 +229,31 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     answers = (
         asked.where(F.col("code") != WORD).select("part", "code").join(priced, "code")
         .select("part", "code", F.lit(None).cast("binary").alias("word"), "value")
-        .unionByName(
-            asked.where(F.col("code") == WORD).select("part", "code", "word")
-            .join(words.select("word", F.col("n").cast("double").alias("value")), "word")
-            .select("part", "code", "word", "value")
-        )
+        .unionByName(words.select("part", F.lit(WORD).cast("long").alias("code"), "word", "value"))
     )
 
+    rest = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    schema = row_schema(docs, rest)
+
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         code, value = answers.column("code").to_numpy(), answers.column("value").to_numpy()
         is_word = code == WORD
         found = dict(zip(answers.column("word").filter(pa.array(is_word)).to_pylist(), value[is_word].tolist()))
         order = np.argsort(code[~is_word])
         codes, log_p = code[~is_word][order], value[~is_word][order]
-        texts = unshrink(table.column("text"))
-        n_tokens, n_known, base, total = [], [], [], []
         floor = np.log10(tokens + kinds + 1)
-        for piece in chunks([len(t) for t in texts], CHUNK_BYTES):
-            got, lengths = gram_codes(texts[piece])
-            total.append(sum_by(log_p[np.searchsorted(codes, got)], lengths))
-            split = [[*t.lower().split(), b""] for t in texts[piece]]
+        out = [pa.table([[], [], [], [], [], [], []], schema=to_arrow_schema(schema))]
+        for docs, texts in unpacked(table):
+            got, lengths = gram_codes(texts)
+            split = [[*t.lower().split(), b""] for t in texts]
             counts = np.fromiter((found[w] for t in split for w in t), np.float64)
             many = np.fromiter(map(len, split), np.int64, len(split))
-            n_tokens.append(many)
-            n_known.append(sum_by(counts > 0, many).astype(np.int64))
-            base.append(sum_by(np.log10(counts + 1) - floor, many))
-        return pa.table({
-            "doc_id": table.column("doc_id"), "held_out": table.column("held_out"),
-            "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
-            "train_tokens": np.full(len(texts), int(tokens)), "base_score": np.concatenate(base),
-            "score": np.concatenate(total),
-        })
+            out.append(pa.table({
+                "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": many,
+                "n_known": sum_by(counts > 0, many).astype(np.int64), "train_tokens": np.full(len(texts), tokens),
+                "base_score": sum_by(np.log10(counts + 1) - floor, many),
+                "score": sum_by(log_p[np.searchsorted(codes, got)], lengths),
+            }, schema=out[0].schema))
+        return pa.concat_tables(out)
 
-    rest = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, row_schema(docs, rest))
+    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, schema)
