@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, token_counts, toxicity, vptree
+from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, sigtree, token_counts, toxicity, vptree
 from eventlayers.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op2_lm_scoring(spark, sf):
     return ppm.score_texts(read_table(spark, sf, "documents"))
 
 
+def op3_jaccard_join(spark, sf):
+    return sigtree.similar_documents(read_table(spark, sf, "documents"))
+
+
 def op4_token_counts(spark, sf):
     return token_counts.count_tokens(read_table(spark, sf, "documents"))
 
@@ -47,7 +51,7 @@ def op10_bpe(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii, op2_lm_scoring, op4_token_counts, op5_toxicity, op6_best_fit_packing, op7_nearest_neighbours,
+        op1_pii, op2_lm_scoring, op3_jaccard_join, op4_token_counts, op5_toxicity, op6_best_fit_packing, op7_nearest_neighbours,
         op8_quality_rules, op9_language_id, op10_bpe,
     )
 }
