@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlayers.functions import keep_where
 from eventlayers.llm.common import WHITE
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -87,22 +88,23 @@ def repeated_words(words: Column, width: int = 3) -> Column:
     return let(windows(words), covered).cast("long")
 
 
-def with_metrics(docs: DataFrame) -> DataFrame:
-    """`doc_id` and the measured columns of every document."""
-    text = F.coalesce(docs["text"], F.lit(""))
-    base = docs.select("doc_id", text.alias("text"), words_of(text).alias("words"))
+def metrics() -> list[Column]:
+    """The measures, of the columns `text` and `words`."""
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    stop = F.array(*map(F.lit, sorted(set(STOP_WORDS))))
-    return base.select(
-        "doc_id",
+    stop_words = sorted(set(STOP_WORDS))
+    return [
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.size(lines).cast("long").alias("n_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.size(F.filter("words", lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS))))).cast("long").alias("n_stop_words"),
-    )
+        F.size(F.filter("words", lambda w: F.lower(w).isin(*stop_words))).cast("long").alias("n_stop_words"),
+    ]
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def passes(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -123,9 +125,20 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     A null or empty text has no words and fails the base rule. Rows are judged one by one, so repeated rows get
     repeated results; an empty table gives no rows; other columns of the input are not read.
     """
-    rows = with_metrics(docs)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), words_of(text).alias("words")).select("doc_id", *metrics())
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & passes(rules)).alias("kept"),
+        base_failed().alias("base_failed"), (~base_failed() & passes(rules)).alias("kept"),
     )
+
+
+def keep_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of `docs`, with all their columns, that the rules keep."""
+    names = docs.columns
+    text = F.coalesce(docs["text"], F.lit(""))
+    inner = docs.select(*(docs[c].alias(f"_c{i}") for i, c in enumerate(names)), text.alias("text"))
+    rows = inner.select(*inner.columns, words_of(F.col("text")).alias("words"))
+    measured = rows.select(*(f"_c{i}" for i in range(len(names))), *metrics())
+    kept = keep_where(measured, ~base_failed() & passes(rules))
+    return kept.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
