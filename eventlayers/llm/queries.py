@@ -55,4 +55,49 @@ QUERIES = {
         op8_quality_rules, op9_language_id, op10_bpe,
     )
 }
-ORACLES: dict[str, str] = {}
+_STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
+
+ORACLES: dict[str, str] = {
+    "op7_nearest_neighbours": """
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        d AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_distance(q.e, v.e) AS score
+            FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+    "op8_quality_rules": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+            FROM documents),
+        t AS (
+            SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+            FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+        s AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM t) WHERE n > 1),
+        c AS (
+            SELECT rid, count(DISTINCT p) AS n_repeat_words
+            FROM (SELECT rid, i + unnest([0, 1, 2]) AS p FROM s) GROUP BY rid),
+        l AS (
+            SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM d),
+        m AS (
+            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+                   len(lines) AS n_lines, len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS n_stop
+            FROM d JOIN l USING (rid) LEFT JOIN c USING (rid)),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 14
+                   AND n_symbols / greatest(n_words, 1) <= 0.25 AND n_stop / greatest(n_words, 1) >= 0.01
+                   AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AS kept
+        FROM b
+    """,
+}
