@@ -60,6 +60,26 @@ def with_url_parts(df: DataFrame, url: str = "page_url") -> DataFrame:
     )
 
 
+_GROUP = "[0-9A-Fa-f]{1,4}"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_LAST_AS_V4 = rf"(?<=:){_OCTET}(?:\.{_OCTET}){{3}}\z"
+_WHOLE_V6 = rf"\A{_GROUP}(?::{_GROUP}){{7}}\z"
+_SHORT_V6 = rf"\A(?:{_GROUP}(?::{_GROUP})*)?::(?:{_GROUP}(?::{_GROUP})*)?\z"
+_FUTURE = r"\Av[0-9A-Fa-f]+\..+\z"
+
+
+def _is_ip_literal(text: Column) -> Column:
+    """An IPv6 address, with or without a zone, or one of a future version (`v<hex>.<text>`)."""
+    zone = F.substring_index(text, "%", 1)
+    zoned = ~text.contains("%") | text.rlike(r"\A[^%]*%[^%]+\z")
+    address = F.regexp_replace(zone, _LAST_AS_V4, "0:0")
+    groups = F.size(F.array_remove(F.split(address, ":"), ""))
+    v6 = address.rlike(_WHOLE_V6) | (address.rlike(_SHORT_V6) & (groups <= 7))
+    return F.when(text.startswith("v"), text.rlike(_FUTURE)).otherwise(zoned & v6)
+
+
 def has_valid_host(url: Column, host: Column) -> Column:
-    """False for a null URL and for unpaired brackets around the host, which no parser accepts."""
-    return url.isNotNull() & (host.contains("[") == host.contains("]"))
+    """False for a null URL, for a bracket without its partner, and where the first brackets hold no IP literal."""
+    opens, closes = host.contains("["), host.contains("]")
+    inside = F.substring_index(F.substr(host, F.instr(host, "[") + 1), "]", 1)
+    return url.isNotNull() & ((~opens & ~closes) | (opens & closes & _is_ip_literal(inside)))

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from eventlayers.operators import ledger
 
-# Fixed value: tasks per archive run when the caller names no limit.
-ARCHIVE_LIMIT = 50
-
 LAYERS = ("bronze", "silver", "gold_page_views", "gold_product_events")
 
 
@@ -21,17 +18,15 @@ def default_routes(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, layer string, source string, archive string")
 
 
-def archive_plan(tasks: DataFrame, routes: DataFrame, limit: int = ARCHIVE_LIMIT) -> DataFrame:
-    """Open archive tasks with source and target; a task without a route carries its error.
+def archive_plan(tasks: DataFrame, routes: DataFrame, limit: int | None = None) -> DataFrame:
+    """All open archive tasks with source and target; a task without a route carries its error.
 
     `routes` is the handful of layer folders, so it is broadcast.
     """
     todo = ledger.pending_tasks(
         tasks, event_type=ledger.ARCHIVE, dataset=ledger.DATASET, limit=limit
     )
-    unknown = F.concat(
-        F.lit("Unknown dataset/layer for archive: "), F.col("dataset"), F.lit("/"), F.col("layer")
-    )
+    unknown = F.concat(F.lit("no archive folder is set for "), F.col("dataset"), F.lit("/"), F.col("layer"))
     return todo.join(F.broadcast(routes), ["dataset", "layer"], "left").select(
         *(todo[c] for c in ledger.TASK_KEY),
         "attempts",

@@ -98,13 +98,13 @@ def pending_tasks(
     event_type: str | None = None,
     dataset: str | None = None,
     layer: str | None = None,
-    limit: int = PENDING_LIMIT,
+    limit: int | None = PENDING_LIMIT,
 ) -> DataFrame:
-    """Open tasks, longest untouched first."""
+    """Open tasks, longest untouched first; without a limit all of them, in no order."""
     asked = {"event_type": event_type, "dataset": dataset, "layer": layer}
     given = [F.col(k) == v for k, v in asked.items() if v]
     found = reduce(DataFrame.filter, given, tasks.filter(is_open(F.col("status"), F.col("attempts"))))
-    return found.orderBy("updated_at", *_KEY).limit(limit)
+    return found.orderBy("updated_at", *_KEY).limit(limit) if limit is not None else found
 
 
 def latest_tasks(tasks: DataFrame, limit: int = LATEST_LIMIT) -> DataFrame:

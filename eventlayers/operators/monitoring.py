@@ -15,13 +15,20 @@ def file_counts(rows: DataFrame, layer: str, file: str = "object_name") -> DataF
     )
 
 
-def layer_stats(*counts: DataFrame) -> DataFrame:
-    """Rows and files of every layer in `counts`, and of both gold layers together as `gold`."""
+def layer_stats(*counts: DataFrame, layers: tuple[str, ...] = ()) -> DataFrame:
+    """Rows and files of every layer in `counts`, and of both gold layers together as `gold`.
+
+    Those of `layers` that have no files get a row of zeros.
+    """
     files = reduce(DataFrame.unionByName, counts)
     layer = F.col("layer")
     groups = F.when(layer.startswith("gold_"), F.array(layer, F.lit("gold"))).otherwise(F.array(layer))
+    found = files.select(F.explode(groups).alias("layer"), "rows")
+    known = files.sparkSession.createDataFrame([(n,) for n in layers], "layer string").withColumn(
+        "rows", F.lit(None).cast("long")
+    )
     return (
-        files.select(F.explode(groups).alias("layer"), "rows")
+        found.unionByName(known)
         .groupBy("layer")
-        .agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+        .agg(F.count("rows").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
     )

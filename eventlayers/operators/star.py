@@ -55,8 +55,8 @@ def event_facts(valid: DataFrame, event_key: Column) -> DataFrame:
 
 
 def file_event_key() -> Column:
-    """A stable event key for records scanned from files."""
-    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    """A stable event key for records scanned from files: 128 bits of file and row, so that keys do not collide."""
+    return F.md5(F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index")))
 
 
 def process_records(

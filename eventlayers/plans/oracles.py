@@ -56,8 +56,9 @@ WITH split AS (
 
 # Faults that raw rows and messages are given, by event number.
 _BAD_MESSAGE = """CASE WHEN event_id % 101 = 0 THEN 'bad_json' WHEN event_id % 103 = 0 THEN 'unknown_keys'
-  WHEN event_id % 107 = 0 THEN 'missing_keys' WHEN event_id % 109 = 0 THEN 'wrong_type' END"""
-_BAD_ROW = """CASE WHEN event_id % 37 = 0 THEN 'bad_url' WHEN event_id % 41 = 0 THEN 'null_extra'
+  WHEN event_id % 107 = 0 THEN 'missing_keys' WHEN event_id % 109 = 0 THEN 'wrong_type'
+  WHEN event_id % 113 = 0 OR event_id % 127 = 0 THEN 'bad_json' END"""
+_BAD_ROW = """CASE WHEN event_id % 37 = 0 OR event_id % 43 = 0 THEN 'bad_url' WHEN event_id % 41 = 0 THEN 'null_extra'
   WHEN event_id % 31 = 0 THEN 'bad_event_time' END"""
 _BASIC_TIME = "CASE WHEN event_id % 5 = 4 THEN date_trunc('second', event_time) ELSE event_time END"
 
@@ -126,8 +127,8 @@ _PLAN = (
   SELECT event_type, dataset, layer, partition_key, attempts,
          CASE WHEN layer <> 'lost' THEN 'layers/' || layer END AS source,
          CASE WHEN layer <> 'lost' THEN 'layers/' || layer || '-archive' END AS archive,
-         CASE WHEN layer = 'lost' THEN 'Unknown dataset/layer for archive: web_events/lost' END AS error
-  FROM (SELECT * FROM open_tasks ORDER BY updated_at, event_type, dataset, layer, partition_key LIMIT 500)
+         CASE WHEN layer = 'lost' THEN 'no archive folder is set for web_events/lost' END AS error
+  FROM open_tasks
 )
 """
 )
@@ -230,6 +231,7 @@ _RAW_TIME = f"""CASE WHEN event_id % 31 = 0 THEN 'yesterday'
   WHEN event_id % 5 = 3 THEN {_TRIMMED.format("event_time + INTERVAL 2 HOUR")} || '+02:00'
   ELSE strftime(event_time, '%Y%m%dT%H%M%S') END"""
 _RAW_URL = """CASE WHEN event_id % 37 = 0 THEN replace(page_url, 'https://shop.example.com', 'https://[shop')
+  WHEN event_id % 43 = 0 THEN replace(page_url, 'https://shop.example.com', 'https://[shop]')
   ELSE page_url END"""
 
 ORACLES: dict[str, str] = {
@@ -366,17 +368,29 @@ ORACLES: dict[str, str] = {
         )
         SELECT * FROM per_layer UNION ALL
         SELECT 'gold', CAST(sum(files) AS BIGINT), CAST(sum(rows) AS BIGINT) FROM per_layer WHERE layer LIKE 'gold_%'""",
-    "generated_sessions_invariants": "SELECT count(*) AS sessions, "
-    + ", ".join(
-        f"CAST(0 AS BIGINT) AS {name}"
-        for name in (
-            "bad_length", "bad_times", "bad_end", "bad_identity", "bad_rows", "bad_first", "bad_commerce",
-            "bad_price", "bad_purchase", "bad_scroll", "bad_payment", "bad_basket", "bad_host",
-        )
-    )
-    + " FROM events",
+    "layer_files": f"""{_WEB} SELECT strftime(event_time, '%Y/%m/%d') AS folder, count(*) AS rows,
+          count(DISTINCT event_id) AS keys, count(*) AS named FROM silver GROUP BY 1""",
+    "stream_dedupe": """SELECT CAST(event_id % 3 AS INTEGER) AS partition, count(*) AS rows,
+          count(DISTINCT event_id) AS offsets FROM events GROUP BY 1""",
     "stream_layer_counts": _STREAM_COUNTS,
     "stream_replay_no_duplicates": _STREAM_COUNTS,
     "stream_mart_page_views": f"{_STREAM} SELECT * FROM good_views",
     "stream_mart_product_events": f"{_STREAM} SELECT * FROM good_products",
+    "stream_tasks": f"""{_STREAM} SELECT layer, true AS agree FROM (
+          SELECT 'bronze' AS layer FROM sent WHERE bad_message IS NULL UNION SELECT 'silver' FROM good
+          UNION SELECT 'gold_page_views' FROM good_views UNION SELECT 'gold_product_events' FROM good_products)""",
+    "stream_run_full": f"""{_STREAM}, n AS (
+          SELECT (SELECT count(*) FROM sent WHERE bad_message IS NULL) AS bronze, (SELECT count(*) FROM good) AS silver,
+                 (SELECT count(*) FROM good_views) AS views, (SELECT count(*) FROM good_products) AS products
+        )
+        SELECT run, 'SUCCESS' AS status, bronze * k AS bronze_count, silver * k AS silver_count,
+               views * k AS gold_page_views_count, products * k AS gold_product_events_count,
+               views * k AS loaded_page_views_count, products * k AS loaded_product_events_count
+        FROM n, (VALUES (1, 1), (2, 0)) AS runs(run, k)""",
+    "archive_settled": f"""{_STREAM}, there AS (
+          SELECT 'bronze' AS layer FROM sent WHERE bad_message IS NULL UNION SELECT 'silver' FROM good
+          UNION SELECT 'gold_page_views' FROM good_views UNION SELECT 'gold_product_events' FROM good_products
+        )
+        SELECT layer, true AS all_done FROM there UNION ALL SELECT layer || '_left', true FROM there
+        UNION ALL SELECT 'report', true""",
 }

@@ -6,10 +6,10 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlayers.functions import with_url_parts
+from eventlayers.functions import dated_object_name, keep_where, with_url_parts
 from eventlayers.operators import (
     analytics,
     archive,
@@ -22,10 +22,10 @@ from eventlayers.operators import (
     star,
     watermarks,
 )
-from eventlayers.schemas import BRONZE, RUN_LOG, TASK_KEY, TASK_LOG, names
+from eventlayers.schemas import BRONZE, RUN_COUNTERS, RUN_LOG, TASK_KEY, TASK_LOG, names
 from eventlayers.session import scratch_dir
 from eventlayers.sources import event_table as et
-from eventlayers.sources import generated, messages
+from eventlayers.sources import layers, messages
 from eventlayers.sources.layers import flatten_batches
 from eventlayers.streaming import jobs
 
@@ -173,9 +173,10 @@ def publish_roundtrip(spark, sf):
     """Events to message key and text and back."""
     rows = et.raw_events(et.read_events(spark, sf), faults=False)
     sent = messages.encode(rows, "topic", "partition", "offset", F.col("sent_at").alias("timestamp"))
-    back = messages.accepted(messages.decode(sent)).select("offset", "event_type", "page_url", "price", "extra.*")
-    keys = sent.select(F.col("key").cast("string").alias("key"), F.col("offset").alias("sent_offset"))
-    return back.join(keys, F.col("offset") == F.col("sent_offset")).drop("sent_offset")
+    back = messages.decode(sent, F.col("key").cast("string").alias("key"))
+    return keep_where(back, F.col("reason").isNull()).select(
+        "offset", "event_type", "page_url", "price", "extra.*", "key"
+    )
 
 
 def flatten(spark, sf):
@@ -346,18 +347,18 @@ def refused_transitions(spark, sf):
     return refused.select("partition_key", "request_id", "to_status")
 
 
-def _plan(spark: SparkSession, sf: str, limit: int) -> DataFrame:
+def _plan(spark: SparkSession, sf: str) -> DataFrame:
     tasks = ledger.current_tasks(_task_log(_hour_files(spark, sf)))
-    return archive.archive_plan(tasks, archive.default_routes(spark, "layers"), limit)
+    return archive.archive_plan(tasks, archive.default_routes(spark, "layers"))
 
 
 def archive_plan(spark, sf):
-    return _plan(spark, sf, 500)
+    return _plan(spark, sf)
 
 
 def archive_report(spark, sf):
     """Planned files whose row count is a multiple of 3 are archived, of 2 still active."""
-    plan = _plan(spark, sf, 500)
+    plan = _plan(spark, sf)
     files = _hour_files(spark, sf).join(
         plan.select("layer", F.col("partition_key").alias("object_name")), "object_name"
     )
@@ -475,56 +476,6 @@ def layer_stats(spark, sf):
     )
 
 
-# --- generated sessions --------------------------------------------------------------------
-
-
-def generated_sessions_invariants(spark, sf):
-    """One session per event of the table; every rule the sessions must keep, as a violation count."""
-    seeds = et.read_events(spark, sf).select(F.col("event_id").alias("session_no"))
-    rows = generated.generate_events(seeds, datetime(2024, 2, 1), seed=7)
-    step, kind, price = F.col("step"), F.col("event_type"), F.col("price")
-    commerce = kind.isin("add_to_cart", "purchase")
-    paid = (kind == "purchase") & price.isNotNull()
-    pay, basket = F.col("payment_method"), F.col("basket_value")
-    base = F.lit(generated.BASE_URL)
-    per_row = {
-        "bad_rows": F.col("reason").isNotNull(),
-        "bad_first": (step == 0) & ((kind != "page_view") | (F.col("referrer_url") != F.concat(base, F.lit("/home")))),
-        "bad_commerce": ~commerce & (F.col("product_id").isNotNull() | price.isNotNull()),
-        "bad_price": price.isNotNull() & ~price.between(generated.PRICE_FROM, generated.PRICE_TO),
-        "bad_purchase": (kind == "purchase") & (F.col("product_id").isNull() | ~F.col("page_url").endswith("/checkout/success")),
-        "bad_scroll": ~F.col("scroll_depth").between(0, 100),
-        "bad_payment": (pay.isNotNull() != paid) | (basket.isNotNull() != paid),
-        "bad_basket": paid & ~basket.between(price * 0.999, price * 2.501),
-        "bad_host": F.col("page_host") != "shop.example.com",
-    }
-    enriched = silver.classify(rows.withColumn("payload", F.col("extra")))
-    enriched = enriched.withColumns(
-        {"payment_method": F.col("payload.payment_method"), "basket_value": F.col("payload.basket_value")}
-    )
-    sessions = enriched.groupBy("session_no").agg(
-        F.count("*").alias("n"),
-        (F.max("step") + 1).alias("steps"),
-        F.timestamp_diff("SECOND", F.min("event_time"), F.max("event_time")).alias("span"),
-        F.count_if((kind == "purchase")).alias("purchases"),
-        F.max_by(kind, step).alias("last_kind"),
-        F.count_distinct("session_id", "user_id", "ab_group").alias("identities"),
-        *(F.count_if(v).alias(k) for k, v in per_row.items()),
-    )
-    n = F.col("n")
-    bad = {
-        "bad_length": ~n.between(generated.MIN_EVENTS, generated.MAX_EVENTS) | (n != F.col("steps")),
-        "bad_times": F.col("span") != (n - 1) * generated.STEP_SECONDS,
-        "bad_end": (F.col("purchases") > 0) & ((F.col("purchases") != 1) | (F.col("last_kind") != "purchase")),
-        "bad_identity": F.col("identities") != 1,
-    }
-    return sessions.agg(
-        F.count("*").alias("sessions"),
-        *(F.count_if(v).alias(k) for k, v in bad.items()),
-        *(F.sum(k).alias(k) for k in per_row),
-    )
-
-
 # --- streaming -----------------------------------------------------------------------------
 
 
@@ -597,6 +548,79 @@ def stream_mart_product_events(spark, sf):
     return rows.drop("created_at", "event_date").withColumn("price", F.col("price").cast("double"))
 
 
+def stream_tasks(spark, sf):
+    """Tasks of each layer against the files that were committed and read, as counts that must agree."""
+    layout = _drained(spark, sf)
+    tasks = ledger.current_tasks(jobs.read_log(spark, layout, "tasks"))
+    found = tasks.groupBy("layer").agg(F.count("*").alias("tasks"))
+    rows = None
+    for layer, (folder, route) in jobs.FILES.items():
+        entries = spark.read.schema(layers.COMMIT).json(layers.commit_folder(layout.layer(folder)))
+        files = entries.filter(F.col("route") == route).select(F.lit(layer).alias("layer"), "file")
+        rows = files if rows is None else rows.unionByName(files)
+    files = rows.groupBy("layer").agg(F.count_distinct("file").alias("files"))
+    agree = F.col("tasks") == F.col("files")
+    return files.join(found, "layer", "full_outer").select("layer", F.coalesce(agree, F.lit(False)).alias("agree"))
+
+
+def _settled_lake(spark: SparkSession, sf: str) -> tuple[jobs.Layout, list[dict[str, int]]]:
+    root = scratch_dir(spark, "layers")
+    layout = jobs.Layout(f"{root}/active", archive_root=f"{root}/archive")
+    jobs.finish(jobs.ingest(et.topic_messages(et.stream_events(spark, sf)), layout))
+    return layout, [jobs.run_full(spark, layout) for _ in range(2)]
+
+
+def stream_run_full(spark, sf):
+    """The run records of two full runs: all counters of the first, and zeros."""
+    layout, _ = _settled_lake(spark, sf)
+    history = runs.run_history(jobs.read_log(spark, layout, "runs"))
+    number = F.row_number().over(Window.orderBy("started_at"))
+    return history.select(number.alias("run"), "status", *RUN_COUNTERS)
+
+
+def archive_settled(spark, sf):
+    """Every task of a lake that was filled and drained, after its files were archived: open and done ones."""
+    layout, _ = _settled_lake(spark, sf)
+    report = jobs.settle_archive(spark, layout)
+    tasks = ledger.current_tasks(jobs.read_log(spark, layout, "tasks"))
+    by_layer = tasks.groupBy("layer").agg(
+        F.count_if(F.col("status") == ledger.DONE).alias("done"), F.count("*").alias("tasks")
+    )
+    settled = by_layer.select("layer", (F.col("done") == F.col("tasks")).alias("all_done"))
+    whole = report.crossJoin(tasks.agg(F.count("*").alias("n"))).select(
+        F.lit("report").alias("layer"), ((F.col("taken") == F.col("n")) & (F.col("archived") == F.col("n"))).alias("all_done")
+    )
+    active = jobs.stats(spark, layout).select("layer", (F.col("rows") == 0).alias("all_done")).filter("layer <> 'gold'")
+    return settled.unionByName(whole).unionByName(active.withColumn("layer", F.concat("layer", F.lit("_left"))))
+
+
+def layer_files(spark, sf):
+    """The events written out by day, scanned back from the files, and keyed by place: rows and keys of each day."""
+    rows = et.silver_events(et.read_events(spark, sf))
+    path = scratch_dir(spark, "written")
+    layers.write_layer(rows.withColumn("day", F.col("event_time").cast("date")), path, ["day"])
+    scanned = layers.scan_files(spark, path, rows.schema, key=star.file_event_key())
+    day = dated_object_name(F.col("event_time"))
+    return scanned.groupBy(F.regexp_extract(day, r"\A(.*)/", 1).alias("folder")).agg(
+        F.count("*").alias("rows"), F.count_distinct("event_key").alias("keys"),
+        F.count_if(F.col("object_name").startswith("day=") & F.col("filename").endswith(".parquet")).alias("named"),
+    )
+
+
+def stream_dedupe(spark, sf):
+    """Each message twice in the topic, kept once."""
+    topic = et.topic_messages(et.stream_events(spark, sf), faults=False)
+    path = scratch_dir(spark, "deduped")
+    query = (
+        messages.dedupe_by_offset(topic.unionByName(topic), within="1 hour").select("topic", "partition", "offset")
+        .writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+        .start(f"{path}/rows", format="parquet")
+    )
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.groupBy("partition").agg(F.count("*").alias("rows"), F.count_distinct("offset").alias("offsets"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -610,8 +634,8 @@ QUERIES: dict[str, Query] = {
         refused_transitions, archive_plan, archive_report, retention_plan,
         watermark_upsert, layer_watermark, run_history, latest_runs,
         dim_users, dim_sessions, fact_events, skipped_sessions, skipped_count,
-        layer_stats, generated_sessions_invariants,
+        layer_stats, layer_files, stream_dedupe,
         stream_layer_counts, stream_replay_no_duplicates, stream_mart_page_views,
-        stream_mart_product_events,
+        stream_mart_product_events, stream_tasks, stream_run_full, archive_settled,
     )
 }

@@ -1 +1 @@
-"""Where rows come from: topic messages, layer files, generated sessions, shared tables."""
+"""Where rows come from: topic messages, layer files, shared tables."""

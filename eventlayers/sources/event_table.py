@@ -116,7 +116,8 @@ def raw_events(events: DataFrame, faults: bool = True) -> DataFrame:
     )
     if faults:
         time = F.when(_every(31), "yesterday").otherwise(time)
-        url = F.when(_every(37), F.replace(url, F.lit(SHOP), F.lit("https://[shop"))).otherwise(url)
+        host = F.when(_every(37), "https://[shop").when(_every(43), "https://[shop]")
+        url = F.when(host.isNotNull(), F.replace(url, F.lit(SHOP), host)).otherwise(url)
         extra = F.when(~_every(41), extra)
     values = {
         "event_time": time,
@@ -152,6 +153,8 @@ def topic_messages(events: DataFrame, faults: bool = True) -> DataFrame:
             .when(_every(103), F.concat(body, F.lit(',"colour":"red"}')))
             .when(_every(107), F.regexp_replace(value, r'"event_type":"[^"]*",', ""))
             .when(_every(109), F.regexp_replace(value, r'"price":[^,]*,', '"price":"cheap",'))
+            .when(_every(113), F.concat(value, value))
+            .when(_every(127), F.concat(value, F.lit(" x}")))
             .otherwise(value)
         )
     return sent.withColumn("value", value.cast("binary")).select(*names(MESSAGE))

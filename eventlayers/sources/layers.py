@@ -1,13 +1,16 @@
 """Layer folders: `<layer>/writer=<query id>/batch_id=<n>/route=<output>/<date>=.../part-*.parquet`.
 
-A batch owns its folder. It is written to a hidden folder and renamed, and a replayed batch
-that is already there is left alone, so readers never see a file twice or half a batch.
+A batch owns its folder and is written straight to it. The last step puts one small entry with the
+names of its files into `<layer>/_commits`; only what has an entry counts. Readers leave folders
+without one out, the next hop reads the entries and takes the files from them, and a replay writes a
+folder without entry again and leaves one with entry alone. No step needs a folder rename.
 All outputs of a batch (good rows, quarantine, the two marts) are routes of one write.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +20,17 @@ from eventlayers.schemas import names, plus
 # More route x date outputs than this per task and Spark sorts the task's rows instead.
 _OPEN_FILES = "32"
 
-# The file source forgets files older than this; late copies must still be read.
-_FILE_MEMORY = "3650d"
+# A file of a committed batch, one line of an entry.
+COMMIT = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("route", T.StringType()),
+    ]
+)
+
+# The file source forgets entries that are so much older than the newest; a hop may be off for long.
+_ENTRY_MEMORY = "3650d"
 
 
 def layer_schema(row: T.StructType, date: str | None) -> T.StructType:
@@ -36,40 +48,42 @@ def layer_schema(row: T.StructType, date: str | None) -> T.StructType:
 def read_layer(
     spark: SparkSession, path: str, row: T.StructType, route: str, date: str | None = None
 ) -> DataFrame:
-    """One route of a layer; the other routes' folders are pruned. A file that cannot be read fails."""
-    return (
+    """One route of a layer's committed batches; other folders are pruned. A file that cannot be read fails.
+
+    A layer that is not there yet has no rows.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], layer_schema(row, date))
+    found = (
         spark.read.schema(layer_schema(row, date))
         .option("ignoreCorruptFiles", "false")
         .parquet(path)
         .filter(F.col("route") == route)
     )
+    # At most one per writer that is at work or has crashed.
+    for writer, batch_id in uncommitted(spark, path):
+        found = found.filter(~((F.col("writer") == writer) & (F.col("batch_id") == batch_id)))
+    return found
 
 
-def stream_layer(
-    spark: SparkSession,
-    path: str,
-    row: T.StructType,
-    route: str,
-    archive: str | None = None,
-    max_bytes_per_trigger: str | None = None,
-) -> DataFrame:
-    """One route of a layer as a stream of new files, with the file each row came from.
+def stream_commits(spark: SparkSession, path: str, max_batches: int | None = None) -> DataFrame:
+    """The entries of a layer as a stream: the files of each committed batch, once."""
+    reader = spark.readStream.schema(COMMIT).option("maxFileAge", _ENTRY_MEMORY)
+    if max_batches:
+        reader = reader.option("maxFilesPerTrigger", max_batches)
+    return reader.json(f"{commit_folder(path)}/*.json")
 
-    Only this route's folders are listed, so its readers may archive them: with `archive`,
-    files of finished batches are moved there when a later batch runs.
-    """
-    reader = (
-        spark.readStream.schema(row)
-        .option("recursiveFileLookup", "true")
-        .option("maxFileAge", _FILE_MEMORY)
+
+def read_files(spark: SparkSession, path: str, row: T.StructType, files: list[str]) -> DataFrame:
+    """The rows of a layer's files with the name of the file each came from. A file that cannot be read fails."""
+    if not files:
+        return spark.createDataFrame([], plus(row, source_file=T.StringType()))
+    return (
+        spark.read.schema(row)
         .option("ignoreCorruptFiles", "false")
+        .parquet(*(f"{path.rstrip('/')}/{f}" for f in files))
+        .select(*names(row), relative_name(F.col("_metadata.file_path"), path).alias("source_file"))
     )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    source_file = relative_name(F.col("_metadata.file_path"), path).alias("source_file")
-    return reader.parquet(f"{path}/writer=*/batch_id=*/route={route}").select(*names(row), source_file)
 
 
 def relative_name(file_path: Column, root: str) -> Column:
@@ -78,8 +92,10 @@ def relative_name(file_path: Column, root: str) -> Column:
     return F.substring_index(file_path, folder + "/", -1)
 
 
-def scan_files(spark: SparkSession, path: str, row: T.StructType, legacy: bool = False) -> DataFrame:
-    """Every Parquet file below a folder, with its object name and base name.
+def scan_files(
+    spark: SparkSession, path: str, row: T.StructType, legacy: bool = False, key: Column | None = None
+) -> DataFrame:
+    """Every Parquet file below a folder, with its object name and base name; `key` is added as `event_key`.
 
     `legacy` reads imported files whose all-null columns carry Parquet's null type, which the
     vectorized reader refuses; it is off for this scan only.
@@ -97,6 +113,7 @@ def scan_files(spark: SparkSession, path: str, row: T.StructType, legacy: bool =
             *names(row),
             relative_name(F.col("_metadata.file_path"), path).alias("object_name"),
             F.col("_metadata.file_name").alias("filename"),
+            *([key.alias("event_key")] if key is not None else []),
         )
     )
 
@@ -111,11 +128,9 @@ def list_files(spark: SparkSession, path: str, root: str | None = None) -> DataF
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
     )
-    try:
+    if exists(spark, path):
         found = reader.load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    else:
         found = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
     return found.select(
         relative_name(F.col("path"), root or path).alias("object_name"),
@@ -127,12 +142,9 @@ def list_files(spark: SparkSession, path: str, root: str | None = None) -> DataF
 def read_log(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
     """All rows of an append-only log, with the batch that wrote them. No folder, no rows."""
     schema = plus(row, writer=T.StringType(), batch_id=T.LongType())
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def batch_folder(root: str, writer: str, batch_id: int) -> str:
@@ -144,38 +156,85 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def is_published(spark: SparkSession, folder: str) -> bool:
-    fs, marker = _file_system(spark, f"{folder}/_SUCCESS")
-    return fs.exists(marker)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
 
 
-def lookup_options(column: str) -> dict[str, str]:
-    """Writer options that let a reader looking for one value skip files which do not have it."""
+def commit_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/_commits"
+
+
+def _entry(root: str, writer: str, batch_id: int) -> str:
+    return f"{commit_folder(root)}/{writer}-{batch_id}.json"
+
+
+def is_published(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
+    return exists(spark, _entry(root, writer, batch_id))
+
+
+def uncommitted(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+    """(writer, batch) of the folders that have no entry; folder names are listed, not files."""
+    fs, pattern = _file_system(spark, f"{root.rstrip('/')}/writer=*/batch_id=*")
+    committed: set[str] = set()
+    if exists(spark, commit_folder(root)):
+        committed = {f.getPath().getName() for f in fs.listStatus(_file_system(spark, commit_folder(root))[1])}
+    found = [
+        (f.getPath().getParent().getName().split("=", 1)[1], int(f.getPath().getName().split("=", 1)[1]))
+        for f in fs.globStatus(pattern) or []
+    ]
+    return [(w, b) for w, b in found if f"{w}-{b}.json" not in committed]
+
+
+def lookup_options(column: str, most_bytes: int = 8 << 20) -> dict[str, str]:
+    """Writer options that let a reader looking for one value skip files which do not have it.
+
+    The writer picks the smallest of several filters that suits the values a file turns out to have.
+    """
     return {
         f"parquet.bloom.filter.enabled#{column}": "true",
-        f"parquet.bloom.filter.expected.ndv#{column}": "200000",
+        f"parquet.bloom.filter.adaptive.enabled#{column}": "true",
+        "parquet.bloom.filter.max.bytes": str(most_bytes),
     }
 
 
 def publish_batch(
     rows: DataFrame, root: str, writer: str, batch_id: int, partition_by: list[str], **options: str
 ) -> None:
-    """Write a batch out of sight and show it as a whole. No rows, no files.
-
-    Readers of the layer skip `_staging`, so they never see part of a batch; where the file
-    system renames folders in one step, neither does a crash leave part of one behind.
-    """
+    """Write a batch to its folder, over what a crash may have left there, and commit it."""
     session = rows.sparkSession
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
-    staging = batch_folder(f"{root.rstrip('/')}/_staging", writer, batch_id)
-    rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(staging)
-    fs, target = _file_system(session, batch_folder(root, writer, batch_id))
-    _, source = _file_system(session, staging)
-    if fs.exists(target):  # a rename that a crash cut short, on a store without folder renames
-        fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise OSError(f"could not publish {target.toString()}")
+    folder = batch_folder(root, writer, batch_id)
+    rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(folder)
+    commit(session, root, writer, batch_id)
+
+
+def batch_files(spark: SparkSession, root: str, writer: str, batch_id: int) -> list[dict]:
+    """File name below the layer's folder, size and route of the data files in a batch's folder."""
+    fs, folder = _file_system(spark, batch_folder(root, writer, batch_id))
+    found, files = [], fs.listFiles(folder, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString()
+        if name.endswith(".parquet"):
+            file = name[name.rindex(f"writer={writer}/batch_id={batch_id}/") :]
+            route = next(p.split("=", 1)[1] for p in file.split("/") if p.startswith("route="))
+            found.append({"file": file, "bytes": status.getLen(), "route": route})
+    return sorted(found, key=lambda f: f["file"])
+
+
+def commit(spark: SparkSession, root: str, writer: str, batch_id: int) -> None:
+    """Make a written batch count, by one object that appears as a whole."""
+    lines = "".join(json.dumps(f) + "\n" for f in batch_files(spark, root, writer, batch_id))
+    fs, entry = _file_system(spark, _entry(root, writer, batch_id))
+    _, hidden = _file_system(spark, f"{commit_folder(root)}/.{writer}-{batch_id}")
+    out = fs.create(hidden, True)
+    try:
+        out.write(bytearray(lines.encode()))
+    finally:
+        out.close()
+    if not fs.rename(hidden, entry):
+        raise OSError(f"could not commit {entry.toString()}")
 
 
 def write_layer(rows: DataFrame, path: str, partition_by: list[str]) -> None:

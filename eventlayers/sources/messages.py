@@ -89,11 +89,6 @@ def encode(events: DataFrame, *keep: str | Column) -> DataFrame:
     )
 
 
-def _message_keys(text: Column) -> Column:
-    # json_object_keys gives up on NaN and Infinity, which the decoder accepts.
-    return F.coalesce(F.json_object_keys(text), F.map_keys(F.from_json(text, "map<string,string>")))
-
-
 def _payload(extra: Column, name: str, kind: T.DataType) -> Column:
     return F.try_element_at(extra, F.lit(name)).try_cast(kind)
 
@@ -103,16 +98,24 @@ def _is_wrong(extra: Column, name: str, kind: T.DataType) -> Column:
     return F.coalesce(there & _payload(extra, name, kind).isNull(), F.lit(False))
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Messages to raw rows plus `reason` (null when good), `raw_value` and the message time.
+def decode(messages: DataFrame, *keep: str | Column) -> DataFrame:
+    """Messages to raw rows plus `reason` (null when good), `raw_value`, the message time, and what to keep.
+
+    A text is good if it is one JSON object and nothing else: between brackets it must be an array of
+    one, which it is not if an object or a stray mark follows.
 
     A bad message never takes its neighbours along: it stays in the frame with a reason,
     and with the text it came with.
     """
     text, keys, extra = F.col("raw_value"), F.col("_keys"), F.col("_row.extra")
     parsed = messages.select(
-        F.col("value").cast("string").alias("raw_value"), "topic", "partition", "offset", "timestamp"
-    ).select("*", F.from_json(text, _DECODED, _STRICT).alias("_row"), _message_keys(text).alias("_keys"))
+        F.col("value").cast("string").alias("raw_value"), "topic", "partition", "offset", "timestamp", *keep
+    ).select("*", F.from_json(text, _DECODED, _STRICT).alias("_row"), F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"allowSingleQuotes": "false"}
+    ).alias("_objects"))
+    kept = [c for c in parsed.columns if c not in ("topic", "partition", "offset", "timestamp", "raw_value", "_row", "_objects")]
+    one = F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0)))
+    parsed = parsed.select(*(c for c in parsed.columns if c != "_objects"), F.map_keys(one).alias("_keys"))
 
     known = F.array(*map(F.lit, REQUIRED_KEYS + OPTIONAL_KEYS))
     required = F.array(*map(F.lit, REQUIRED_KEYS))
@@ -148,6 +151,7 @@ def decode(messages: DataFrame) -> DataFrame:
             "timestamp",
             "raw_value",
             reason.alias("reason"),
+            *kept,
         )
     )
 
@@ -166,6 +170,12 @@ def next_offsets(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
-def dedupe_by_offset(bronze: DataFrame) -> DataFrame:
-    """One row per (topic, partition, offset), for topics replayed by hand."""
-    return bronze.dropDuplicates(["topic", "partition", "offset"])
+def dedupe_by_offset(rows: DataFrame, within: str | None = None, time: str = "timestamp") -> DataFrame:
+    """One row per (topic, partition, offset), for topics replayed by hand.
+
+    On a stream `within` bounds the state: a repeat that comes later than this after the newest `time` passes.
+    """
+    key = ["topic", "partition", "offset"]
+    if within is None:
+        return rows.dropDuplicates(key)
+    return rows.withWatermark(time, within).dropDuplicatesWithinWatermark(key)

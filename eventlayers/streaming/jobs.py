@@ -1,8 +1,9 @@
 """Layer hops as checkpointed streaming queries.
 
-Each hop reads the new files of a layer, transforms them and publishes one folder per batch.
-A replayed batch finds its rows published, or publishes them; it overwrites its own file
-tasks and watermark. So a crash at any point leaves no duplicates, and a hop may run while
+Each hop follows the commit log of a layer, reads the files of new entries, writes one folder per
+batch and commits it with an entry of its own. A replayed batch finds its rows committed, or writes
+them again; it overwrites its own file tasks and watermark. So a crash at any point leaves no
+duplicates and loses nothing, on file systems and object stores alike, and a hop may run while
 the one before it does. One run of a hop at a time, as with any checkpoint.
 """
 
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -60,7 +61,7 @@ _MARTS = {
 }
 
 # Where the files of each task layer lie: layer folder and route.
-_FILES = {
+FILES = {
     "bronze": ("bronze", ROWS),
     "silver": ("silver", ROWS),
     gold.PAGE_VIEWS: ("gold", gold.PAGE_VIEWS),
@@ -75,7 +76,7 @@ class Layout:
     root: str
     archive_root: str | None = None
     # Bounds a batch, so that a backlog is worked off in steps that commit one by one.
-    max_bytes_per_trigger: str | None = str(1 << 40)
+    max_batches_per_trigger: int | None = 1000
 
     def layer(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -89,6 +90,8 @@ class Counters:
     """What one job did: a line per batch, summed up by `total`."""
 
     batches: list[dict] = field(default_factory=list)
+    # Files of the source that earlier runs had handed over and that are not archived yet.
+    skipped_files: int = 0
 
     def total(self, name: str) -> int:
         return sum(b.get(name) or 0 for b in self.batches)
@@ -111,25 +114,26 @@ def read_log(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def _hand_over(
-    spark: SparkSession, layout: Layout, layer: str, written: str, writer: str, batch_id: int
+    spark: SparkSession, layout: Layout, layer: str, files: list[str], writer: str, batch_id: int
 ) -> None:
-    """Tasks for the source files of a batch, read from the file-name column it has written."""
+    """Tasks for the files that a batch has read, whether or not they gave it any rows."""
     now = _now()
-    files = (
-        spark.read.schema("source_file string")
-        .parquet(written)
-        .select(F.col("source_file").alias("partition_key"))
-        .distinct()
-        .withColumns({"dataset": F.lit(ledger.DATASET), "layer": F.lit(layer)})
+    keys = spark.createDataFrame([(f,) for f in files], "partition_key string").withColumns(
+        {"dataset": F.lit(ledger.DATASET), "layer": F.lit(layer)}
     )
     # A replay must not see the tasks its first try wrote.
     own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-    new = ledger.enqueue(
-        read_log(spark, layout, "tasks").filter(~own), files, F.lit(now), F.lit(_micros(now))
-    )
+    log = read_log(spark, layout, "tasks").filter((F.col("layer") == layer) & ~own)
+    new = ledger.enqueue(log, keys, F.lit(now), F.lit(_micros(now)))
     new.write.mode("overwrite").parquet(layers.batch_folder(layout.layer("tasks"), writer, batch_id))
 
 
+def _handed_over(spark: SparkSession, layout: Layout, layer: str) -> int:
+    """Files of a layer that have a task which is not done."""
+    tasks = ledger.current_tasks(read_log(spark, layout, "tasks").filter(F.col("layer") == layer))
+    return tasks.filter(F.col("status") != ledger.DONE).count()
+
+
 def _mark(
     spark: SparkSession, layout: Layout, job: str, latest: datetime | None, writer: str, batch_id: int
 ) -> None:
@@ -139,8 +143,27 @@ def _mark(
     spark.createDataFrame(row, WATERMARK_LOG).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
+@dataclass(frozen=True)
+class _Source:
+    """A route of a layer as the input of a hop."""
+
+    task_layer: str
+    row: T.StructType
+    # What to measure of the rows read, besides their number.
+    measured: dict[str, Column] = field(default_factory=dict)
+
+    def files(self, entries: DataFrame) -> list[str]:
+        """The committed files of this route; as many as one batch of the hop reads."""
+        route = FILES[self.task_layer][1]
+        return [r["file"] for r in entries.filter(F.col("route") == route).select("file").distinct().collect()]
+
+    def folder(self, layout: Layout) -> str:
+        return layout.layer(FILES[self.task_layer][0])
+
+
 def _start(
-    stream: DataFrame,
+    spark: SparkSession,
+    stream: DataFrame | _Source,
     layout: Layout,
     job: str,
     target: str,
@@ -148,38 +171,45 @@ def _start(
     counts: dict[str, Column],
     read_count: str,
     date: str = "event_date",
-    source: str | None = None,
     watermark: bool = False,
-    arrange: Callable[[DataFrame], DataFrame] | None = None,
     options: dict[str, str] | None = None,
     trigger: dict | None = None,
     after_write: Callable[[int], None] | None = None,
 ) -> Job:
-    """Start one hop. `after_write` runs between the writes and the commit of a batch."""
+    """Start one hop. `after_write` runs between the writes and the commit of a batch.
+
+    Rows are counted where they are committed: counts taken while they are written would count
+    the rows of a repeated task again.
+    """
     counters = Counters()
+    source = stream if isinstance(stream, _Source) else None
+    root = layout.layer(target)
     measured = counts | {"rejected": F.count_if(F.col("route") == QUARANTINE)}
-    if watermark:
+    if not source:
+        measured |= {read_count: F.count("*")}
+    elif watermark and "latest" not in source.measured:
         measured |= {"latest": F.max(F.when(F.col("route") != QUARANTINE, F.col("event_time")))}
+    if source:
+        counters.skipped_files = _handed_over(spark, layout, source.task_layer)
+        stream = layers.stream_commits(spark, source.folder(layout), layout.max_batches_per_trigger)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        root = layout.layer(target)
-        folder = layers.batch_folder(root, writer, batch_id)
-        values = [c.alias(n) for n, c in measured.items()]
-        if layers.is_published(session, folder):
-            # Replayed after its rows were published: count what is there.
-            there = "route string" + (", event_time timestamp_ntz" if watermark else "")
-            shown = session.read.schema(there).parquet(folder).agg(*values).first().asDict()
-            line = {"batch_id": batch_id, read_count: batch.count(), **shown}
-        else:
-            read, kept = Observation(), Observation()
-            rows = transform(batch.observe(read, F.count("*").alias(read_count))).observe(kept, *values)
-            rows = arrange(rows) if arrange else rows
-            layers.publish_batch(rows, root, writer, batch_id, ["route", date], **(options or {}))
-            line = {"batch_id": batch_id, **read.get, **kept.get}
+        line = {"batch_id": batch_id}
+        files: list[str] = []
         if source:
-            _hand_over(session, layout, source, folder, writer, batch_id)
+            files = source.files(batch)
+            batch = layers.read_files(session, source.folder(layout), source.row, files)
+            seen = {read_count: F.count("*"), **source.measured}
+            line |= {"files": len(files), **batch.agg(*(c.alias(n) for n, c in seen.items())).first().asDict()}
+        if not layers.is_published(session, root, writer, batch_id):
+            layers.publish_batch(transform(batch), root, writer, batch_id, ["route", date], **(options or {}))
+        there = "route string" + (", event_time timestamp_ntz" if "latest" in measured else "")
+        shown = session.read.schema(there).parquet(layers.batch_folder(root, writer, batch_id))
+        line |= shown.agg(*(c.alias(n) for n, c in measured.items())).first().asDict()
+        if source:
+            _hand_over(session, layout, source.task_layer, files, writer, batch_id)
         if watermark:
             _mark(session, layout, job, line["latest"], writer, batch_id)
         if after_write:
@@ -221,18 +251,13 @@ def ingest(topic: DataFrame, layout: Layout, trigger: dict | None = None, **hook
         ).drop("timestamp")
 
     return _start(
-        topic, layout, "ingest", "bronze", transform,
+        topic.sparkSession, topic, layout, "ingest", "bronze", transform,
         {"bronze_count": F.count_if(F.col("route") == ROWS)}, "messages",
         date="ingest_date", trigger=trigger, **hooks,
     )
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout, **hooks) -> Job:
-    stream = layers.stream_layer(
-        spark, layout.layer("bronze"), _BRONZE_READ, ROWS,
-        layout.archive("bronze"), layout.max_bytes_per_trigger,
-    )
-
     def transform(batch: DataFrame) -> DataFrame:
         rows = _split(silver.classify(batch))
         return rows.withColumns(
@@ -240,18 +265,13 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, **hooks) -> Job:
         )
 
     return _start(
-        stream, layout, "bronze_to_silver", "silver", transform,
-        {"silver_count": F.count_if(F.col("route") == ROWS)}, "bronze_count",
-        source="bronze", watermark=True, **hooks,
+        spark, _Source("bronze", _BRONZE_READ), layout, "bronze_to_silver", "silver", transform,
+        {"silver_count": F.count_if(F.col("route") == ROWS)}, "bronze_count", watermark=True, **hooks,
     )
 
 
 def silver_to_gold(spark: SparkSession, layout: Layout, **hooks) -> Job:
-    """Both gold outputs in one write: read once, committed together."""
-    stream = layers.stream_layer(
-        spark, layout.layer("silver"), _SILVER_READ, ROWS,
-        layout.archive("silver"), layout.max_bytes_per_trigger,
-    )
+    """Both gold outputs in one write: read once, committed together. The watermark is that of all rows read."""
 
     def transform(batch: DataFrame) -> DataFrame:
         return gold.routed(batch, "source_file").withColumn("event_date", _event_date())
@@ -260,31 +280,40 @@ def silver_to_gold(spark: SparkSession, layout: Layout, **hooks) -> Job:
         "gold_page_views_count": F.count_if(F.col("route") == gold.PAGE_VIEWS),
         "gold_product_events_count": F.count_if(F.col("route") == gold.PRODUCT_EVENTS),
     }
+    source = _Source("silver", _SILVER_READ, {"latest": F.max("event_time")})
     return _start(
-        stream, layout, "silver_to_gold", "gold", transform, counts, "silver_count",
-        source="silver", watermark=True, **hooks,
-    )
+        spark, source, layout, "silver_to_gold", "gold", transform, counts, "silver_count", watermark=True, **hooks
+    )
 
 
 def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
     """One gold output to its mart, clustered by date, sorted and indexed by the mart's lookup key."""
     row, _, target, sort_key, counter = _MARTS[table]
-    stream = layers.stream_layer(
-        spark, layout.layer("gold"), row, table, layout.archive(table), layout.max_bytes_per_trigger
-    )
 
     def transform(batch: DataFrame) -> DataFrame:
         rows = _split(marts.classify(batch, table, None, "source_file"))
-        return rows.withColumn("event_date", _event_date())
+        return marts.clustered(rows.withColumn("event_date", _event_date()), "route", "event_date", sort_key=sort_key)
 
     return _start(
-        stream, layout, f"load_{target}", target, transform,
+        spark, _Source(table, row), layout, f"load_{target}", target, transform,
         {counter: F.count_if(F.col("route") == ROWS)}, "gold_rows",
-        source=table, arrange=lambda r: marts.clustered(r, "route", "event_date", sort_key=sort_key),
         options=layers.lookup_options(sort_key), **hooks,
     )
 
 
+def load_marts(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """Both marts, and the loader's six counters: rows, files and skipped files of each."""
+    done: dict[str, int] = {}
+    for table, name in ((gold.PAGE_VIEWS, "page_view"), (gold.PRODUCT_EVENTS, "product_event")):
+        counters = finish(load_mart(spark, layout, table))
+        done |= {
+            f"inserted_{name}s": counters.total(_MARTS[table][4]),
+            f"{name}_files": counters.total("files"),
+            f"skipped_{name}_files": counters.skipped_files,
+        }
+    return done
+
+
 def finish(job: Job) -> Counters:
     """Wait for a draining job; its failure is raised here."""
     query, counters = job
@@ -334,57 +363,77 @@ def read_mart(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Rows and files per active layer."""
+    """Rows and files per active layer; zero for those that are empty or not there yet."""
     schemas = {
         "bronze": BRONZE,
         "silver": SILVER,
         gold.PAGE_VIEWS: GOLD_PAGE_VIEW,
         gold.PRODUCT_EVENTS: GOLD_PRODUCT_EVENT,
     }
+
+    def files(layer: str, folder: str, route: str) -> DataFrame:
+        if not layers.exists(spark, layout.layer(folder)):
+            return spark.createDataFrame([], "object_name string")
+        rows = layers.read_layer(spark, layout.layer(folder), schemas[layer], route)
+        return rows.select(F.col("_metadata.file_path").alias("object_name"))
+
     return monitoring.layer_stats(
-        *(
-            monitoring.file_counts(
-                layers.read_layer(spark, layout.layer(folder), schemas[layer], route).select(
-                    F.col("_metadata.file_path").alias("object_name")
-                ),
-                layer,
-            )
-            for layer, (folder, route) in _FILES.items()
-        )
+        *(monitoring.file_counts(files(layer, *place), layer) for layer, place in FILES.items()),
+        layers=(*FILES, "gold"),
     )
 
 
+def _routes(spark: SparkSession, layout: Layout) -> DataFrame:
+    rows = [(ledger.DATASET, n, layout.layer(FILES[n][0]), layout.archive(n)) for n in FILES]
+    return spark.createDataFrame(rows, "dataset string, layer string, source string, archive string")
+
+
+def _move(spark: SparkSession, plan: DataFrame) -> None:
+    """Move the batch folders of the planned files' routes; a hop reads a route of a batch as a whole, so all its
+    files are due together. What is not there any more is left alone."""
+    folder = F.regexp_extract("partition_key", r"\A(writer=[^/]+/batch_id=[^/]+/route=[^/]+)/", 1).alias("folder")
+    due = plan.filter(F.col("error").isNull()).select("source", "archive", folder).filter("folder <> ''").distinct()
+    for r in due.toLocalIterator():
+        fs, source = layers._file_system(spark, f"{r['source'].rstrip('/')}/{r['folder']}")
+        _, target = layers._file_system(spark, f"{r['archive'].rstrip('/')}/{r['folder']}")
+        if fs.exists(source):
+            fs.mkdirs(target.getParent())
+            fs.rename(source, target)
+
+
 def settle_archive(
-    spark: SparkSession, layout: Layout, limit: int = archive.ARCHIVE_LIMIT, routes: DataFrame | None = None
+    spark: SparkSession, layout: Layout, limit: int | None = None, routes: DataFrame | None = None
 ) -> DataFrame:
-    """Settle open archive tasks against what the file source has moved so far.
+    """Archive the files of all open tasks and settle the tasks.
 
     A file found in the archive, or in neither folder, is done; one still active stays open.
-    A task without a route fails. Appends to the task log and returns the report.
+    A task without a route fails. Appends to the task log and returns the report. `limit` takes only
+    so many tasks, those longest untouched.
     """
     if not layout.archive_root:
         raise ValueError("the layout has no archive_root")
     tasks = ledger.current_tasks(read_log(spark, layout, "tasks"))
-    if routes is None:
-        rows = [(ledger.DATASET, n, layout.layer(_FILES[n][0]), layout.archive(n)) for n in _FILES]
-        routes = spark.createDataFrame(rows, "dataset string, layer string, source string, archive string")
-    plan = archive.archive_plan(tasks, routes, limit)
+    now = _now()
+    seq = _micros(now)
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        # Written down once: folders and listings move on while we look.
+        folder = layers.batch_folder(layout.layer(name), "archive", seq)
+        rows.write.mode("overwrite").parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    plan = kept(archive.archive_plan(tasks, routes or _routes(spark, layout), limit), "archive_plans")
+    _move(spark, plan)
 
     def listing(archived: bool) -> DataFrame:
         found = None
-        for layer, (folder, _) in _FILES.items():
+        for layer, (folder, _) in FILES.items():
             where = layout.archive(layer) if archived else layout.layer(folder)
-            files = layers.list_files(spark, where, layout.layer(folder)).withColumn("layer", F.lit(layer))
+            files = layers.list_files(spark, where).withColumn("layer", F.lit(layer))
             found = files if found is None else found.unionByName(files)
         return found
 
-    outcomes = archive.archive_outcomes(plan, listing(True), listing(False))
-    now = _now()
-    seq = _micros(now)
-    # One settled set for the log and the report: listings move on while we look.
-    settled = layers.batch_folder(layout.layer("archive_outcomes"), "archive", seq)
-    outcomes.write.mode("overwrite").parquet(settled)
-    outcomes = spark.read.schema(outcomes.schema).parquet(settled)
+    outcomes = kept(archive.archive_outcomes(plan, listing(True), listing(False)), "archive_outcomes")
 
     def requests(to_status: Column, order: int) -> DataFrame:
         return outcomes.filter("outcome <> 'waiting'").select(

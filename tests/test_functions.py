@@ -38,19 +38,21 @@ def evaluate(spark, values, expression):
 # --- missing texts -------------------------------------------------------------------------
 
 
-def python_is_missing(v):
-    return v is None or v.strip().lower() in {"", "nan", "none", "null"}
+MISSING = {
+    None: True, "": True, "  ": True, " NaN ": True, "none": True, "NULL": True, "\t\nnull\r": True, "\xa0nan\u3000": True,
+    "nanx": False, "p1": False, "no ne": False, "0": False, "n": False, "-": False,
+}
 
 
 def test_is_missing(spark):
-    values = [None, "", "  ", " NaN ", "none", "NULL", "\t\nnull\r", "\xa0nan　", "nanx", "p1", "no ne", "0"]
-    assert evaluate(spark, values, fn.is_missing(F.col("v"))) == list(map(python_is_missing, values))
+    assert evaluate(spark, list(MISSING), fn.is_missing(F.col("v"))) == list(MISSING.values())
 
 
 @few
-@given(st.lists(st.text(alphabet=" \t\x1c  nNaAoOeEuUlLx", max_size=6), min_size=150, max_size=200))
-def test_is_missing_any_text(spark, values):
-    assert evaluate(spark, values, fn.is_missing(F.col("v"))) == list(map(python_is_missing, values))
+@given(st.lists(st.tuples(st.sampled_from(list(MISSING)[1:]), st.text(alphabet=" \t\x1c\xa0\n", max_size=4), st.booleans()), min_size=100, max_size=150))
+def test_blanks_and_case_do_not_matter(spark, cases):
+    values = [blank + (text.upper() if upper else text) + blank for text, blank, upper in cases]
+    assert evaluate(spark, values, fn.is_missing(F.col("v"))) == [MISSING[text] for text, _, _ in cases]
 
 
 # --- URLs ----------------------------------------------------------------------------------
@@ -105,12 +107,42 @@ def test_null_url_has_no_parts(spark):
     assert spark_urls(spark, [None]) == [(None,) * 5]
 
 
-def test_unpaired_brackets_are_invalid(spark):
-    values = ["https://[::1]/x", "https://[bad/x", "https://bad]/x", "https://h/[x", None]
+HOSTS = [
+    "[::1]", "[::1]:80", "[::]", "[1:2:3:4:5:6:7:8]", "[1:2:3:4:5:6:7::]", "[::2:3:4:5:6:7:8]", "[1:2:3:4:5:6:7:8:9]",
+    "[1::2::3]", "[:1:2:3:4:5:6:7]", "[12345::]", "[g::]", "[::1.2.3.4]", "[::1.2.3.04]", "[::1.2.3.256]", "[1.2.3.4]",
+    "[fe80::1%eth0]", "[fe80::1%]", "[fe80::1%a%b]", "[v1.a]", "[vF0.x:y]", "[v.a]", "[vg.a]", "[v1.]", "[V1.a]",
+    "[shop]", "a]b[", "[a", "a]", "x[::1]", "[::1]x", "[::1]:", "u@[::1]", "[u]@h", "[u]@v1.a", "u[@::1]", "[]", "[::1][::2]",
+    "[::ffff:1.2.3.4]", "[1:2:3:4:5:6:1.2.3.4]", "[1:2:3:4:5:6:7:1.2.3.4]", "[1.2.3.4::]", "[::1]]", "[[::1]",
+]
+
+
+def python_accepts(url):
+    try:
+        urlparse(url)
+    except ValueError:
+        return False
+    return True
+
+
+def spark_accepts(spark, values):
     df = fn.with_url_parts(column(spark, values), "v").withColumn(
         "ok", fn.has_valid_host(F.col("v"), F.col("page_host"))
     )
-    assert [r.ok for r in df.orderBy("i").collect()] == [True, False, False, True, False]
+    return [r.ok for r in df.orderBy("i").collect()]
+
+
+def test_bracketed_hosts(spark):
+    values = [f"https://{h}/x" for h in HOSTS] + ["https://h/[x"]
+    got = dict(zip(values, spark_accepts(spark, values)))
+    assert got == {v: python_accepts(v) for v in values}
+    assert spark_accepts(spark, [None]) == [False]
+
+
+@few
+@given(st.lists(st.text(alphabet="[]:.@%v1f0g", max_size=14).map(lambda h: f"https://{h}/a"), min_size=150, max_size=200))
+def test_bracketed_hosts_any_text(spark, values):
+    got = dict(zip(values, spark_accepts(spark, values)))
+    assert got == {v: python_accepts(v) for v in values}
 
 
 # --- times ---------------------------------------------------------------------------------
