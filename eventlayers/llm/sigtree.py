@@ -13,11 +13,13 @@ the smallest id it can reach over links. Nothing is approximate: all steps befor
 
        bits in common + tokens beyond the bits,
 
-   is below what 0.8 asks of their smallest sizes. Leaf pairs that remain are bounded the same way, one by one,
-   then compared exactly. Pairs that links already join are skipped: only the components matter, so groups of
-   near copies cost about one comparison each, and no bucket emits more links than it has classes.
-4. Buckets above `bucket_rows` classes are cut into chunks, one tree each, and trees are joined chunk by chunk.
-5. Components of the links are found by alternating star contraction.
+   is below what 0.8 asks of their smallest sizes. Leaf pairs that remain are bounded the same way, one by one.
+   Only bitmaps travel for this; classes without a partner are done, the others are left in clusters.
+4. The texts of the classes in clusters follow, and a second traversal compares what its bounds leave exactly.
+   In both, pairs that are joined already are skipped: only the components matter, so groups of near copies
+   cost about one comparison each, and no bucket emits more links than it has classes.
+5. Buckets above `bucket_rows` classes are cut into chunks, one tree each, and trees are joined chunk by chunk.
+6. Components of the links are found by alternating star contraction.
 
 Sets and classes are held by 64-bit hashes.
 """
@@ -32,10 +34,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventlayers.llm.common import (
     _BASE,
     byte_table,
+    chunks,
     finish,
     id_and_text,
     materialise,
@@ -43,13 +47,16 @@ from eventlayers.llm.common import (
     row_schema,
     text_bytes,
 )
+from eventlayers.llm.quality import SPACES
 
 WORDS = 5
 #: Buckets of the table of counts (a power of two): its size does not depend on the corpus.
 COUNT_BITS = 22
 SLICES = 64
 BUCKET_ROWS = 800
-LOT_BYTES = 24 << 20
+LOT_BYTES = 8 << 20
+#: Bytes of texts that a task works on at once.
+CHUNK_BYTES = 2 << 20
 LEAF, FANOUT = 12, 6
 SEED = 0x5851F42D4C957F2D
 
@@ -171,14 +178,12 @@ def width_for(sets: list[np.ndarray]) -> int:
 class Tree:
     """Classes in leaf order: similar sizes together, and within them those with the same smallest shingle."""
 
-    def __init__(self, sets: list[np.ndarray], width: int):
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        first = np.fromiter((s[0] for s in sets), np.uint64, len(sets))
+    def __init__(self, sizes: np.ndarray, first: np.ndarray, bits: np.ndarray):
         self.order = np.lexsort((first, np.floor(np.log(sizes) / np.log(1.25))))
-        self.sizes = sizes[self.order]
-        self.bits = np.concatenate([bitmaps([sets[i] for i in self.order[k : k + 256]], width) for k in range(0, len(sets), 256)])
+        self.sizes, self.bits = sizes[self.order], bits[self.order]
         self.beyond = self.sizes - np.bitwise_count(self.bits).sum(axis=1)
-        nodes = [self._node(slice(i, min(i + LEAF, len(sets))), []) for i in range(0, len(sets), LEAF)]
+        n = len(sizes)
+        nodes = [self._node(slice(i, min(i + LEAF, n)), []) for i in range(0, n, LEAF)]
         while len(nodes) > 1:
             nodes = [
                 self._node(slice(part[0].rows.start, part[-1].rows.stop), part)
@@ -186,6 +191,12 @@ class Tree:
             ]
         self.root = nodes[0]
 
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray], width: int) -> Tree:
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        first = np.fromiter((s[0] for s in sets), np.uint64, len(sets))
+        return cls(sizes, first, np.concatenate([bitmaps(sets[k : k + 256], width) for k in range(0, len(sets), 256)]))
+
     def _node(self, rows: slice, children: list[Node]) -> Node:
         bits = np.bitwise_or.reduce([c.bits for c in children] if children else self.bits[rows], axis=0)
         n = self.sizes[rows]
@@ -200,9 +211,10 @@ def may_link(a: Node, b: Node) -> bool:
     return common + min(a.beyond, b.beyond) >= required(a.low, b.low)
 
 
-def join_trees(a: Tree, b: Tree, sets_a: list, sets_b: list, labels: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int]]:
+def join_trees(a: Tree, b: Tree, same, labels: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int]]:
     """Links that join components of `labels`, which holds the present component of each class and is updated; `at_a`
-    and `at_b` are the places of the trees' classes in it. A tree is joined with itself if both are the same."""
+    and `at_b` are the places of the trees' classes in it. A tree is joined with itself if both are the same.
+    `same(x, y, least)` decides on two places whose bound reaches `least`."""
     links: list[tuple[int, int]] = []
     mine, theirs = at_a[a.order], at_b[b.order]
     stack = [(a.root, b.root)]
@@ -227,13 +239,13 @@ def join_trees(a: Tree, b: Tree, sets_a: list, sets_b: list, labels: np.ndarray,
                 continue
             common = np.bitwise_count(a.bits[i] & b.bits[js]).sum(axis=1)
             need = required(a.sizes[i], b.sizes[js])
-            js, need = (x[common + np.minimum(a.beyond[i], b.beyond[js]) >= need] for x in (js, need))
-            for j, least in zip(js.tolist(), need.tolist()):
-                x, y = mine[i], theirs[j]
-                if labels[x] == labels[y]:
-                    continue
-                if overlap(sets_a[a.order[i]], sets_b[b.order[j]]) >= least:
-                    links.append((int(x), int(y)))
+            fits = (5 * np.minimum(a.sizes[i], b.sizes[js]) >= 4 * np.maximum(a.sizes[i], b.sizes[js])) & (
+                common + np.minimum(a.beyond[i], b.beyond[js]) >= need
+            )
+            for j, least in zip(js[fits].tolist(), need[fits].tolist()):
+                x, y = int(mine[i]), int(theirs[j])
+                if labels[x] != labels[y] and same(x, y, least):
+                    links.append((x, y))
                     labels[labels == labels[y]] = labels[x]
     return links
 
@@ -247,20 +259,56 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def bucket_links(keys: np.ndarray, sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """Links within one bucket (all of side 0) or between its two chunks; places of classes in the arguments."""
-    labels = np.arange(len(keys))
-    first = np.flatnonzero(side == 0)
-    second = np.flatnonzero(side == 1)
+def bucket_links(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
+    """Links within one bucket (all of side 0) or between its two chunks; places of the sets."""
+    first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(first):
         return []
     width = width_for(sets)
-    own = [sets[i] for i in first]
-    a = Tree(own, width)
-    if not len(second):
-        return join_trees(a, a, own, own, labels, first, first)
-    other = [sets[i] for i in second]
-    return join_trees(a, Tree(other, width), own, other, labels, first, second)
+    a = Tree.of_sets([sets[i] for i in first], width)
+    b, at_b = (Tree.of_sets([sets[i] for i in second], width), second) if len(second) else (a, first)
+    return join_trees(a, b, lambda x, y, least: overlap(sets[x], sets[y]) >= least, np.arange(len(sets)), first, at_b)
+
+
+def octave(n) -> np.ndarray:
+    """The power of two that a size is below or at."""
+    return np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
+
+
+def octave_width(o: int) -> int:
+    """Bits of the bitmaps of an octave: two for each token, within bounds."""
+    return min(1 << 15, max(256, 2 << o))
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap with fewer bits: neighbouring bits are joined."""
+    flags = np.unpackbits(bits.view(np.uint8))
+    return np.packbits(flags.reshape(width, -1).any(axis=1)).view(np.uint64)
+
+
+def bucket_clusters(sizes: np.ndarray, first: np.ndarray, bits: list[np.ndarray], side: np.ndarray) -> list[list[int]]:
+    """Places of the classes of a bucket that have partners by their bitmaps, in clusters.
+
+    Sizes that link are at most a quarter apart, so each octave of sizes has its own tree, with bitmaps to measure,
+    and takes in the smallest of the next octave.
+    """
+    out = []
+    own = octave(sizes)
+    for o in np.unique(own).tolist():
+        rows = np.flatnonzero((own == o) | ((own == o + 1) & (4 * sizes <= 5 << o)))
+        if len(rows) < 2 or (side.any() and side[rows].all() | ~side[rows].any()):
+            continue
+        width = octave_width(o)
+        maps = np.stack([b if 64 * len(b) == width else folded(b, width) for b in (bits[i] for i in rows)])
+        labels = np.arange(len(rows))
+        a_rows, b_rows = np.flatnonzero(side[rows] == 0), np.flatnonzero(side[rows] == 1)
+        a = Tree(sizes[rows[a_rows]], first[rows[a_rows]], maps[a_rows])
+        b = Tree(sizes[rows[b_rows]], first[rows[b_rows]], maps[b_rows]) if len(b_rows) else a
+        join_trees(a, b, lambda *_: True, labels, a_rows, b_rows if len(b_rows) else a_rows)
+        order = np.argsort(labels, kind="stable")
+        cuts = np.flatnonzero(np.diff(labels[order])) + 1
+        out += [rows[c].tolist() for c in np.split(order, cuts) if len(c) > 1]
+    return out
 
 
 # --- Spark ----------------------------------------------------------------------------------
@@ -273,15 +321,17 @@ def shingle_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         counts, kind = counter(), None
         for batch in batches:
             kind = batch.column(0).type
-            sets = [shingles(t) for t in text_bytes(batch.column(1))]
-            for s in sets:
+            sizes, keys = [], []
+            for s in map(shingles, text_bytes(batch.column(1))):
                 count(counts, s)
-            n = len(sets)
+                sizes.append(len(s))
+                keys.append(class_key(s) if len(s) else None)
+            n = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.int64()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
@@ -301,27 +351,36 @@ def shingle_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return both.where(F.col("slice").isNull()).select("doc_id", "n_shingles", "cls"), frequent
 
 
+def new_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, int, np.ndarray]]]:
+    """Text, class and shingles of the classes that a task has not met before, in lists of a few texts."""
+    seen: set[int] = set()
+    for batch in batches:
+        texts = text_bytes(batch.column(0))
+        for part in chunks([len(t) for t in texts], CHUNK_BYTES):
+            out = []
+            for t in texts[part]:
+                s = shingles(t)
+                if len(s) and (key := class_key(s)) not in seen:
+                    seen.add(key)
+                    out.append((t, key, s))
+            yield out
+
+
 def prefix_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """`token, cls`: the routing shingles of each class, at least once."""
     table = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, seen = table.value, set()
-        for batch in batches:
-            tokens, keys, many = [], [], []
-            for t in text_bytes(batch.column(0)):
-                s = shingles(t)
-                if not len(s) or (key := class_key(s)) in seen:
-                    continue
-                seen.add(key)
+        ranks = table.value
+        for some in new_classes(batches):
+            tokens = []
+            for _, _, s in some:
                 rank = ranks[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
                 tokens.append(s[np.argsort(rank, kind="stable")[: prefix_length(len(s))]])
-                keys.append(key)
-                many.append(len(tokens[-1]))
             if tokens:
+                keys = np.repeat(np.array([k for _, k, _ in some], np.int64), [len(t) for t in tokens])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(tokens))), pa.array(np.repeat(np.array(keys, np.int64), many))],
-                    names=["token", "cls"],
+                    [pa.array(signed(np.concatenate(tokens))), pa.array(keys)], names=["token", "cls"]
                 )
 
     return id_and_text(docs).select("text").mapInArrow(run, "token bigint, cls bigint")
@@ -340,9 +399,11 @@ def shared_buckets(routes: DataFrame) -> DataFrame:
     return met.join(named, "token").select("bucket", "cls").distinct()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`cls, size, tokens` of the wanted classes."""
+def of_classes(docs: DataFrame, wanted: DataFrame, schema: str, describe) -> DataFrame:
+    """A row for each class of `wanted` (column `cls`): its class and what `describe(text, shingles)` makes of it."""
     spark = docs.sparkSession
+    names = T.StructType.fromDDL(schema).fieldNames()
+    types = to_arrow_schema(T.StructType.fromDDL(schema)).types
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter()
@@ -351,35 +412,60 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         index, data = count_rows(counts)
         yield pa.RecordBatch.from_arrays([pa.array(index, pa.int32()), pa.array(data, pa.binary())], names=["slice", "counts"])
 
-    # A filter of fixed size: it spares most sets the way where few are wanted; the join decides.
+    # A filter of fixed size: it spares most classes the way where few are wanted; the join decides.
     table = spark.sparkContext.broadcast(summed_counts(wanted.mapInArrow(slices, "slice int, counts binary")) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, seen = table.value, set()
-        for batch in batches:
-            keys, sizes, data = [], [], []
-            for t in text_bytes(batch.column(0)):
-                s = shingles(t)
-                if not len(s) or (key := class_key(s)) in seen:
-                    continue
-                seen.add(key)
-                if asked[(key & (1 << 64) - 1) >> (64 - COUNT_BITS)]:
-                    keys.append(key)
-                    sizes.append(len(s))
-                    data.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())],
-                names=["cls", "size", "tokens"],
-            )
+        asked = table.value
+        for some in new_classes(batches):
+            rows = [(k, *describe(t, s)) for t, k, s in some if asked[(k & (1 << 64) - 1) >> (64 - COUNT_BITS)]]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return id_and_text(docs).select("text").mapInArrow(run, schema).dropDuplicates(["cls"])
+
+
+def signature(_: bytes, s: np.ndarray) -> tuple[int, int, bytes]:
+    return len(s), int(s[0].view(np.int64)), bitmaps([s], octave_width(int(octave(len(s)))))[0].tobytes()
 
-    found = id_and_text(docs).select("text").mapInArrow(run, "cls bigint, size bigint, tokens binary")
-    return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+
+def packed_words(text: bytes, _: np.ndarray) -> tuple[bytes]:
+    """The words of a text, compressed: a third of what the hashes of its shingles take."""
+    return (zstandard.ZstdCompressor(level=3).compress(b" ".join(text.lower().split())),)
+
+
+def by_cell(table: pa.Table) -> Iterator[np.ndarray]:
+    """Row numbers of each cell."""
+    cell = table.column("cell").to_numpy()
+    order = np.lexsort((table.column("cls").to_numpy(), cell))
+    yield from np.split(order, np.flatnonzero(np.diff(cell[order])) + 1)
+
+
+def clusters(docs: DataFrame, cells: DataFrame, lot_bytes: int) -> DataFrame:
+    """`cell, cls, side, size`: the cells without the classes whose bitmaps have no partner in them, by cluster."""
+    lots = max(1, -(-cells.count() * 512 // lot_bytes))
+    marks = of_classes(docs, cells.select("cls").distinct(), "cls bigint, size bigint, first bigint, bits binary", signature)
+    rows = cells.join(marks, "cls").withColumn("lot", F.pmod("cell", F.lit(lots)))
+
+    def run(table: pa.Table) -> pa.Table:
+        size, side = table.column("size").to_numpy(), table.column("side").to_numpy()
+        first = table.column("first").to_numpy().view(np.uint64)
+        bits = table.column("bits").combine_chunks()
+        cell, number, kept = table.column("cell").to_numpy(), [], []
+        for rows in by_cell(table):
+            maps = [np.frombuffer(bits[int(i)].as_buffer(), np.uint64) for i in rows]
+            for k, members in enumerate(bucket_clusters(size[rows], first[rows], maps, side[rows])):
+                kept += rows[members].tolist()
+                number += [(int(cell[rows[0]]) + k * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)] * len(members)
+        left = table.select(["cls", "side", "size"]).take(pa.array(kept, pa.int64()))
+        return left.add_column(0, "cell", pa.array(number, pa.int64()))
+
+    return rows.groupBy("lot").applyInArrow(run, "cell bigint, cls bigint, side int, size bigint")
 
 
 def class_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_bytes: int) -> DataFrame:
     """`a, b`: links between classes, enough of them to join what all links join."""
     buckets = materialise(buckets, "buckets")
-    sets = materialise(sets_of(docs, buckets.select("cls").distinct()), "sets")
     sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("cls", F.lit(3)), F.col("chunks")).cast("int")
     # A class of chunk c meets the chunks k of its bucket, once for each.
@@ -391,24 +477,23 @@ def class_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_bytes
             (F.col("c") > F.col("k")).cast("int").alias("side"),
         )
     )
-    total = cells.join(sets.select("cls", "size"), "cls").agg(F.sum("size").alias("n")).first()["n"] or 0
+    cells = materialise(clusters(docs, cells, lot_bytes), "clusters")
+    total = cells.agg(F.sum("size").alias("n")).first()["n"] or 0
     lots = max(1, -(-8 * total // lot_bytes))
-    rows = cells.join(sets.select("cls", "tokens"), "cls").withColumn("lot", F.pmod("cell", F.lit(lots)))
+    texts = of_classes(docs, cells.select("cls").distinct(), "cls bigint, words binary", packed_words)
+    rows = cells.join(texts, "cls").select("cell", "cls", "side", "words", F.pmod("cell", F.lit(lots)).alias("lot"))
 
     def run(table: pa.Table) -> pa.Table:
-        cell, cls = table.column("cell").to_numpy(), table.column("cls").to_numpy()
-        side = table.column("side").to_numpy()
-        tokens = table.column("tokens").combine_chunks()
-        order = np.lexsort((cls, cell))
-        cuts = np.flatnonzero(np.diff(cell[order])) + 1
+        cls, side = table.column("cls").to_numpy(), table.column("side").to_numpy()
+        words = table.column("words").combine_chunks()
+        grow = zstandard.ZstdDecompressor().decompress
         a: list[int] = []
         b: list[int] = []
-        for rows in np.split(order, cuts):
-            sets = [np.frombuffer(tokens[int(i)].as_buffer(), np.uint64) for i in rows]
-            keys = cls[rows]
-            for x, y in bucket_links(keys, sets, side[rows]):
-                a.append(int(keys[x]))
-                b.append(int(keys[y]))
+        for rows in by_cell(table):
+            sets = [shingles(grow(words[int(i)].as_py())) for i in rows]
+            for x, y in bucket_links(sets, side[rows]):
+                a.append(int(cls[rows[x]]))
+                b.append(int(cls[rows[y]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.groupBy("lot").applyInArrow(run, "a bigint, b bigint")
@@ -471,14 +556,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [class_key(s) if len(s) else None for s in map(shingles, text_bytes(batch.column(at)))]
-            yield batch.append_column("cls", pa.array(keys, pa.int64()))
+            texts = text_bytes(batch.column(at))
+            for part in chunks([len(t) for t in texts], CHUNK_BYTES):
+                keys = [class_key(s) if len(s) else None for s in map(shingles, texts[part])]
+                yield batch[part].append_column("cls", pa.array(keys, pa.int64()))
 
     _, classes = class_roots(docs)
     first = F.min(F.struct(F.col("low").isNull(), F.col("low").alias("low"), F.col("cls").alias("cls")))
     chosen = classes.groupBy("root").agg(first.alias("x")).select("x.cls", "x.low")
-    keyed = inner.mapInArrow(run, T.StructType([*inner.schema.fields, T.StructField("cls", T.LongType())]))
+    # No words, no class; these rows need no key.
+    wordless = F.coalesce(F.btrim(F.col(f"_c{at}"), F.lit(SPACES)), F.lit("")) == ""
+    schema = T.StructType([*inner.schema.fields, T.StructField("cls", T.LongType())])
+    keyed = inner.where(~wordless).mapInArrow(run, schema)
     kept = keyed.join(chosen, "cls").where(F.col(key).eqNullSafe(F.col("low"))).dropDuplicates(["cls"])
-    rest = keyed.where(F.col("cls").isNull()).select(*inner.columns)
-    both = kept.select(*inner.columns).unionByName(rest)
+    both = kept.select(*inner.columns).unionByName(inner.where(wordless))
     return both.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))

@@ -122,7 +122,7 @@ def test_trees_lose_no_link(seed):
         label = list(range(70))
         want = list(range(70))
         for links, into in (
-            (sigtree.bucket_links(np.arange(70), sets, side), label),
+            (sigtree.bucket_links(sets, side), label),
             ([(i, j) for i in range(70) for j in range(i) if (side[i] != side[j] or not side.any()) and linked(sets[i], sets[j])], want),
         ):
             for i, j in links:
@@ -131,6 +131,34 @@ def test_trees_lose_no_link(seed):
         assert label == want
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_clusters_lose_no_link(seed):
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(60):
+        n = int(np.exp(rng.uniform(0, 7.5))) + 1
+        base = sets[rng.integers(len(sets))] if sets and rng.random() < 0.6 else rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        keep = np.unique(base[rng.random(len(base)) < rng.choice([0.8, 0.9, 0.99])])
+        sets.append(keep if len(keep) else np.unique(base))
+    marks = [sigtree.signature(b"", s) for s in sets]
+    sizes = np.array([m[0] for m in marks])
+    first = np.array([s[0] for s in sets])
+    maps = [np.frombuffer(m[2], np.uint64) for m in marks]
+    for side in (np.zeros(60, int), rng.integers(0, 2, 60)):
+        found = {frozenset((i, j)) for c in sigtree.bucket_clusters(sizes, first, maps, side) for i in c for j in c}
+        for i in range(60):
+            for j in range(i):
+                if side[i] != side[j] or not side.any():
+                    if 9 * sigtree.overlap(sets[i], sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+                        assert frozenset((i, j)) in found
+    alone = [rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) for n in (300, 310, 320, 330)]
+    marks = [sigtree.signature(b"", np.unique(s)) for s in alone]
+    assert not sigtree.bucket_clusters(
+        np.array([m[0] for m in marks]), np.array([s.min() for s in alone]),
+        [np.frombuffer(m[2], np.uint64) for m in marks], np.zeros(4, int),
+    )
+
+
 def test_empty(empty):
     assert sigtree.similar_documents(empty).count() == 0
     assert sigtree.one_of_each(empty).count() == 0
