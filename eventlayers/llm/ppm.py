@@ -20,7 +20,7 @@ No task holds more than one group or one shard, and nothing that grows with the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventlayers.llm.common import chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
+from eventlayers.llm.common import chunks, fold_of, hash_words, id_and_text, materialise, row_schema, sum_by, text_bytes
 
 ORDER = 5
 END = 256
 SYMBOLS = 257
 #: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
 #: and bytes of the parts in which a group is read.
-GROUP_BYTES, GROUPS, LEAST_BYTES = 48 << 20, 12, 4 << 20
+GROUP_BYTES, GROUPS, LEAST_BYTES = 32 << 20, 12, 4 << 20
 CHUNK_BYTES = 1 << 20
 PACK_BYTES = 32 << 20
 SHARDS = 64
@@ -141,6 +141,19 @@ def group_statistics(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part").applyInArrow(count, schema)
 
 
+def word_counts(words: pa.ChunkedArray, counts: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
+    """Looks up the counts of words of a group, by hash; by the words where two of the group share one."""
+    parts = [words.slice(k, 50_000).to_pylist() for k in range(0, len(words), 50_000)]
+    keys = np.concatenate([np.zeros(0, np.uint64), *map(hash_words, parts)])
+    order = np.argsort(keys)
+    keys, values = keys[order], counts[order]
+    if (keys[1:] == keys[:-1]).any():
+        found = dict(zip((w for p in parts for w in p), counts.tolist()))
+        return lambda some: np.fromiter((found[w] for w in some), np.float64, len(some))
+    del parts
+    return lambda some: values[np.searchsorted(keys, hash_words(some))]
+
+
 def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
     """log10 of the probability of each gram, given all grams of its shard and `low[context byte, symbol]`, the counts
     of order 1; the last two bytes of a context must be whole in the shard."""
@@ -238,7 +251,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         code, value = answers.column("code").to_numpy(), answers.column("value").to_numpy()
         is_word = code == WORD
-        found = dict(zip(answers.column("word").filter(pa.array(is_word)).to_pylist(), value[is_word].tolist()))
+        count_of = word_counts(answers.column("word").filter(pa.array(is_word)), value[is_word])
         order = np.argsort(code[~is_word])
         codes, log_p = code[~is_word][order], value[~is_word][order]
         floor = np.log10(tokens + kinds + 1)
@@ -246,7 +259,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
         for docs, texts in unpacked(table):
             got, lengths = gram_codes(texts)
             split = [[*t.lower().split(), b""] for t in texts]
-            counts = np.fromiter((found[w] for t in split for w in t), np.float64)
+            counts = count_of([w for t in split for w in t])
             many = np.fromiter(map(len, split), np.int64, len(split))
             out.append(pa.table({
                 "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": many,

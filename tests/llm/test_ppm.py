@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventlayers.llm import ppm
@@ -82,6 +84,14 @@ def test_probabilities_add_up():
         assert sum(10 ** log_probability(counts, past, s) for s in range(257)) == pytest.approx(1)
 
 
+def test_words_that_share_a_hash_keep_their_counts(monkeypatch):
+    words, counts = [b"a", b"b", b"", b"c"], np.array([4.0, 3.0, 2.0, 0.0])
+    column = pa.chunked_array([pa.array(words)])
+    assert ppm.word_counts(column, counts)([b"", b"c", b"a"]).tolist() == [2, 0, 4]
+    monkeypatch.setattr(ppm, "hash_words", lambda some: np.zeros(len(some), np.uint64))
+    assert ppm.word_counts(column, counts)([b"", b"c", b"a"]).tolist() == [2, 0, 4]
+
+
 def test_empty_and_untrained(spark, empty):
     assert ppm.score_texts(empty).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
