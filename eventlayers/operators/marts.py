@@ -58,13 +58,15 @@ def mart_rejects(gold: DataFrame, table: str) -> DataFrame:
     return classify(gold, table).filter("reason IS NOT NULL").drop("created_at")
 
 
-def clustered(rows: DataFrame, *partition_by: str, sort_key: str) -> DataFrame:
-    """Rows gathered per output folder and sorted inside each file by the lookup key.
+def clustered(rows: DataFrame, *partition_by: str, sort_key: str, parts: int = 256) -> DataFrame:
+    """Rows gathered per output folder and part of the lookup keys, and sorted inside each file by the key.
 
     REBALANCE lets adaptive execution split a folder that holds most of the batch and join
-    small ones, so one busy day is many tasks; the sort gives row groups narrow key ranges.
+    small ones, so one busy day is many tasks; a key's rows of a day share a file, and the key
+    filters of the other files keep a lookup out of them.
     """
-    return rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, sort_key)
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(sort_key), F.lit(parts)))
+    return dealt.hint("rebalance", *partition_by, "_part").sortWithinPartitions(*partition_by, sort_key).drop("_part")
 
 
 def write_jdbc(rows: DataFrame, url: str, table: str, **properties: str) -> None:
