@@ -15,8 +15,8 @@ the smallest id it can reach over links. Nothing is approximate: all steps befor
 
    is below what 0.8 asks of their smallest sizes. Leaf pairs that remain are bounded the same way, one by one.
    Only bitmaps travel for this; classes without a partner are done, the others are left in clusters.
-4. The texts of the classes in clusters follow, and a second traversal compares what its bounds leave exactly.
-   In both, pairs that are joined already are skipped: only the components matter, so groups of near copies
+4. The clusters of all buckets are joined to components of candidates, in which each class is once. The texts of
+   these follow, and a second traversal of signature trees compares what its bounds leave exactly. In both, pairs that are joined already are skipped: only the components matter, so groups of near copies
    cost about one comparison each, and no bucket emits more links than it has classes.
 5. Buckets above `bucket_rows` classes are cut into chunks, one tree each, and trees are joined chunk by chunk.
 6. Components of the links are found by alternating star contraction.
@@ -441,45 +441,54 @@ def by_cell(table: pa.Table) -> Iterator[np.ndarray]:
     yield from np.split(order, np.flatnonzero(np.diff(cell[order])) + 1)
 
 
-def clusters(docs: DataFrame, cells: DataFrame, lot_bytes: int) -> DataFrame:
-    """`cell, cls, side, size`: the cells without the classes whose bitmaps have no partner in them, by cluster."""
+def grid(buckets: DataFrame, bucket_rows: int) -> DataFrame:
+    """`cell, cls, side`: a bucket (`bucket, cls`) as pairs of chunks of at most about `bucket_rows` classes."""
+    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("cls", F.lit(3)), F.col("chunks")).cast("int")
+    # A class of chunk c meets the chunks k of its bucket, once for each.
+    return (
+        buckets.join(sizes, "bucket").withColumn("c", chunk)
+        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select(
+            F.xxhash64("bucket", F.least("c", "k"), F.greatest("c", "k")).alias("cell"), "cls",
+            (F.col("c") > F.col("k")).cast("int").alias("side"),
+        )
+    )
+
+
+def candidate_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_bytes: int) -> DataFrame:
+    """`a, b`: links that join all classes of a bucket between which the bitmaps leave a path."""
+    cells = grid(buckets, bucket_rows)
     lots = max(1, -(-cells.count() * 512 // lot_bytes))
-    marks = of_classes(docs, cells.select("cls").distinct(), "cls bigint, size bigint, first bigint, bits binary", signature)
+    marks = of_classes(docs, buckets.select("cls").distinct(), "cls bigint, size bigint, first bigint, bits binary", signature)
     rows = cells.join(marks, "cls").withColumn("lot", F.pmod("cell", F.lit(lots)))
 
     def run(table: pa.Table) -> pa.Table:
         size, side = table.column("size").to_numpy(), table.column("side").to_numpy()
-        first = table.column("first").to_numpy().view(np.uint64)
+        cls, first = table.column("cls").to_numpy(), table.column("first").to_numpy().view(np.uint64)
         bits = table.column("bits").combine_chunks()
-        cell, number, kept = table.column("cell").to_numpy(), [], []
+        a: list[int] = []
+        b: list[int] = []
         for rows in by_cell(table):
             maps = [np.frombuffer(bits[int(i)].as_buffer(), np.uint64) for i in rows]
-            for k, members in enumerate(bucket_clusters(size[rows], first[rows], maps, side[rows])):
-                kept += rows[members].tolist()
-                number += [(int(cell[rows[0]]) + k * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)] * len(members)
-        left = table.select(["cls", "side", "size"]).take(pa.array(kept, pa.int64()))
-        return left.add_column(0, "cell", pa.array(number, pa.int64()))
+            for members in bucket_clusters(size[rows], first[rows], maps, side[rows]):
+                keys = cls[rows[members]].tolist()
+                a += keys[1:]
+                b += keys[:1] * (len(keys) - 1)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("lot").applyInArrow(run, "cell bigint, cls bigint, side int, size bigint")
+    return rows.groupBy("lot").applyInArrow(run, "a bigint, b bigint")
 
 
 def class_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_bytes: int) -> DataFrame:
     """`a, b`: links between classes, enough of them to join what all links join."""
     buckets = materialise(buckets, "buckets")
-    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("cls", F.lit(3)), F.col("chunks")).cast("int")
-    # A class of chunk c meets the chunks k of its bucket, once for each.
-    cells = (
-        buckets.join(sizes, "bucket").withColumn("c", chunk)
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            F.xxhash64("bucket", F.least("c", "k"), F.greatest("c", "k")).alias("cell"), "cls",
-            (F.col("c") > F.col("k")).cast("int").alias("side"),
-        )
-    )
-    cells = materialise(clusters(docs, cells, lot_bytes), "clusters")
-    total = cells.agg(F.sum("size").alias("n")).first()["n"] or 0
-    lots = max(1, -(-8 * total // lot_bytes))
+    paths = components(candidate_links(docs, buckets, bucket_rows, lot_bytes))
+    # A class is in one candidate component, so its text goes one way only.
+    members = paths.select(F.col("root").alias("bucket"), F.col("node").alias("cls"))
+    roots = paths.select(F.col("root").alias("bucket"), F.col("root").alias("cls")).distinct()
+    cells = materialise(grid(members.unionByName(roots), bucket_rows), "cells")
+    lots = max(1, -(-cells.count() * 4096 // lot_bytes))
     texts = of_classes(docs, cells.select("cls").distinct(), "cls bigint, words binary", packed_words)
     rows = cells.join(texts, "cls").select("cell", "cls", "side", "words", F.pmod("cell", F.lit(lots)).alias("lot"))
 
