@@ -30,7 +30,6 @@ from eventlayers.llm.common import (
 
 #: Rows of the training sample, the bound of what the driver gets.
 SAMPLE_ROWS = 4_000
-#: At least so many rows of each language, up to the bound, are in the sample.
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 EPOCHS = 6

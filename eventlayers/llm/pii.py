@@ -49,7 +49,6 @@ HINTS = {
     "phone": lambda t: t.rlike(r"\+[0-9][\x20().0-9-]"),
 }
 TERM = rf"\p{{L}}{{{TERM_LETTERS},}}+"
-SPAN = "struct<start:bigint,kind:int,end:bigint>"
 MENTION = "struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>"
 
 
