@@ -35,7 +35,7 @@ END = 256
 SYMBOLS = 257
 #: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
 #: and bytes of the parts in which a group is read.
-GROUP_BYTES, GROUPS, LEAST_BYTES = 32 << 20, 12, 4 << 20
+GROUP_BYTES, GROUPS, LEAST_BYTES = 24 << 20, 12, 4 << 20
 CHUNK_BYTES = 1 << 20
 PACK_BYTES = 32 << 20
 SHARDS = 64
@@ -126,7 +126,7 @@ def group_statistics(rows: DataFrame) -> DataFrame:
                 for t in some:
                     for w in [*t.lower().split(), b""]:
                         words[w] = words.get(w, 0) + step
-            if len(new) > 8:
+            if len(new) > 4:
                 settle()
         settle()
         part = table.column("part")[0].as_py()
