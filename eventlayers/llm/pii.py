@@ -10,8 +10,9 @@ is compared with the information content IC(c) = ln(N / n(c)). Their ratio is th
 one if t never occurs without c, zero if they are independent. A term whose largest share reaches `remove_at`
 is removed wherever it occurs, one that reaches `generalise_at` is replaced by a general word.
 
-Nearby means within `CONTEXT` characters of a mention, so the pairs grow with the mentions and not with the
-square of anything; counts combine before they are shuffled, and equal contexts (copies) support a term once.
+Nearby means within `CONTEXT` characters of a mention in the whole text, whatever other values stand there, so the
+pairs grow with the mentions and not with the square of anything; counts combine before they are shuffled, and equal
+contexts (copies) support a term once.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ HINTS = {
     "phone": lambda t: t.rlike(r"\+[0-9][\x20().0-9-]"),
 }
 TERM = rf"\p{{L}}{{{TERM_LETTERS},}}+"
-MENTION = "struct<start:bigint,kind:int,end:bigint,value:string,before:string,after:string>"
+MENTION = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
 
 def _luhn(digits: Column) -> Column:
@@ -88,7 +89,7 @@ def match_starts(matches: Column, pieces: Column) -> Column:
 
 
 def mentions_of(text: Column, kind: str) -> Column:
-    """The passing matches of one kind, with what stands around them."""
+    """The passing matches of one kind."""
     number = KINDS.index(kind)
     pattern = F.lit(PATTERNS[kind])
     matches, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, PATTERNS[kind], -1)
@@ -101,8 +102,6 @@ def mentions_of(text: Column, kind: str) -> Column:
             return F.struct(
                 start.alias("start"), F.lit(number).alias("kind"),
                 (start + F.length(value)).alias("end"), value.alias("value"),
-                F.substring(F.get(p, i), -CONTEXT, CONTEXT).alias("before"),
-                F.substring(F.get(p, i + 1), 1, CONTEXT).alias("after"),
             )
 
         return F.transform(match_starts(m, p), mention)
@@ -119,6 +118,30 @@ def with_mentions(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", F.md5("text").alias("key"), F.sort_array(found).alias("mentions"))
 
 
+def in_context(text: Column, mentions: Column) -> Column:
+    """`kind, value, before, after` of each mention: the `CONTEXT` characters of the whole text on either side.
+
+    They are taken from the parts of the text around them, as finding a character by its number reads all before it.
+    """
+
+    def around(parts: Column) -> Column:
+        def window(first: Column, n: Column) -> Column:
+            i = F.floor(first / PART).cast("int")
+            both = F.concat(F.coalesce(F.get(parts, i), F.lit("")), F.coalesce(F.get(parts, i + 1), F.lit("")))
+            return F.substring(both, (first - i * PART + 1).cast("int"), n.cast("int"))
+
+        def placed(m: Column) -> Column:
+            first = F.greatest(m["start"] - CONTEXT, F.lit(0))
+            return F.struct(
+                m["kind"].alias("kind"), m["value"].alias("value"),
+                window(first, m["start"] - first).alias("before"), window(m["end"], F.lit(CONTEXT)).alias("after"),
+            )
+
+        return F.transform(mentions, placed)
+
+    return let(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PART}}}"), F.lit(0)), around)
+
+
 def joined(spans: Column) -> Column:
     """`kind:start:end` of each span, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
@@ -133,7 +156,7 @@ def disclosing_terms(
 ) -> DataFrame:
     """`term, disclosure, removed` of the terms that reveal an entity; `found` is what `with_mentions` returns."""
     mention = (
-        found.select("text", F.explode("mentions").alias("m"))
+        found.where(F.size("mentions") > 0).select(F.explode(in_context(F.col("text"), F.col("mentions"))).alias("m"))
         .select(
             F.concat_ws(
                 ":", F.col("m.kind").cast("string"),
