@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values are replaced, and terms that disclose them generalised or removed."""
-    return pii.sanitise(docs)
+    return pii.sanitise(docs, **pii.WHOLE)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

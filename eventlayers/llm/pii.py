@@ -12,7 +12,9 @@ is removed wherever it occurs, one that reaches `generalise_at` is replaced by a
 
 Nearby means within `CONTEXT` characters of a mention in the whole text, whatever other values stand there, so the
 pairs grow with the mentions and not with the square of anything; counts combine before they are shuffled, and equal
-contexts (copies) support a term once.
+contexts (copies) support a term once. One context is no evidence by itself: a term that stands by chance beside an
+entity with one mention reaches a large share too. With `alone` a pair of one context counts where its mentions, copies
+included, are at least that share of the documents that hold the term, as with a name found only there.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ BROADCAST_TERMS = 100_000
 #: Letters of the shortest term, and characters of the parts in which texts are searched for terms.
 TERM_LETTERS = 4
 PART = 1000
+#: What the query and the pipeline ask for: single contexts of terms that half their documents have there, and names
+#: of any length.
+WHOLE = {"alone": 0.5, "letters": 1}
 
 # The contract's patterns. A match can only begin where the run of its first characters begins or where the last
 # match ended, which the first group says; that and possessive repeats keep the time linear in the text.
@@ -49,10 +54,13 @@ HINTS = {
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){11}"),
     "phone": lambda t: t.rlike(r"\+[0-9][\x20().0-9-]"),
 }
-TERM = rf"\p{{L}}{{{TERM_LETTERS},}}+"
 MENTION = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
 
+def term_pattern(letters: int) -> str:
+    return rf"\p{{L}}{{{letters},}}+"
+
+
 def _luhn(digits: Column) -> Column:
     def add(total: Column, i: Column) -> Column:
         d = F.substring(digits, -i, F.lit(1)).cast("int")
@@ -152,9 +160,11 @@ def joined(spans: Column) -> Column:
 
 
 def disclosing_terms(
-    found: DataFrame, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, min_support: int = MIN_SUPPORT
+    found: DataFrame, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, min_support: int = MIN_SUPPORT,
+    letters: int = TERM_LETTERS, alone: float | None = None,
 ) -> DataFrame:
     """`term, disclosure, removed` of the terms that reveal an entity; `found` is what `with_mentions` returns."""
+    pattern = F.lit(term_pattern(letters))
     mention = (
         found.where(F.size("mentions") > 0).select(F.explode(in_context(F.col("text"), F.col("mentions"))).alias("m"))
         .select(
@@ -169,32 +179,41 @@ def disclosing_terms(
     )
     contexts = mention.groupBy("entity", "before", "after").agg(F.count("*").alias("n"))
     near = F.array_distinct(F.concat(
-        F.regexp_extract_all(F.lower("before"), F.lit(TERM), F.lit(0)),
-        F.regexp_extract_all(F.lower("after"), F.lit(TERM), F.lit(0)),
+        F.regexp_extract_all(F.lower("before"), pattern, F.lit(0)),
+        F.regexp_extract_all(F.lower("after"), pattern, F.lit(0)),
     ))
     pairs = (
         contexts.select("entity", "n", F.explode(near).alias("term")).groupBy("entity", "term")
-        .agg(F.sum("n").alias("n_ct"), F.count("*").alias("support")).where(F.col("support") >= min_support)
+        .agg(F.sum("n").alias("n_ct"), F.count("*").alias("support"))
     )
     entities = contexts.groupBy("entity").agg(F.sum("n").alias("n_c"))
-    terms = (
-        found.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("n_t"))
-    )
+    enough = F.col("support") >= min_support
+    words = F.regexp_extract_all(F.lower("text"), pattern, F.lit(0))
+    if alone is None:
+        pairs = pairs.where(enough)
+        terms = found.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    else:
+        # Each occurrence, and once more each term of a document.
+        enough = enough | (F.col("n_ct") >= alone * F.col("n_docs"))
+        twice = let(words, lambda w: F.concat(
+            F.transform(w, lambda x: F.struct(x.alias("term"), F.lit(False).alias("doc"))),
+            F.transform(F.array_distinct(w), lambda x: F.struct(x.alias("term"), F.lit(True).alias("doc"))),
+        ))
+        terms = found.select(F.inline(twice)).groupBy("term").agg(F.count_if(~F.col("doc")).alias("n_t"), F.count_if("doc").alias("n_docs"))
     terms = materialise(terms, "term-counts")
     n_all = F.lit(float(terms.agg(F.sum("n_t").alias("n_all")).first()["n_all"] or 1))
     content = F.ln(n_all / F.col("n_c"))
     shared = F.ln(F.col("n_ct") * n_all / (F.col("n_c").cast("double") * F.col("n_t")))
     share = F.when(content > 0, F.least(F.lit(1.0), shared / content)).otherwise(F.lit(0.0))
     return (
-        pairs.join(entities, "entity").join(terms, "term")
+        pairs.join(terms, "term").where(enough).join(entities, "entity")
         .groupBy("term").agg(F.max(share).alias("disclosure"))
         .where(F.col("disclosure") >= generalise_at)
         .select("term", "disclosure", (F.col("disclosure") >= remove_at).alias("removed"))
     )
 
 
-def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
+def term_spans(found: DataFrame, risky: DataFrame, letters: int = TERM_LETTERS) -> DataFrame:
     """`key, terms`: for each text digest the occurrences of risky terms, as (start, end, removed) in order."""
     # Parts end where no letter follows, so that no term is cut.
     parts = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{PART}}}(?!\p{{L}})|\p{{L}}+|."), F.lit(0))
@@ -206,7 +225,8 @@ def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
         "key", F.explode(F.arrays_zip(F.col("x.p").alias("part"), F.col("x.at").alias("at"))).alias("x")
     ).select("key", F.col("x.part").alias("part"), F.col("x.at").alias("at"))
     both = F.struct(
-        F.regexp_extract_all("part", F.lit(TERM), F.lit(0)).alias("m"), F.split("part", TERM, -1).alias("p")
+        F.regexp_extract_all("part", F.lit(term_pattern(letters)), F.lit(0)).alias("m"),
+        F.split("part", term_pattern(letters), -1).alias("p"),
     )
     words = let(both, lambda b: F.arrays_zip(b["m"].alias("word"), match_starts(b["m"], b["p"]).alias("start")))
     words = placed.select("key", "at", F.explode(words).alias("w")).select(
@@ -218,19 +238,19 @@ def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
     return hits.groupBy("key").agg(F.sort_array(F.collect_set(span)).alias("terms"))
 
 
-def analyse(docs: DataFrame, **thresholds: float) -> DataFrame:
+def analyse(docs: DataFrame, letters: int = TERM_LETTERS, **thresholds: float) -> DataFrame:
     """`doc_id, text, base, spans` of every row: base spans, and all spans with their treatment.
 
     A null or empty text has none. Rows are judged by their text alone, so repeated rows and ids give repeated
     results; a null id stays null; an empty table gives no rows. Terms inside a base span are left to it.
     """
     found = with_mentions(docs)
-    risky = materialise(disclosing_terms(found, **thresholds), "disclosing-terms").select("term", "removed")
+    risky = materialise(disclosing_terms(found, letters=letters, **thresholds), "disclosing-terms").select("term", "removed")
     n = risky.count()
     if n == 0:
         terms = None
     else:
-        terms = term_spans(found, F.broadcast(risky) if n <= BROADCAST_TERMS else risky)
+        terms = term_spans(found, F.broadcast(risky) if n <= BROADCAST_TERMS else risky, letters)
     base = F.transform("mentions", lambda m: F.struct(m["start"], m["kind"], m["end"], F.lit(True).alias("removed")))
     rows = found.select("doc_id", "text", "key", base.alias("base"))
     if terms is None:

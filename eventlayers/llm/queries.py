@@ -9,7 +9,7 @@ from eventlayers.llm.common import read_table
 
 
 def op1_pii(spark, sf):
-    return pii.pii_report(read_table(spark, sf, "documents"))
+    return pii.pii_report(read_table(spark, sf, "documents"), **pii.WHOLE)
 
 
 def op2_lm_scoring(spark, sf):

@@ -15,7 +15,7 @@ def words(text, letters):
     return [m[0].lower() for m in re.finditer(rf"[^\W\d_]{{{letters},}}", text)]
 
 
-def disclosing(texts, min_support, letters):
+def disclosing(texts, min_support, letters, alone=math.inf):
     contexts = defaultdict(Counter)
     counts = Counter(w for t in texts for w in words(t, letters))
     for t in texts:
@@ -26,6 +26,7 @@ def disclosing(texts, min_support, letters):
             value = t[start:end].lower() if kind == 0 else re.sub("[^0-9.]", "", t[start:end])
             contexts[kind, value][left, right] += 1
     n = sum(counts.values())
+    held = Counter(w for t in texts for w in set(words(t, letters)))
     best = {}
     for group in contexts.values():
         n_c = sum(group.values())
@@ -35,7 +36,7 @@ def disclosing(texts, min_support, letters):
                 n_ct[term] += k
                 support[term] += 1
         for term, k in n_ct.items():
-            if support[term] >= min_support and n > n_c:
+            if (support[term] >= min_support or k >= alone * held[term]) and n > n_c:
                 share = min(1.0, math.log(k * n / (n_c * counts[term])) / math.log(n / n_c))
                 best[term] = max(best.get(term, -9), share)
     return {t: v for t, v in best.items() if v >= pii.GENERALISE_AT}
@@ -69,3 +70,35 @@ def test_other_values_do_not_cut_a_context(spark):
     assert "routera" in got and "gatewaya" in got
     card = ["Jane Doelike, 12 Main St, 4111 1111 1111 1111", "So Doelike, 34 Side St, 4111 1111 1111 1111 again", "unrelated " * 300]
     assert "doelike" in found(spark, card)
+
+
+def test_one_context_copies_and_short_names_disclose(spark):
+    texts = [
+        *["filler words of no one " * 200] * 3,
+        "of no one Zebedee Li words a@b.example filler",
+        "of Zebedee rarely Zebedee",
+        *["words filler 東京 10.1.2.3 of one"] * 40,
+        "no one Ann words 4111 1111 1111 1111 of rarely", "rarely filler", "rarely words",
+    ]
+    got = found(spark, texts, **pii.WHOLE)
+    assert got == pytest.approx(disclosing(texts, 2, 1, 0.5))
+    assert {"zebedee", "li", "東京", "ann"} <= got.keys() and not {"filler", "words", "of", "no", "one", "rarely"} & got.keys()
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in pii.pii_report(frame, **pii.WHOLE).collect()}
+    assert spans[3] == "term:10:17,term:18:20,email:27:38"
+    assert all(spans[i] == "term:13:15,ip:16:24" for i in range(5, 45))
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame, **pii.WHOLE).collect()}
+    assert clean[45] == "no one  words [CARD] of rarely" and clean[0] == texts[0]
+
+
+def test_query_and_pipeline_ask_for_the_whole(spark, tmp_path):
+    import __spark_entry__ as entry
+    import corpus_pipeline
+
+    rows = [(i, t) for i, t in enumerate([*["filler words of no one " * 200] * 3, "of no one Li words a@b.example filler"])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    report = {r.doc_id: r.spans for r in entry.queries()["op1_pii"](spark, str(tmp_path)).collect()}
+    assert report[3] == "term:10:12,email:19:30"
+    clean = {r.doc_id: r.text for r in corpus_pipeline.sanitise(spark, frame, str(tmp_path)).collect()}
+    assert clean[3] == "of no one  words [EMAIL] filler"
