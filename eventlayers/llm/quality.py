@@ -11,7 +11,8 @@ from eventlayers.functions import keep_where
 from eventlayers.llm.common import WHITE
 
 SPACES = " \t\n\x0b\x0c\r"
-#: Frequent short words of the languages the rules know.
+#: Frequent short words of the languages the rules know, and the labels of these languages.
+STOP_WORD_LANGUAGES = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the of and to in that is for with on as by at be it this are or an not "
     "der die das und ist nicht ein eine zu den von mit auf im dem des sich auch "
@@ -22,19 +23,24 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """`low <= metric / per <= high`; a rule without a bound leaves that side open."""
+    """`low <= metric / per <= high`; a rule without a bound leaves that side open.
+
+    A rule with `languages` judges only documents whose column `lang` is one of them; without the label, or without
+    the column, it judges none.
+    """
 
     name: str
     metric: str
     per: str
     low: float | None = None
     high: float | None = None
+    languages: tuple[str, ...] = ()
 
 
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 14.0),
     Rule("symbols", "n_symbols", "n_words", None, 0.25),
-    Rule("stop_words", "n_stop_words", "n_words", 0.01, None),
+    Rule("stop_words", "n_stop_words", "n_words", 0.01, None, STOP_WORD_LANGUAGES),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 0.5),
 )
 
@@ -107,15 +113,24 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def label_of(docs: DataFrame) -> Column:
+    """The language label; null where there is no such column."""
+    return docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
 def passes(rules: tuple[Rule, ...] = RULES) -> Column:
-    """One condition for the whole table; a ratio over nothing counts as zero."""
+    """One condition for the whole table, with the label in `_lang`; a ratio over nothing counts as zero."""
     verdict = F.lit(True)
     for rule in rules:
         ratio = F.col(rule.metric) / F.greatest(F.col(rule.per), F.lit(1))
+        within = F.lit(True)
         if rule.low is not None:
-            verdict = verdict & (ratio >= rule.low)
+            within = within & (ratio >= rule.low)
         if rule.high is not None:
-            verdict = verdict & (ratio <= rule.high)
+            within = within & (ratio <= rule.high)
+        if rule.languages:
+            within = within | ~F.coalesce(F.lower("_lang").isin(*rule.languages), F.lit(False))
+        verdict = verdict & within
     return verdict
 
 
@@ -123,10 +138,11 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     """`doc_id`, the measures, `base_failed` and `kept` for every row.
 
     A null or empty text has no words and fails the base rule. Rows are judged one by one, so repeated rows get
-    repeated results; an empty table gives no rows; other columns of the input are not read.
+    repeated results; an empty table gives no rows; of the other columns of the input only `lang` is read.
     """
     text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), words_of(text).alias("words")).select("doc_id", *metrics())
+    rows = docs.select("doc_id", label_of(docs).alias("_lang"), text.alias("text"), words_of(text).alias("words"))
+    rows = rows.select("doc_id", "_lang", *metrics())
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), (~base_failed() & passes(rules)).alias("kept"),
@@ -137,8 +153,8 @@ def keep_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     """The rows of `docs`, with all their columns, that the rules keep."""
     names = docs.columns
     text = F.coalesce(docs["text"], F.lit(""))
-    inner = docs.select(*(docs[c].alias(f"_c{i}") for i, c in enumerate(names)), text.alias("text"))
+    inner = docs.select(*(docs[c].alias(f"_c{i}") for i, c in enumerate(names)), label_of(docs).alias("_lang"), text.alias("text"))
     rows = inner.select(*inner.columns, words_of(F.col("text")).alias("words"))
-    measured = rows.select(*(f"_c{i}" for i in range(len(names))), *metrics())
+    measured = rows.select(*(f"_c{i}" for i in range(len(names))), "_lang", *metrics())
     kept = keep_where(measured, ~base_failed() & passes(rules))
     return kept.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
