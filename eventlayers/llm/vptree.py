@@ -1,6 +1,6 @@
 """Nearest neighbours with vantage-point trees, one per shard.
 
-Vectors are dealt to shards of about `shard_rows`; each shard builds a tree whose inner nodes hold a vantage
+Vectors of each length are dealt to shards of about `shard_rows`; each shard builds a tree whose inner nodes hold a vantage
 point and the median distance to it, and whose leaves hold blocks of vectors. A query block walks the tree with
 all its queries at once; a side is skipped where the triangle inequality, relaxed by `relax`, says that it holds
 nothing nearer than the query's tenth best so far. At factor one nothing nearer is ever skipped; above one the
@@ -47,6 +47,7 @@ class Tree:
         self._build(np.arange(len(ids)), points, order)
         rows = np.concatenate(order) if order else np.zeros(0, np.int64)
         self.ids, self.points = ids[rows], points[rows]
+        self.repeats = len(np.unique(ids)) < len(ids)
 
     def _build(self, rows: np.ndarray, points: np.ndarray, order: list[np.ndarray]) -> int:
         at = len(self.nodes)
@@ -72,7 +73,7 @@ class Tree:
         return self._placed - len(rows)
 
     def search(self, own: int, query: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and distances of the k nearest points whose id is not `own`; ties go to the smaller id."""
+        """The k nearest ids other than `own`, each once, and their least distances; ties go to the smaller id."""
         ids, dist = np.zeros(0, np.int64), np.zeros(0)
         worst = math.inf
 
@@ -83,9 +84,11 @@ class Tree:
             if near.any():
                 ids = np.concatenate([ids, self.ids[first:last][near]])
                 dist = np.concatenate([dist, far[near]])
-                if len(ids) > k:
-                    best = np.lexsort((ids, dist))[:k]
-                    ids, dist = ids[best], dist[best]
+                if len(ids) > k or self.repeats:
+                    best = np.lexsort((ids, dist))
+                    if self.repeats:
+                        best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+                    ids, dist = ids[best[:k]], dist[best[:k]]
                 if len(ids) == k:
                     worst = float(dist.max())
             return far
@@ -118,21 +121,26 @@ def nearest_neighbours(
     """`query_id, rank, vec_id, score`: the k nearest vectors of every row that the condition `queries` chooses.
 
     Columns `vec_id` and `embedding` are read. Rows with a null id, or with a vector that is null, empty, zero or
-    not finite, take no part; so do vectors of another length than the longest usable one. Vectors may repeat and
-    tie (smaller ids first); rows that repeat an id are candidates once for each distinct vector and never for
-    their own id. Fewer candidates than k give fewer rows; an empty table gives none.
+    not finite, take no part. Vectors are neighbours of vectors of their own length only, whatever lengths occur.
+    They may repeat and tie (smaller ids first); an id with several vectors is one candidate, at the least distance
+    of any of them, and never for its own id. Fewer candidates than k give fewer rows; an empty table gives none.
     """
     double = F.col("embedding").cast("array<double>")
     rows = vectors.where(F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), double.alias("v"), queries.alias("asks")
     ).where(usable(F.col("v")))
-    sizes = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.count_if("asks").alias("q")).first()
+    rows = rows.withColumn("width", F.size("v"))
     schema = "query_id bigint, rank int, vec_id bigint, score double"
-    if not sizes["n"] or not sizes["q"]:
+    # One row per length; a length without queries needs no trees.
+    sizes = materialise(
+        rows.groupBy("width").agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).where(F.col("q") > 0)
+        .select("width", F.ceil(F.col("n") / shard_rows).alias("shards"), F.ceil(F.col("q") / query_block).alias("blocks")),
+        "vector-lengths",
+    )
+    if sizes.isEmpty():
         return vectors.sparkSession.createDataFrame([], schema)
-    shards, blocks = -(-sizes["n"] // shard_rows), -(-sizes["q"] // query_block)
-    rows = rows.where(F.size("v") == sizes["width"])
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
+    rows = rows.join(F.broadcast(sizes), "width")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.col("shards")).cast("int"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id", kind="stable")
@@ -140,17 +148,23 @@ def nearest_neighbours(
         _, first = np.unique(np.column_stack([part["vec_id"].to_numpy(np.float64), points]), axis=0, return_index=True)
         first = np.random.default_rng(7).permutation(np.sort(first))
         tree = Tree(part["vec_id"].to_numpy()[first], points[first])
-        return pd.DataFrame({"shard": part["shard"].iloc[:1], "tree": [pickle.dumps(tree)]})
+        one = part[["width", "shard", "blocks"]].iloc[:1].reset_index(drop=True)
+        return one.assign(tree=[pickle.dumps(tree)])
 
     index = materialise(
-        rows.groupBy("shard").applyInPandas(build, "shard int, tree binary"), "vantage-trees"
+        rows.groupBy("width", "shard").applyInPandas(build, "width int, shard int, blocks bigint, tree binary"),
+        "vantage-trees",
     )
     asked = (
         rows.where("asks")
-        .select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .select(
+            "width", "vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"),
+        )
+    )
+    blocked = index.select(
+        "width", "shard", "tree", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")
     )
-    blocked = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(key, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -162,8 +176,8 @@ def nearest_neighbours(
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     found = (
-        asked.groupBy("shard", "block")
-        .cogroup(blocked.groupBy("shard", "block"))
+        asked.groupBy("width", "shard", "block")
+        .cogroup(blocked.groupBy("width", "shard", "block"))
         .applyInPandas(search, "query_id bigint, vec_id bigint, score double")
     )
     nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
