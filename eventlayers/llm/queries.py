@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventlayers.llm import bpe, langid, packing, pii, ppm, quality, sigtree, token_counts, toxicity, vptree
+from eventlayers.llm import (
+    bpe,
+    langid,
+    lexsearch,
+    packing,
+    pii,
+    ppm,
+    quality,
+    sigtree,
+    simhash,
+    token_counts,
+    toxicity,
+    variants,
+    vptree,
+)
 from eventlayers.llm.common import read_table
 
 
@@ -48,13 +62,32 @@ def op10_bpe(spark, sf):
     return bpe.encode_digests(read_table(spark, sf, "documents"))
 
 
+def op11_simhash(spark, sf):
+    return simhash.near_duplicates(read_table(spark, sf, "documents"))
+
+
+def op12_spelling_variants(spark, sf):
+    return variants.spelling_variants(read_table(spark, sf, "documents"))
+
+
+def op13_lexical_search(spark, sf):
+    return lexsearch.lexical_search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii, op2_lm_scoring, op3_jaccard_join, op4_token_counts, op5_toxicity, op6_best_fit_packing, op7_nearest_neighbours,
-        op8_quality_rules, op9_language_id, op10_bpe,
+        op8_quality_rules, op9_language_id, op10_bpe, op11_simhash, op12_spelling_variants, op13_lexical_search,
     )
 }
+
+
+def _terms(text: str) -> str:
+    plain = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({plain}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 
 ORACLES: dict[str, str] = {
@@ -100,4 +133,23 @@ ORACLES: dict[str, str] = {
                    AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AS kept
         FROM b
     """,
+    "op13_lexical_search": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, {_terms("text")} AS ts FROM documents),
+        n AS (SELECT rid, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+        s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+        f AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d) GROUP BY ALL),
+        h AS (SELECT t, count(*) AS df FROM f GROUP BY t),
+        w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM h, s),
+        q AS (SELECT DISTINCT item_id, unnest({_terms("text")}) AS t FROM benchmark),
+        r AS (
+            SELECT item_id, rid, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+            FROM q JOIN w USING (t) JOIN f USING (t) JOIN n USING (rid), s GROUP BY item_id, rid, doc_id),
+        k AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM r WHERE score > 0)
+        SELECT * FROM k WHERE rank <= 50
+    """,
 }
