@@ -56,15 +56,14 @@ def attach(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFram
     """The columns of `table`, which has each key of `rows` once, at every row; `weight` is the key's number of rows.
 
     Hot keys, of which there are at most `HOT_KEYS`, are joined by broadcast, so that no task gets all rows of one;
-    the others by shuffle. A null key has its row of the table too. `weight` is dropped.
+    the others by shuffle. `table` is read several times and should be a written one. `weight` is dropped.
     """
-    table = materialise(table, "lookup")
     total = table.agg(F.sum(weight)).first()[0] or 0
     hot = F.col(weight) * HOT_KEYS >= total
     few = table.where(hot).drop(weight).select(F.col(key).alias("_key"), *(c for c in table.columns if c not in (key, weight)))
     rest = table.where(~hot).drop(weight)
-    near = rows.join(F.broadcast(few), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    far = rows.join(F.broadcast(few.select("_key")), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    near = rows.join(F.broadcast(few), F.col(key) == F.col("_key")).drop("_key")
+    far = rows.join(F.broadcast(few.select("_key")), F.col(key) == F.col("_key"), "left_anti")
     return near.unionByName(far.join(rest, key))
 
 

@@ -15,31 +15,40 @@ byte) instead of per byte of text:
    contexts between which its grams escape) and get their log probabilities;
 3. each group receives the grams and words that it asked for, and sums them over its documents.
 
-No task holds more than one group or one shard, and nothing that grows with the corpus is broadcast or collected.
+There are as many shards as the grams need, by the last two bytes of the context; a pair of bytes with more grams than a shard
+should hold is dealt further by the byte before, with the counts of its order 2 passed along, as those of order 1 are
+for all. A shard then has at most the 2^16 contexts that end in three given bytes besides what hashes to it. What is
+broadcast or collected is bounded by the number of byte pairs (65,536) times symbols (257), whatever the corpus.
+
+The score sees bytes as they are; only the base lower-cases A-Z.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventlayers.llm.common import chunks, fold_of, hash_words, id_and_text, materialise, row_schema, sum_by, text_bytes
+from eventlayers.llm.common import attach, chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
 
 ORDER = 5
 END = 256
 SYMBOLS = 257
 #: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
 #: and bytes of the parts in which a group is read.
-GROUP_BYTES, GROUPS, LEAST_BYTES = 24 << 20, 12, 4 << 20
-CHUNK_BYTES = 1 << 20
+GROUP_BYTES, GROUPS, LEAST_BYTES = 20 << 20, 12, 4 << 20
+CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 1 << 14
 PACK_BYTES = 32 << 20
-SHARDS = 64
+#: Grams that a shard should hold.
+SHARD_GRAMS = 1_000_000
 WORD = -1
+_PAIR = 0xFFFF
 
 
 def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,41 +103,53 @@ def unpacked(table: pa.Table) -> Iterator[tuple[pa.Table, list[bytes]]]:
     for packed in table.column("docs"):
         docs = pa.ipc.open_stream(packed.as_buffer()).read_all()
         texts = text_bytes(docs.column(1).combine_chunks())
-        for some in chunks([len(t) for t in texts], CHUNK_BYTES):
+        for some in chunks([len(t) + CHUNK_BYTES // CHUNK_DOCS for t in texts], CHUNK_BYTES):
             yield docs.slice(some.start, some.stop - some.start), texts[some]
 
 
+def symbols_of(table: pa.Table) -> int:
+    """Number of symbols of a group."""
+    n = 0
+    for packed in table.column("docs"):
+        texts = pa.ipc.open_stream(packed.as_buffer()).read_all().column(1).combine_chunks()
+        n += len(texts) + int(pc.sum(pc.binary_length(texts)).as_py() or 0)
+    return n
+
+
+def distinct_codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes in `keys` (a code, then one bit that is set outside training), and how often each is in training.
+
+    Sorts `keys` in place.
+    """
+    keys.sort()
+    at = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    kinds = keys[at]
+    counts = np.where(kinds & 1, 0, np.diff(at, append=len(keys)))
+    codes = kinds >> 1
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(codes)), bool), codes[1:] != codes[:-1]]))
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def group_statistics(rows: DataFrame) -> DataFrame:
     """`part, code, word, n`: what each group asks for, with its training counts; the empty word is the end."""
 
     def count(table: pa.Table) -> pa.Table:
-        words: dict[bytes, int] = {}
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        new: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def settle() -> None:
-            nonlocal codes, counts
-            all_codes = np.concatenate([codes, *(c for c, _ in new)])
-            all_counts = np.concatenate([counts, *(n for _, n in new)])
-            new.clear()
-            codes, at = np.unique(all_codes, return_inverse=True)
-            counts = np.bincount(at, all_counts, len(codes)).astype(np.int64)
-
+        words, unseen = Counter({b"": 0}), set()
+        keys, at = np.empty(symbols_of(table), np.int64), 0
         for docs, texts in unpacked(table):
-            held = docs.column("held_out").to_pylist()
-            for training in (True, False):
-                some = [t for t, h in zip(texts, held) if h != training]
-                if not some:
-                    continue
-                got, n = np.unique(gram_codes(some)[0], return_counts=True)
-                new.append((got, n if training else np.zeros(len(n), np.int64)))
-                step = int(training)
-                for t in some:
-                    for w in [*t.lower().split(), b""]:
-                        words[w] = words.get(w, 0) + step
-            if len(new) > 4:
-                settle()
-        settle()
+            held = docs.column("held_out").to_numpy()
+            codes, lengths = gram_codes(texts)
+            keys[at : at + len(codes)] = (codes << 1) | np.repeat(held, lengths)
+            at += len(codes)
+            for t, out in zip(texts, held.tolist()):
+                if out:
+                    unseen.update(t.lower().split())
+                else:
+                    words.update(t.lower().split())
+            words[b""] += len(texts) - int(held.sum())
+        words.update(dict.fromkeys(unseen, 0))
+        codes, counts = distinct_codes(keys)
+        del keys
         part = table.column("part")[0].as_py()
         return pa.table({
             "part": pa.array(np.full(len(codes) + len(words), part, np.int32)),
@@ -141,29 +162,29 @@ def group_statistics(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part").applyInArrow(count, schema)
 
 
-def word_counts(words: pa.ChunkedArray, counts: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
-    """Looks up the counts of words of a group, by hash; by the words where two of the group share one."""
-    parts = [words.slice(k, 50_000).to_pylist() for k in range(0, len(words), 50_000)]
-    keys = np.concatenate([np.zeros(0, np.uint64), *map(hash_words, parts)])
-    order = np.argsort(keys)
-    keys, values = keys[order], counts[order]
-    if (keys[1:] == keys[:-1]).any():
-        found = dict(zip((w for p in parts for w in p), counts.tolist()))
-        return lambda some: np.fromiter((found[w] for w in some), np.float64, len(some))
-    del parts
-    return lambda some: values[np.searchsorted(keys, hash_words(some))]
-
-
-def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) -> np.ndarray:
+def log_probabilities(
+    codes: np.ndarray, counts: np.ndarray, low: np.ndarray, hot: np.ndarray, hot_counts: np.ndarray
+) -> np.ndarray:
     """log10 of the probability of each gram, given all grams of its shard and `low[context byte, symbol]`, the counts
-    of order 1; the last two bytes of a context must be whole in the shard."""
+    of order 1.
+
+    All contexts that end in the same two bytes must be in the shard; for pairs in `hot`, which is sorted, only those
+    that end in the same three, as `hot_counts[pair's place, symbol]` has the counts of order 2.
+    """
     symbol = codes & 511
     # Counts of each order, at each gram: of the symbol, of the context, and the kinds it has seen.
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     for order in range(ORDER, 1, -1):
         suffix = codes & ((1 << (8 * order + 9)) - 1)
         keys, at = np.unique(suffix, return_inverse=True)
-        levels.append((keys >> 9, keys & 511, np.bincount(at, counts, len(keys)), at))
+        n = np.bincount(at, counts, len(keys))
+        if order == 2:
+            place = np.searchsorted(hot, keys >> 9)
+            is_hot = place < len(hot)
+            is_hot[is_hot] = hot[place[is_hot]] == keys[is_hot] >> 9
+            place = place[is_hot]
+            n[is_hot] = hot_counts[place, keys[is_hot] & 511]
+        levels.append((keys >> 9, keys & 511, n, at))
     first = (codes >> 9) & 255
     zero = low.sum(axis=0)
     log_p = np.zeros(len(codes))
@@ -176,8 +197,11 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) ->
             context, _, n, at = levels[k]
             c = n[at]
             _, ctx = np.unique(context, return_inverse=True)
-            total = np.bincount(ctx, n)[ctx][at]
-            kinds = np.bincount(ctx, n > 0)[ctx][at]
+            total, kinds = np.bincount(ctx, n)[ctx], np.bincount(ctx, n > 0)[ctx]
+            if order == 2:
+                total[is_hot] = hot_counts.sum(axis=1)[place]
+                kinds[is_hot] = (hot_counts > 0).sum(axis=1)[place]
+            total, kinds = total[at], kinds[at]
         elif order == 1:
             c = low[first, symbol]
             total, kinds = low.sum(axis=1)[first], (low > 0).sum(axis=1)[first]
@@ -199,7 +223,9 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) ->
             out_count = np.bincount(ctx, np.where(n > 0, in_short, 0))[ctx][at]
         elif order == 2:
             in_short = low[context & 255, levels[k][1]]
-            out_count = np.bincount(ctx, np.where(n > 0, in_short, 0))[ctx][at]
+            out_count = np.bincount(ctx, np.where(n > 0, in_short, 0))[ctx]
+            out_count[is_hot] = np.where(hot_counts > 0, low[hot & 255], 0).sum(axis=1)[place]
+            out_count = out_count[at]
         elif order == 1:
             out_count = np.where(low > 0, zero[None, :], 0).sum(axis=1)[first]
         out_kinds = kinds
@@ -208,7 +234,9 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, low: np.ndarray) ->
     return log_p
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def score_texts(
+    docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int = GROUP_BYTES, shard_grams: int = SHARD_GRAMS
+) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` of every row.
 
     The model and the base's word counts come from all rows outside the held-out fold. A null or empty text is its
@@ -218,13 +246,10 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     rows = dealt(docs, group_bytes, folds, held)
     asked = materialise(group_statistics(rows), "gram-counts")
     grams = materialise(asked.where(F.col("code") != WORD).groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    # One shuffle gives each group's words their counts in all groups; a word is in a group once.
-    word = Window.partitionBy("word")
-    words = asked.where(F.col("code") == WORD).select(
-        "part", "word", F.sum("n").over(word).cast("double").alias("value"), (F.min("part").over(word) == F.col("part")).alias("first")
-    )
-    words = materialise(words, "words")
-    known = words.where("first").agg(F.sum("value").alias("tokens"), F.count_if(F.col("value") > 0).alias("kinds")).first()
+    words = asked.where(F.col("code") == WORD)
+    counted = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"), F.count("*").alias("groups"))
+    counted = materialise(counted, "words")
+    known = counted.agg(F.sum("value").alias("tokens"), F.count_if(F.col("value") > 0).alias("kinds")).first()
     tokens, kinds = int(known["tokens"] or 0), known["kinds"] or 0
     # At most 256 contexts of one byte times 257 symbols: bounded whatever the corpus.
     low = np.zeros((256, SYMBOLS))
@@ -233,16 +258,29 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     for r in of_order_1.collect():
         low[r["byte"], r["symbol"]] = r["n"]
 
+    last_two = F.shiftright("code", 9).bitwiseAND(_PAIR)
+    sizes = dict(grams.groupBy(last_two.alias("pair")).count().collect())
+    shards = max(1, -(-sum(sizes.values()) // shard_grams))
+    hot = np.array(sorted(p for p, n in sizes.items() if n > shard_grams), np.int64)
+    hot_counts = np.zeros((len(hot), SYMBOLS))
+    is_hot = last_two.isin(hot.tolist())
+    if len(hot):
+        of_order_2 = grams.where(is_hot).groupBy(last_two.alias("pair"), F.col("code").bitwiseAND(511).alias("symbol"))
+        for r in of_order_2.agg(F.sum("n").alias("n")).collect():
+            hot_counts[np.searchsorted(hot, r["pair"]), r["symbol"]] = r["n"]
+    few = docs.sparkSession.sparkContext.broadcast((low, hot, hot_counts))
+
     def shard_probabilities(table: pa.Table) -> pa.Table:
         codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy().astype(np.float64)
-        return pa.table({"code": codes, "value": log_probabilities(codes, counts, low)})
+        return pa.table({"code": codes, "value": log_probabilities(codes, counts, *few.value)})
 
-    shard = F.pmod(F.xxhash64(F.shiftright("code", 9).bitwiseAND(0xFFFF)), F.lit(SHARDS))
+    third = F.when(is_hot, F.shiftright("code", 25).bitwiseAND(255)).otherwise(-1)
+    shard = F.pmod(F.xxhash64(last_two, third), F.lit(shards))
     priced = grams.groupBy(shard.alias("shard")).applyInArrow(shard_probabilities, "code bigint, value double")
     answers = (
         asked.where(F.col("code") != WORD).select("part", "code").join(priced, "code")
         .select("part", "code", F.lit(None).cast("binary").alias("word"), "value")
-        .unionByName(words.select("part", F.lit(WORD).cast("long").alias("code"), "word", "value"))
+        .unionByName(attach(words.select("part", "code", "word"), counted, "word", "groups"))
     )
 
     rest = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -251,21 +289,29 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, group_bytes: int
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         code, value = answers.column("code").to_numpy(), answers.column("value").to_numpy()
         is_word = code == WORD
-        count_of = word_counts(answers.column("word").filter(pa.array(is_word)), value[is_word])
+        # Zero for words that training has not seen, and above zero for the others.
+        gain = dict(zip(answers.column("word").filter(pa.array(is_word)).to_pylist(), np.log10(value[is_word] + 1).tolist()))
         order = np.argsort(code[~is_word])
         codes, log_p = code[~is_word][order], value[~is_word][order]
         floor = np.log10(tokens + kinds + 1)
         out = [pa.table([[], [], [], [], [], [], []], schema=to_arrow_schema(schema))]
         for docs, texts in unpacked(table):
             got, lengths = gram_codes(texts)
-            split = [[*t.lower().split(), b""] for t in texts]
-            counts = count_of([w for t in split for w in t])
+            # Equal codes come together and are looked up once; the document goes along.
+            got = (got << 14) | np.repeat(np.arange(len(texts)), lengths)
+            got.sort()
+            keys = got >> 14
+            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            found = np.repeat(log_p[np.searchsorted(codes, keys[at])], np.diff(at, append=len(keys)))
+            split = [t.lower().split() for t in texts]
             many = np.fromiter(map(len, split), np.int64, len(split))
+            gains = np.fromiter((gain[w] for t in split for w in t), np.float64, int(many.sum()))
+            end, many_and_end = gain[b""], many + 1
             out.append(pa.table({
-                "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": many,
-                "n_known": sum_by(counts > 0, many).astype(np.int64), "train_tokens": np.full(len(texts), tokens),
-                "base_score": sum_by(np.log10(counts + 1) - floor, many),
-                "score": sum_by(log_p[np.searchsorted(codes, got)], lengths),
+                "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": many_and_end,
+                "n_known": sum_by(gains > 0, many).astype(np.int64) + int(end > 0), "train_tokens": np.full(len(texts), tokens),
+                "base_score": sum_by(gains, many) + end - floor * many_and_end,
+                "score": np.bincount(got & (CHUNK_DOCS - 1), found, len(texts)),
             }, schema=out[0].schema))
         return pa.concat_tables(out)
 

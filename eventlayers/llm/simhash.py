@@ -197,5 +197,6 @@ def near_duplicates(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     joined = named.where(F.col("fp") != F.col("root")).select("root").distinct()
     least = named.join(joined, "root", "left_semi").groupBy("root").agg(F.min("low").alias("least"))
     of_class = named.join(least, "root", "left").select("fp", "n", F.coalesce("least", "low").alias("component_id"))
+    of_class = materialise(of_class, "fingerprint-components")
     whole = attach(rows, of_class, "fp", "n")
     return whole.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -6,7 +6,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from eventlayers.llm import ppm
@@ -78,20 +77,30 @@ def test_few_texts_with_zero_bytes(spark):
     compare(ppm.score_texts(frame, group_bytes=200).collect(), brute(rows))
 
 
+@pytest.mark.parametrize("shard_grams", [1, 40, 400])
+def test_hot_pairs_are_dealt_by_a_third_byte(spark, shard_grams):
+    """All, many or one of the byte pairs outgrow a shard, in text where one pair is everywhere."""
+    rng = random.Random(shard_grams)
+    rows = [(i, "".join(rng.choices(["the ", "the", "th", "a", "é", "xy"], k=rng.randint(0, 40)))) for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compare(ppm.score_texts(frame, group_bytes=700, shard_grams=shard_grams).collect(), brute(rows))
+
+
+def test_distinct_codes():
+    rng = np.random.default_rng(1)
+    codes, held = rng.integers(0, 50, 400), rng.integers(0, 2, 400)
+    got = ppm.distinct_codes((codes << 1) | held)
+    want = {c: int((held[codes == c] == 0).sum()) for c in np.unique(codes).tolist()}
+    assert dict(zip(*(x.tolist() for x in got))) == want and got[0].tolist() == sorted(want)
+    assert [len(x) for x in ppm.distinct_codes(np.zeros(0, np.int64))] == [0, 0]
+
+
 def test_probabilities_add_up():
     counts = trie([b"abracadabra", b"banana band"])
     for past in (bytes(5), b"\0\0\0ab", b"dabra", b"zzzzz", b"banan"):
         assert sum(10 ** log_probability(counts, past, s) for s in range(257)) == pytest.approx(1)
 
 
-def test_words_that_share_a_hash_keep_their_counts(monkeypatch):
-    words, counts = [b"a", b"b", b"", b"c"], np.array([4.0, 3.0, 2.0, 0.0])
-    column = pa.chunked_array([pa.array(words)])
-    assert ppm.word_counts(column, counts)([b"", b"c", b"a"]).tolist() == [2, 0, 4]
-    monkeypatch.setattr(ppm, "hash_words", lambda some: np.zeros(len(some), np.uint64))
-    assert ppm.word_counts(column, counts)([b"", b"c", b"a"]).tolist() == [2, 0, 4]
-
-
 def test_empty_and_untrained(spark, empty):
     assert ppm.score_texts(empty).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
