@@ -1,9 +1,9 @@
 """Nearest neighbours with vantage-point trees, one per shard.
 
 Vectors of each length are dealt to shards of about `shard_rows`; each shard builds a tree whose inner nodes hold a vantage
-point and the median distance to it, and whose leaves hold blocks of vectors. A query block walks the tree with
-all its queries at once; a side is skipped where the triangle inequality, relaxed by `relax`, says that it holds
-nothing nearer than the query's tenth best so far. At factor one nothing nearer is ever skipped; above one the
+point, the distances from it at which its nearer half ends and its farther half begins, and whose leaves hold blocks
+of vectors. Each tree goes to one task, and the queries pass by it in batches; a side is skipped where the triangle
+inequality, relaxed by `relax`, says that it holds nothing nearer than the query's tenth best so far. At factor one nothing nearer is ever skipped; above one the
 best distance counts as so many times smaller, so more is skipped. Reported distances are exact.
 """
 
@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import math
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,6 @@ from eventlayers.llm.common import materialise
 
 SHARD_ROWS = 20_000
 LEAF_ROWS = 128
-QUERY_BLOCK = 2_000
 NEIGHBOURS = 10
 RELAX = 1.0
 
@@ -37,7 +38,8 @@ def distances(query: np.ndarray, points: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Points in leaf order; nodes are (vantage row, median, inner, outer) or (first, last) of a leaf's rows."""
+    """Points in leaf order; nodes are (vantage row, end of the inner half, start of the outer half, inner, outer) or
+    (first, last) of a leaf's rows. Halves are by count, so ties are halved too."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS):
         order: list[np.ndarray] = []
@@ -55,14 +57,13 @@ class Tree:
         if len(rows) > self.leaf_rows:
             vantage, rest = rows[0], rows[1:]
             far = distances(points[vantage], points[rest])
-            median = float(np.median(far))
-            inner, outer = rest[far <= median], rest[far > median]
-            if len(outer):
-                place = self._place(rows[:1], order)
-                a = self._build(inner, points, order)
-                b = self._build(outer, points, order)
-                self.nodes[at] = (place, median, a, b)
-                return at
+            by_distance = np.argsort(far, kind="stable")
+            inner, outer = np.split(by_distance, [len(rest) // 2])
+            place = self._place(rows[:1], order)
+            a = self._build(rest[inner], points, order)
+            b = self._build(rest[outer], points, order)
+            self.nodes[at] = (place, float(far[inner[-1]]), float(far[outer[0]]), a, b)
+            return at
         place = self._place(rows, order)
         self.nodes[at] = (place, place + len(rows))
         return at
@@ -103,10 +104,10 @@ class Tree:
             if len(node) == 2:
                 offer(*node)
                 continue
-            place, median, inner, outer = node
+            place, ends, begins, inner, outer = node
             far = float(offer(place, place + 1)[0])
-            sides = [(inner, max(bound, far - median)), (outer, max(bound, median - far))]
-            stack += sides if far > median else sides[::-1]
+            sides = [(inner, max(bound, far - ends)), (outer, max(bound, begins - far))]
+            stack += sides if far > (ends + begins) / 2 else sides[::-1]
         return ids, dist
 
 
@@ -116,7 +117,6 @@ def nearest_neighbours(
     k: int = NEIGHBOURS,
     relax: float = RELAX,
     shard_rows: int = SHARD_ROWS,
-    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """`query_id, rank, vec_id, score`: the k nearest vectors of every row that the condition `queries` chooses.
 
@@ -134,7 +134,7 @@ def nearest_neighbours(
     # One row per length; a length without queries needs no trees.
     sizes = materialise(
         rows.groupBy("width").agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).where(F.col("q") > 0)
-        .select("width", F.ceil(F.col("n") / shard_rows).alias("shards"), F.ceil(F.col("q") / query_block).alias("blocks")),
+        .select("width", F.ceil(F.col("n") / shard_rows).alias("shards")),
         "vector-lengths",
     )
     if sizes.isEmpty():
@@ -144,42 +144,47 @@ def nearest_neighbours(
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id", kind="stable")
-        points = np.array(part["v"].tolist(), np.float64).reshape(len(part), -1)
-        _, first = np.unique(np.column_stack([part["vec_id"].to_numpy(np.float64), points]), axis=0, return_index=True)
-        first = np.random.default_rng(7).permutation(np.sort(first))
-        tree = Tree(part["vec_id"].to_numpy()[first], points[first])
-        one = part[["width", "shard", "blocks"]].iloc[:1].reset_index(drop=True)
+        # Adding zero makes the negative zero a plain one.
+        points = np.array(part["v"].tolist(), np.float64).reshape(len(part), -1) + 0.0
+        ids = part["vec_id"].to_numpy(np.int64)
+        once: dict[tuple[int, bytes], int] = {}
+        for at, (i, p) in enumerate(zip(ids.tolist(), points)):
+            once.setdefault((i, p.tobytes()), at)
+        first = np.random.default_rng(7).permutation(np.fromiter(once.values(), np.int64, len(once)))
+        tree = Tree(ids[first], points[first])
+        one = part[["width", "shard"]].iloc[:1].reset_index(drop=True)
         return one.assign(tree=[pickle.dumps(tree)])
 
     index = materialise(
-        rows.groupBy("width", "shard").applyInPandas(build, "width int, shard int, blocks bigint, tree binary"),
+        rows.groupBy("width", "shard").applyInPandas(build, "width int, shard int, tree binary"),
         "vantage-trees",
     )
-    asked = (
-        rows.where("asks")
-        .select(
-            "width", "vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int").alias("block"),
-            F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"),
-        )
+    asked = rows.where("asks").select(
+        "width", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"),
+        F.lit(None).cast("binary").alias("tree"), "vec_id", "v",
     )
-    blocked = index.select(
-        "width", "shard", "tree", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")
-    )
-
-    def search(key, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(index) and len(queries):
-            tree: Tree = pickle.loads(index["tree"].iloc[0])
-            for own, v in zip(queries["vec_id"].tolist(), queries["v"]):
-                ids, dist = tree.search(own, np.asarray(v, np.float64), k, relax)
-                out += zip([own] * len(ids), ids.tolist(), dist.tolist())
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
+    trees = index.select("width", "shard", "tree", F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<double>").alias("v"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree: Tree | None = None
+        for batch in batches:
+            out: list[tuple[int, int, float]] = []
+            for packed, own, v in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
+                if packed.is_valid:
+                    tree = pickle.loads(packed.as_buffer())
+                else:
+                    ids, dist = tree.search(own, v.values.to_numpy(), k, relax)
+                    out += zip([own] * len(ids), ids.tolist(), dist.tolist())
+            columns = zip(*out) if out else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"]
+            )
+
+    # The tree of a shard comes before its queries: nulls sort first.
     found = (
-        asked.groupBy("width", "shard", "block")
-        .cogroup(blocked.groupBy("width", "shard", "block"))
-        .applyInPandas(search, "query_id bigint, vec_id bigint, score double")
-    )
+        trees.unionByName(asked).repartition("width", "shard").sortWithinPartitions("width", "shard", "vec_id")
+        .mapInArrow(search, "query_id bigint, vec_id bigint, score double")
+    )
     nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return (

@@ -40,8 +40,8 @@ def frame_of(spark, rows):
     return spark.createDataFrame([(i, v, 0.5) for i, v in rows], "vec_id bigint, embedding array<double>, score double").repartition(3)
 
 
-@pytest.mark.parametrize("shard_rows, query_block", [(1000, 1000), (40, 7)])
-def test_exact_at_factor_one(spark, shard_rows, query_block):
+@pytest.mark.parametrize("shard_rows", [1000, 40])
+def test_exact_at_factor_one(spark, shard_rows):
     rng = random.Random(3)
     rows = [(i, [rng.gauss(i % 4, 1) for _ in range(6)]) for i in range(300)]
     rows += [(300 + i, [1.0, 2.0, 3.0, 0.0, 0.0, 0.0]) for i in range(30)]
@@ -50,11 +50,29 @@ def test_exact_at_factor_one(spark, shard_rows, query_block):
         (405, []), (406, [1.0]), (None, [1.0] * 6), (5, rows[5][1]), (10, rows[10][1]),
     ]
     same(
-        found(frame_of(spark, rows), shard_rows=shard_rows, query_block=query_block),
+        found(frame_of(spark, rows), shard_rows=shard_rows),
         brute(rows, lambda i: i % 5 == 0, 10),
     )
 
 
+def test_large_ids_that_share_a_vector(spark):
+    """As doubles these ids are one number; they stay neighbours of their own."""
+    rows = [(2**60 + k, [1.0, 2.0]) for k in range(4)] + [(2**60 + 1, [1.0, 2.0]), (100, [1.0, 2.5]), (7, [-0.0, 3.0]), (7, [0.0, 3.0])]
+    same(found(frame_of(spark, rows)), brute(rows, lambda i: i % 5 == 0, 10))
+    ids = [r.vec_id for r in vptree.nearest_neighbours(frame_of(spark, rows), F.col("vec_id") == 100).orderBy("rank").collect()]
+    assert ids == [*(2**60 + k for k in range(4)), 7]
+
+
+@pytest.mark.parametrize("shard_rows", [5000, 400])
+def test_all_distances_tie(spark, shard_rows):
+    """One-hot vectors, all equally far from each other: trees of halves, answers by id."""
+    rows = [(k, [float(j == k % 30) for j in range(30)]) for k in range(900)]
+    same(found(frame_of(spark, rows), shard_rows=shard_rows, k=40), brute(rows, lambda i: i % 5 == 0, 40))
+    points = np.eye(1000)
+    tree = vptree.Tree(np.arange(1000), points)
+    assert max(n[1] - n[0] for n in tree.nodes if len(n) == 2) <= vptree.LEAF_ROWS
+
+
 def test_few_candidates_and_none(spark):
     rows = [(i, [float(i + 1), 1.0]) for i in range(3)]
     same(found(frame_of(spark, rows)), brute(rows, lambda i: i % 5 == 0, 10))

@@ -19,11 +19,11 @@ def brute(rows, k=10):
     return {(q, r + 1, i, d) for q, m in near.items() for r, (d, i) in enumerate(sorted((d, i) for i, d in m.items())[:k])}
 
 
-@pytest.mark.parametrize("shard_rows, query_block", [(1000, 1000), (15, 4)])
-def test_each_length_is_searched(spark, shard_rows, query_block):
+@pytest.mark.parametrize("shard_rows", [1000, 15])
+def test_each_length_is_searched(spark, shard_rows):
     rng = random.Random(4)
     rows = [(i, [rng.gauss(0, 1) for _ in range(3 + i % 3)]) for i in range(120)] + [(500, [1.0] * 40)]
-    got = found(frame_of(spark, rows), shard_rows=shard_rows, query_block=query_block)
+    got = found(frame_of(spark, rows), shard_rows=shard_rows)
     same(got, brute(rows))
     assert {r[0] for r in got} == set(range(0, 120, 5))
 
