@@ -1,12 +1,14 @@
 """Token counts from a cache of digests.
 
-The cache is a table of (tokenizer version, content digest, tokens). A run joins the digests of its texts to it,
-encodes only the distinct texts it does not have, appends their counts, and reads every count from the cache.
+The cache is a table of (tokenizer version, content digest, tokens) in the shared folder. A run joins the digests of its
+texts to it, encodes only the distinct texts it does not have, appends their counts, and reads every count from the
+cache. Each run appends a folder of its own, so runs may overlap; what one has written, the next ones find.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from eventlayers.llm.bpe import CHUNK_BYTES, default_vocabulary, encoder
 from eventlayers.llm.common import chunks, id_and_text, text_bytes
-from eventlayers.session import scratch_dir
+from eventlayers.session import shared_dir
 
 CACHE = "version string, digest string, n_tokens bigint"
 
@@ -35,8 +37,8 @@ def read_cache(spark, path: str, version: str) -> DataFrame:
     """Digest and count of one tokenizer version; no rows where there is no cache yet."""
     if not _exists(spark, path):
         return spark.createDataFrame([], "digest string, n_tokens bigint")
-    rows = spark.read.schema(CACHE).parquet(path).where(F.col("version") == version)
-    # A run that failed after its append leaves rows that the next one may add again.
+    rows = spark.read.schema(CACHE).option("recursiveFileLookup", "true").parquet(path).where(F.col("version") == version)
+    # Runs that overlap may both add a text.
     return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
@@ -47,12 +49,13 @@ def count_tokens(
 
     Content is normalised only where that cannot change a count: null becomes empty. Copies, also under one id,
     are encoded once and each row gets the count. An empty table gives no rows and adds none. Without
-    `cache_path` a new cache is begun in the shared folder.
+    `cache_path` the cache is the one of this tokenizer version in the folder that `spark.checkpoint.dir` names; a
+    local session without that setting begins a new one.
     """
     spark = docs.sparkSession
     path = vocabulary or default_vocabulary()
     version = tokenizer_version(path)
-    cache_path = cache_path or scratch_dir(spark, "token-counts")
+    cache_path = cache_path or f"{shared_dir(spark)}/eventlayers/token-counts/{version}"
     keyed = id_and_text(docs).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
     texts = keyed.select("digest", "text").dropDuplicates(["digest", "text"])
     if _exists(spark, cache_path):
@@ -69,7 +72,7 @@ def count_tokens(
                     names=["version", "digest", "n_tokens"],
                 )
 
-    texts.mapInArrow(run, CACHE).write.mode("append").parquet(cache_path)
+    texts.mapInArrow(run, CACHE).write.parquet(f"{cache_path}/run={uuid.uuid4().hex}")
     narrow = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     return narrow.join(read_cache(spark, cache_path, version), "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")

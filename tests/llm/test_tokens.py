@@ -191,3 +191,17 @@ def test_plans_hold_every_piece_once(seed):
 def test_best_fit_fills_the_fullest_sequence():
     plan = packing.plan_packing({6: 1, 5: 1, 4: 2, 3: 1}, 10)
     assert plan.sequences == 3 and list(itertools.islice(sorted(plan.used), 3)) == [3, 4, 5]
+
+
+def test_a_second_run_encodes_nothing(spark, frame, tmp_path, monkeypatch):
+    """Without a path the cache is one place in the shared folder, named by the tokenizer's version."""
+    monkeypatch.setattr(token_counts, "shared_dir", lambda _: str(tmp_path))
+    first = table(token_counts.count_tokens(frame))
+    runs = list(tmp_path.glob("eventlayers/token-counts/*/run=*"))
+    assert len(runs) == 1 and runs[0].parent.name == token_counts.tokenizer_version(token_counts.default_vocabulary())
+    again = token_counts.count_tokens(frame.unionByName(frame.selectExpr("doc_id", "text || ' more' text", "length")))
+    assert set(first) <= set(table(again))
+    stored = [spark.read.parquet(str(r)).count() for r in sorted(tmp_path.glob("eventlayers/token-counts/*/run=*"), key=lambda p: p.stat().st_mtime)]
+    assert table(token_counts.count_tokens(frame)) == first
+    new = [r for r in tmp_path.glob("eventlayers/token-counts/*/run=*") if spark.read.parquet(str(r)).count() == 0]
+    assert len(stored) == 2 and 0 < stored[1] <= stored[0] and len(new) == 1
