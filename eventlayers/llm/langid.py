@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlayers.llm.common import (
@@ -30,6 +30,8 @@ from eventlayers.llm.common import (
 
 #: Rows of the training sample, the bound of what the driver gets.
 SAMPLE_ROWS = 4_000
+#: Bytes of the longest text of the sample.
+SAMPLE_TEXT = 1 << 16
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 EPOCHS = 6
@@ -151,8 +153,11 @@ def train(texts: list[bytes], labels: list[str], seed: int = 11) -> Model:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, folds: int = 5) -> tuple[list[bytes], list[str]]:
-    """At most `rows` labelled rows outside the held-out fold, an even part of each language, chosen by hash."""
-    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """At most `rows` labelled rows outside the held-out fold, an even part of each language, chosen by hash.
+
+    Texts above `SAMPLE_TEXT` bytes are not chosen, so that what the driver gets is at most `rows` times that.
+    """
+    labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT))
     labelled = labelled.where(fold_of(F.col("doc_id"), folds) != 0)
     languages = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rows).collect()
     each = max(1, rows // max(1, len(languages)))
@@ -163,13 +168,11 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, folds: int = 5) -> tuple[li
     # A row is a candidate by its hash; ordering by the hash and cutting makes the bound exact.
     chance = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) / float(1 << 20)
     chosen = labelled.join(F.broadcast(sizes), "lang").withColumn("chance", chance).where(F.col("chance") < part)
-    best = chosen.orderBy("chance", "doc_id", "lang").limit(2 * rows).select("text", "lang").collect()
-    taken: dict[str, int] = {}
-    for r in best:
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= each:
-            texts.append(r["text"].encode())
-            labels.append(r["lang"])
+    first = Window.partitionBy("lang").orderBy("chance", "doc_id", F.md5("text"))
+    best = chosen.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each)
+    for r in best.orderBy("chance", "doc_id", "lang", F.md5("text")).select("text", "lang").collect():
+        texts.append(r["text"].encode())
+        labels.append(r["lang"])
     return texts, labels
 
 

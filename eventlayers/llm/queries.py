@@ -88,6 +88,7 @@ def _terms(text: str) -> str:
     return f"regexp_extract_all({plain}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 
+_STOP_LANGUAGES = ", ".join(f"'{x}'" for x in quality.STOP_WORD_LANGUAGES)
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 
 ORACLES: dict[str, str] = {
@@ -105,7 +106,7 @@ ORACLES: dict[str, str] = {
     """,
     "op8_quality_rules": f"""
         WITH d AS (
-            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+            SELECT row_number() OVER () AS rid, doc_id, lower(coalesce(lang, '')) AS lang, coalesce(text, '') AS text,
                    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
             FROM documents),
         t AS (
@@ -119,7 +120,7 @@ ORACLES: dict[str, str] = {
             SELECT rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
             FROM d),
         m AS (
-            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+            SELECT doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
                    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
                    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
                    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
@@ -129,7 +130,8 @@ ORACLES: dict[str, str] = {
         b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 14
-                   AND n_symbols / greatest(n_words, 1) <= 0.25 AND n_stop / greatest(n_words, 1) >= 0.01
+                   AND n_symbols / greatest(n_words, 1) <= 0.25
+                   AND (lang NOT IN ({_STOP_LANGUAGES}) OR n_stop / greatest(n_words, 1) >= 0.01)
                    AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AS kept
         FROM b
     """,

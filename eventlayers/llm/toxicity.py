@@ -24,6 +24,8 @@ from eventlayers.llm.common import WordTable, chunks, fold_of, hash_words, id_an
 
 #: Labelled documents in the training sample (half of them toxic where there are enough): the driver gets no more.
 SAMPLE_ROWS = 3_000
+#: Bytes of the longest text of the sample.
+SAMPLE_TEXT = 1 << 16
 WINDOW, STRIDE = 24, 12
 HIDDEN, WIDTH = 6, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 13
@@ -308,9 +310,14 @@ def calibrate(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, folds: int = 5) -> tuple[list[bytes], list[int], float]:
-    """At most `rows` labelled texts outside the held-out fold, chosen by hash, and the share of toxic labels."""
+    """At most `rows` labelled texts outside the held-out fold, chosen by hash, and the share of toxic labels.
+
+    Texts above `SAMPLE_TEXT` bytes are not chosen, so that what the driver gets is at most `rows` times that.
+    """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1))
-    known = known.where(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != 0)).dropDuplicates(["doc_id"])
+    known = known.where(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != 0))
+    # An id with both labels is toxic.
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = known.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
     prior = (counts["bad"] or 0) / max(1, counts["n"])
     order = F.xxhash64("doc_id")
@@ -318,7 +325,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, folds: i
     picked = known.where("toxic = 1").orderBy(order).limit(rows // 2).unionByName(
         known.where("toxic = 0").orderBy(order).limit(rows - rows // 2)
     )
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_TEXT)
     # Rows may repeat an id; as many as the bound are taken.
     found = texts.join(F.broadcast(picked), "doc_id").orderBy(order, F.md5("text")).limit(rows).collect()
     return [r["text"].encode() for r in found], [r["toxic"] for r in found], prior

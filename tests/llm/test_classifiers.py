@@ -1,5 +1,7 @@
 """Toxicity and language identification: gradients, held-out quality, and awkward rows."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -118,12 +120,55 @@ def test_texts_without_letters(spark, docs):
     assert all(0 < found[i].score <= 1 for i in (None, 4, 6))
 
 
+HELD = "crc32(cast(doc_id as string)) % 5 = 0"
+
+
 def test_sample_is_bounded_and_leaves_the_fold_out(docs):
-    texts, labels = langid.sample(docs, 100)
-    assert len(texts) == len(labels) <= 100 and len(set(labels)) == 4
-    held = {r.text.encode() for r in docs.where("crc32(cast(doc_id as string)) % 5 = 0").collect()}
-    other = {r.text.encode() for r in docs.where("crc32(cast(doc_id as string)) % 5 <> 0").collect()}
-    assert not (set(texts) - other) or set(texts) <= held | other
+    """Held-out rows have a language and a text of their own: neither is in the sample, and no answer depends on them."""
+    marked = docs.selectExpr("doc_id", f"if({HELD}, 'xx', lang) lang", f"if({HELD}, concat('held ', text), text) text")
+    texts, labels = langid.sample(marked, 100)
+    assert len(texts) == len(labels) <= 100 and set(labels) == {"en", "de", "fr", "es"}
+    assert not any(t.startswith(b"held ") for t in texts) and texts == langid.sample(docs, 100)[0]
+    pairs = {(r.text.encode(), r.lang) for r in docs.select("text", "lang").collect()}
+    assert set(zip(texts, labels)) <= pairs
+    score = lambda some: {(r.doc_id, r.lang_pred, r.score) for r in langid.language_id(some, 200).collect()}
+    changed = docs.selectExpr("doc_id", "text", f"if({HELD}, 'xx', lang) lang")
+    assert score(changed) == score(docs)
+
+
+def test_long_texts_are_not_in_the_sample(spark):
+    rows = [(k, "ab cd " * (20_000 if k % 2 else 3), "en") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {len(t) for t in langid.sample(frame)[0]} == {18}
+    labels = spark.createDataFrame([(k, k % 4 == 0) for k in range(40)], "doc_id bigint, toxic boolean")
+    assert {len(t) for t in toxicity.sample(frame, labels)[0]} == {18}
+
+
+def test_language_scores_as_one_by_one(docs):
+    """Every answer against the embeddings of its subwords, averaged and scored in plain numbers."""
+    model = langid.train(*langid.sample(docs, 200))
+    rows = docs.limit(40).select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in langid.identify(docs.limit(40), model).collect()}
+    for doc_id, text in rows:
+        total, n = np.zeros(len(model.languages)), 0
+        for word in text.lower().split():
+            for bucket in langid.subwords([word.encode()])[0]:
+                total, n = total + model.scores[bucket], n + 1
+        z = (model.bias + total / max(1, n)) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[doc_id].lang_pred == model.languages[int(p.argmax())] and got[doc_id].score == pytest.approx(p.max(), rel=1e-6)
+
+
+def test_an_id_with_both_labels_is_toxic_and_the_fold_is_left_out(spark, labels, docs):
+    rows = [(1, 0), (1, 1), (2, 0), (2, 0), (3, None), (3, 1), (4, 0), (None, 1)]
+    texts = spark.createDataFrame([(k, f"text {k}") for k in (1, 2, 3, 4)], "doc_id bigint, text string")
+    known = spark.createDataFrame(rows, "doc_id bigint, toxic int")
+    want = {f"text {k}".encode(): y for k, y in ((1, 1), (2, 0), (3, 1), (4, 0)) if zlib.crc32(str(k).encode()) % 5}
+    for _ in range(3):
+        found, y, _ = toxicity.sample(texts, known.repartition(3))
+        assert dict(zip(found, y)) == want and len(found) == len(want)
+    flipped = labels.selectExpr("doc_id", f"if({HELD}, 1 - toxic, toxic) toxic")
+    assert toxicity.sample(docs, flipped, 60) == toxicity.sample(docs, labels, 60)
 
 
 def test_no_labelled_rows(spark, empty):
