@@ -234,6 +234,14 @@ _RAW_URL = """CASE WHEN event_id % 37 = 0 THEN replace(page_url, 'https://shop.e
   WHEN event_id % 43 = 0 THEN replace(page_url, 'https://shop.example.com', 'https://[shop]')
   ELSE page_url END"""
 
+_TASK_ROWS = """task_rows AS (
+      SELECT * FROM (
+        SELECT 'bronze' AS layer, count(*) AS rows FROM sent WHERE bad_message IS NULL
+        UNION ALL SELECT 'silver', count(*) FROM good
+        UNION ALL SELECT 'gold_page_views', count(*) FROM good_views
+        UNION ALL SELECT 'gold_product_events', count(*) FROM good_products
+      ) WHERE rows > 0)"""
+
 ORACLES: dict[str, str] = {
     "top_landing_pages": f"{_WEB} {_PAGE_STATS} ORDER BY page_views DESC, page_url LIMIT 10",
     "page_stats": f"{_WEB} {_PAGE_STATS}",
@@ -376,9 +384,9 @@ ORACLES: dict[str, str] = {
     "stream_replay_no_duplicates": _STREAM_COUNTS,
     "stream_mart_page_views": f"{_STREAM} SELECT * FROM good_views",
     "stream_mart_product_events": f"{_STREAM} SELECT * FROM good_products",
-    "stream_tasks": f"""{_STREAM} SELECT layer, true AS agree FROM (
-          SELECT 'bronze' AS layer FROM sent WHERE bad_message IS NULL UNION SELECT 'silver' FROM good
-          UNION SELECT 'gold_page_views' FROM good_views UNION SELECT 'gold_product_events' FROM good_products)""",
+    "stream_replay_after_archive": _STREAM_COUNTS,
+    "lake_compacted": _STREAM_COUNTS,
+    "stream_tasks": f"""{_STREAM}, {_TASK_ROWS} SELECT layer, rows FROM task_rows""",
     "stream_run_full": f"""{_STREAM}, n AS (
           SELECT (SELECT count(*) FROM sent WHERE bad_message IS NULL) AS bronze, (SELECT count(*) FROM good) AS silver,
                  (SELECT count(*) FROM good_views) AS views, (SELECT count(*) FROM good_products) AS products
@@ -387,10 +395,6 @@ ORACLES: dict[str, str] = {
                views * k AS gold_page_views_count, products * k AS gold_product_events_count,
                views * k AS loaded_page_views_count, products * k AS loaded_product_events_count
         FROM n, (VALUES (1, 1), (2, 0)) AS runs(run, k)""",
-    "archive_settled": f"""{_STREAM}, there AS (
-          SELECT 'bronze' AS layer FROM sent WHERE bad_message IS NULL UNION SELECT 'silver' FROM good
-          UNION SELECT 'gold_page_views' FROM good_views UNION SELECT 'gold_product_events' FROM good_products
-        )
-        SELECT layer, true AS all_done FROM there UNION ALL SELECT layer || '_left', true FROM there
-        UNION ALL SELECT 'report', true""",
+    "archive_settled": f"""{_STREAM}, {_TASK_ROWS}
+        SELECT layer, rows AS done_rows, CAST(0 AS BIGINT) AS active_rows, rows AS archived_rows FROM task_rows""",
 }

@@ -491,6 +491,15 @@ class _CrashOnce:
             raise RuntimeError("crash between write and commit")
 
 
+def _crash(start: Callable[..., jobs.Job]) -> None:
+    """Start a hop whose first batch fails after it was written and handed over."""
+    try:
+        jobs.finish(start(after_write=_CrashOnce()))
+    except Exception as error:
+        if "crash between write and commit" not in str(error):
+            raise
+
+
 _MARTS = (gold.PAGE_VIEWS, gold.PRODUCT_EVENTS)
 
 
@@ -503,11 +512,7 @@ def _drained(
 
     def settle(start: Callable[..., jobs.Job]) -> None:
         if crash:
-            try:
-                jobs.finish(start(after_write=_CrashOnce()))
-            except Exception as error:
-                if "crash between write and commit" not in str(error):
-                    raise
+            _crash(start)
         jobs.finish(start())
 
     settle(lambda **h: jobs.ingest(topic, layout, **h))
@@ -536,6 +541,45 @@ def stream_replay_no_duplicates(spark, sf):
     return _layer_rows(spark, _drained(spark, sf, crash=True))
 
 
+def stream_replay_after_archive(spark, sf):
+    """A hop crashes after it handed its files over; the archive runs, twice, before each hop is started again."""
+    root = scratch_dir(spark, "layers")
+    layout = jobs.Layout(f"{root}/active", archive_root=f"{root}/archive")
+    jobs.finish(jobs.ingest(et.topic_messages(et.stream_events(spark, sf)), layout))
+    starts = [
+        lambda **h: jobs.bronze_to_silver(spark, layout, **h),
+        lambda **h: jobs.silver_to_gold(spark, layout, **h),
+        *(lambda table=table, **h: jobs.load_mart(spark, layout, table, **h) for table in (gold.PAGE_VIEWS, gold.PRODUCT_EVENTS)),
+    ]
+    for start in starts:
+        _crash(start)
+        jobs.settle_archive(spark, layout)
+        jobs.finish(start())
+        jobs.settle_archive(spark, layout)
+    return _layer_counts(spark, layout)
+
+
+def _layer_counts(spark: SparkSession, layout: jobs.Layout) -> DataFrame:
+    """Rows of every layer and route by their commit entries, wherever the files are now."""
+    found = None
+    for layer in jobs.WRITERS:
+        lines = layers.read_entries(spark, layout.layer(layer)).filter(F.col("file").isNotNull())
+        rows = lines.groupBy(F.lit(layer).alias("layer"), "route").agg(F.sum("rows").alias("n"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def lake_compacted(spark, sf):
+    """Tasks and rows of a lake whose logs were compacted, and filled again, and compacted again."""
+    layout = jobs.Layout(scratch_dir(spark, "layers"))
+    topic = et.topic_messages(et.stream_events(spark, sf))
+    jobs.finish(jobs.ingest(topic, layout))
+    for _ in range(2):
+        jobs.run_full(spark, layout)
+        jobs.compact(spark, layout, least=1)
+    return _layer_counts(spark, layout)
+
+
 def stream_mart_page_views(spark, sf):
     layout = _drained(spark, sf, tables=(gold.PAGE_VIEWS,))
     rows = jobs.read_mart(spark, layout, gold.PAGE_VIEWS)
@@ -548,19 +592,20 @@ def stream_mart_product_events(spark, sf):
     return rows.drop("created_at", "event_date").withColumn("price", F.col("price").cast("double"))
 
 
+def _rows_behind(spark: SparkSession, layout: jobs.Layout, tasks: DataFrame, name: str) -> DataFrame:
+    """Rows of the files of the tasks, per layer, by the entries."""
+    found = None
+    for layer, (folder, route) in jobs.FILES.items():
+        lines = layers.read_entries(spark, layout.layer(folder)).filter(F.col("route") == route)
+        own = lines.select(F.lit(layer).alias("layer"), F.col("file").alias("partition_key"), "rows")
+        found = own if found is None else found.unionByName(own)
+    return tasks.join(found, ["layer", "partition_key"]).groupBy("layer").agg(F.sum("rows").alias(name))
+
+
 def stream_tasks(spark, sf):
-    """Tasks of each layer against the files that were committed and read, as counts that must agree."""
+    """Tasks of each layer, as the rows of the files that they stand for."""
     layout = _drained(spark, sf)
-    tasks = ledger.current_tasks(jobs.read_log(spark, layout, "tasks"))
-    found = tasks.groupBy("layer").agg(F.count("*").alias("tasks"))
-    rows = None
-    for layer, (folder, route) in jobs.FILES.items():
-        entries = spark.read.schema(layers.COMMIT).json(layers.commit_folder(layout.layer(folder)))
-        files = entries.filter(F.col("route") == route).select(F.lit(layer).alias("layer"), "file")
-        rows = files if rows is None else rows.unionByName(files)
-    files = rows.groupBy("layer").agg(F.count_distinct("file").alias("files"))
-    agree = F.col("tasks") == F.col("files")
-    return files.join(found, "layer", "full_outer").select("layer", F.coalesce(agree, F.lit(False)).alias("agree"))
+    return _rows_behind(spark, layout, ledger.current_tasks(jobs.read_log(spark, layout, "tasks")), "rows")
 
 
 def _settled_lake(spark: SparkSession, sf: str) -> tuple[jobs.Layout, list[dict[str, int]]]:
@@ -579,19 +624,18 @@ def stream_run_full(spark, sf):
 
 
 def archive_settled(spark, sf):
-    """Every task of a lake that was filled and drained, after its files were archived: open and done ones."""
+    """A lake that was filled, drained and archived: rows behind done tasks, left in the layers, and in archived files."""
     layout, _ = _settled_lake(spark, sf)
-    report = jobs.settle_archive(spark, layout)
-    tasks = ledger.current_tasks(jobs.read_log(spark, layout, "tasks"))
-    by_layer = tasks.groupBy("layer").agg(
-        F.count_if(F.col("status") == ledger.DONE).alias("done"), F.count("*").alias("tasks")
-    )
-    settled = by_layer.select("layer", (F.col("done") == F.col("tasks")).alias("all_done"))
-    whole = report.crossJoin(tasks.agg(F.count("*").alias("n"))).select(
-        F.lit("report").alias("layer"), ((F.col("taken") == F.col("n")) & (F.col("archived") == F.col("n"))).alias("all_done")
-    )
-    active = jobs.stats(spark, layout).select("layer", (F.col("rows") == 0).alias("all_done")).filter("layer <> 'gold'")
-    return settled.unionByName(whole).unionByName(active.withColumn("layer", F.concat("layer", F.lit("_left"))))
+    jobs.settle_archive(spark, layout)
+    tasks = ledger.current_tasks(jobs.read_log(spark, layout, "tasks")).filter(F.col("status") == ledger.DONE)
+    active = jobs.stats(spark, layout).select("layer", F.col("rows").alias("active_rows"))
+    archived = None
+    for layer in jobs.FILES:
+        place = layout.archive(layer)
+        rows = spark.read.schema("route string").parquet(place) if layers.exists(spark, place) else spark.createDataFrame([], "route string")
+        counted = rows.agg(F.count("*").alias("archived_rows")).select(F.lit(layer).alias("layer"), "archived_rows")
+        archived = counted if archived is None else archived.unionByName(counted)
+    return _rows_behind(spark, layout, tasks, "done_rows").join(active, "layer").join(archived, "layer")
 
 
 def layer_files(spark, sf):
@@ -635,7 +679,7 @@ QUERIES: dict[str, Query] = {
         watermark_upsert, layer_watermark, run_history, latest_runs,
         dim_users, dim_sessions, fact_events, skipped_sessions, skipped_count,
         layer_stats, layer_files, stream_dedupe,
-        stream_layer_counts, stream_replay_no_duplicates, stream_mart_page_views,
+        stream_layer_counts, stream_replay_no_duplicates, stream_replay_after_archive, lake_compacted, stream_mart_page_views,
         stream_mart_product_events, stream_tasks, stream_run_full, archive_settled,
     )
 }

@@ -1,36 +1,45 @@
 """Layer folders: `<layer>/writer=<query id>/batch_id=<n>/route=<output>/<date>=.../part-*.parquet`.
 
-A batch owns its folder and is written straight to it. The last step puts one small entry with the
-names of its files into `<layer>/_commits`; only what has an entry counts. Readers leave folders
-without one out, the next hop reads the entries and takes the files from them, and a replay writes a
-folder without entry again and leaves one with entry alone. No step needs a folder rename.
-All outputs of a batch (good rows, quarantine, the two marts) are routes of one write.
+A batch owns its folder and is written straight to it. The last step puts one small entry into `<layer>/_commits`;
+only what has an entry counts. It lists the files with their rows, bytes and times, and the entries of the layer before
+that the batch has read; Spark writes and reads it as a table, so no list of files passes through the driver. Readers
+leave folders without entry out, the next hop follows the entries and reads the folders they name, and a replay
+writes a folder without entry again and leaves one with entry alone. Under a lease a folder carries the lease's number, so
+a run that was taken over never writes where its successor does. Entries that every reader has passed are kept in
+levelled snapshots. All outputs of a batch (good rows, quarantine, the two marts) are routes of one write.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlayers.schemas import names, plus
+from eventlayers.sources import files, manifests
 
 # More route x date outputs than this per task and Spark sorts the task's rows instead.
 _OPEN_FILES = "32"
 
-# A file of a committed batch, one line of an entry.
+# A line of an entry: a file of the batch (with the first and last event time as texts), or in `source` the name
+# of an entry that the batch has read.
 COMMIT = T.StructType(
     [
         T.StructField("file", T.StringType()),
         T.StructField("bytes", T.LongType()),
         T.StructField("route", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("first_time", T.StringType()),
+        T.StructField("last_time", T.StringType()),
+        T.StructField("source", T.StringType()),
     ]
 )
+ENTRY = plus(COMMIT, entry=T.StringType())
 
-# The file source forgets entries that are so much older than the newest; a hop may be off for long.
-_ENTRY_MEMORY = "3650d"
+# How much older than the newest an entry may be for the file source: more milliseconds than any clock shows.
+_ENTRY_MEMORY = "100000000000d"
 
 
 def layer_schema(row: T.StructType, date: str | None) -> T.StructType:
@@ -66,22 +75,52 @@ def read_layer(
     return found
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.select(*names(COMMIT), F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("entry"))
+
+
 def stream_commits(spark: SparkSession, path: str, max_batches: int | None = None) -> DataFrame:
-    """The entries of a layer as a stream: the files of each committed batch, once."""
+    """The entries of a layer as a stream: the lines of each committed batch, once, with the entry's name."""
     reader = spark.readStream.schema(COMMIT).option("maxFileAge", _ENTRY_MEMORY)
     if max_batches:
         reader = reader.option("maxFilesPerTrigger", max_batches)
-    return reader.json(f"{commit_folder(path)}/*.json")
+    return _named(reader.json(f"{commit_folder(path)}/*.json"))
+
+
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of all entries of a layer with the entry's name, of its snapshots first and then those not in them."""
+    # Files first: what goes from here to a snapshot meanwhile is seen twice, not never.
+    small = None
+    if any(n.endswith(".json") for n in files.names(spark, commit_folder(path))):
+        small = _named(spark.read.schema(COMMIT).json(f"{commit_folder(path)}/*.json"))
+    kept = manifests.read(spark, path, ENTRY)
+    if kept is None:
+        return small if small is not None else spark.createDataFrame([], ENTRY)
+    if small is None:
+        return kept
+    # Between the switch to a snapshot and the removal of its entries, both have them.
+    return kept.unionByName(small.join(kept.select("entry").distinct(), "entry", "left_anti").select(*names(ENTRY)))
 
 
-def read_files(spark: SparkSession, path: str, row: T.StructType, files: list[str]) -> DataFrame:
-    """The rows of a layer's files with the name of the file each came from. A file that cannot be read fails."""
-    if not files:
+def read_entry(spark: SparkSession, root: str, entry: str) -> DataFrame:
+    return spark.read.schema(COMMIT).json(f"{commit_folder(root)}/{entry}.json")
+
+
+def read_routes(spark: SparkSession, path: str, row: T.StructType, lines: DataFrame, route: str) -> DataFrame:
+    """The rows of one route of the batches that the lines of their entries name, with the name of the file each came from.
+
+    One folder for each batch, as many as a hop takes at once, is all that the driver is told. A file that cannot be
+    read, or a folder that is not there, fails.
+    """
+    folder = F.regexp_extract("file", r"\A(writer=[^/]+/batch_id=[^/]+/route=[^/]+)/", 1).alias("folder")
+    folders = [r["folder"] for r in lines.filter(F.col("route") == route).select(folder).distinct().collect()]
+    if not folders:
         return spark.createDataFrame([], plus(row, source_file=T.StringType()))
     return (
         spark.read.schema(row)
         .option("ignoreCorruptFiles", "false")
-        .parquet(*(f"{path.rstrip('/')}/{f}" for f in files))
+        .option("basePath", path)
+        .parquet(*(f"{path.rstrip('/')}/{f}" for f in folders))
         .select(*names(row), relative_name(F.col("_metadata.file_path"), path).alias("source_file"))
     )
 
@@ -140,50 +179,54 @@ def list_files(spark: SparkSession, path: str, root: str | None = None) -> DataF
 
 
 def read_log(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
-    """All rows of an append-only log, with the batch that wrote them. No folder, no rows."""
+    """All rows of an append-only log, with the batch that wrote them (null for snapshots). No folder, no rows."""
     schema = plus(row, writer=T.StringType(), batch_id=T.LongType())
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    kept = manifests.read(spark, path, row)
+    return rows if kept is None else rows.unionByName(kept, allowMissingColumns=True)
 
 
 def batch_folder(root: str, writer: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/writer={writer}/batch_id={batch_id}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _file_system(spark, path)
-    return fs.exists(place)
+    return files.exists(spark, path)
 
 
 def commit_folder(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
-def _entry(root: str, writer: str, batch_id: int) -> str:
-    return f"{commit_folder(root)}/{writer}-{batch_id}.json"
+def tag(writer: str, lease: int | None) -> str:
+    """How the folder of a batch names its writer: with the lease it was written under."""
+    return writer if lease is None else f"{writer}.{lease}"
 
 
-def is_published(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
-    return exists(spark, _entry(root, writer, batch_id))
+def published(spark: SparkSession, root: str, writer: str, batch_id: int) -> str | None:
+    """The name of the entry of a batch, whichever lease it was written under."""
+    fs, pattern = files.file_system(spark, f"{commit_folder(root)}/{writer}*-{batch_id}.json")
+    found = sorted(f.getPath().getName().removesuffix(".json") for f in fs.globStatus(pattern) or [])
+    return found[0] if found else None
 
 
 def uncommitted(spark: SparkSession, root: str) -> list[tuple[str, int]]:
     """(writer, batch) of the folders that have no entry; folder names are listed, not files."""
-    fs, pattern = _file_system(spark, f"{root.rstrip('/')}/writer=*/batch_id=*")
-    committed: set[str] = set()
-    if exists(spark, commit_folder(root)):
-        committed = {f.getPath().getName() for f in fs.listStatus(_file_system(spark, commit_folder(root))[1])}
+    fs, pattern = files.file_system(spark, f"{root.rstrip('/')}/writer=*/batch_id=*")
+    committed = {n.removesuffix(".json") for n in files.names(spark, commit_folder(root))}
     found = [
         (f.getPath().getParent().getName().split("=", 1)[1], int(f.getPath().getName().split("=", 1)[1]))
         for f in fs.globStatus(pattern) or []
     ]
-    return [(w, b) for w, b in found if f"{w}-{b}.json" not in committed]
+    left = [(w, b) for w, b in found if f"{w}-{b}" not in committed]
+    kept = manifests.read(spark, root, ENTRY) if left else None
+    if kept is not None:
+        asked = spark.createDataFrame([(f"{w}-{b}",) for w, b in left], "entry string")
+        old = {r["entry"] for r in asked.join(kept, "entry", "left_semi").collect()}
+        left = [(w, b) for w, b in left if f"{w}-{b}" not in old]
+    return left
 
 
 def lookup_options(column: str, most_bytes: int = 8 << 20) -> dict[str, str]:
@@ -199,42 +242,69 @@ def lookup_options(column: str, most_bytes: int = 8 << 20) -> dict[str, str]:
 
 
 def publish_batch(
-    rows: DataFrame, root: str, writer: str, batch_id: int, partition_by: list[str], **options: str
-) -> None:
-    """Write a batch to its folder, over what a crash may have left there, and commit it."""
+    rows: DataFrame,
+    root: str,
+    writer: str,
+    batch_id: int,
+    partition_by: list[str],
+    sources: DataFrame | None = None,
+    timed: bool = False,
+    check: Callable[[], None] = lambda: None,
+    **options: str,
+) -> str:
+    """Write a batch to its folder, over what a crash may have left there, and commit it; the name of its entry.
+
+    `sources` has the names of the entries read (column `entry`). `timed` says that the rows have an event time, whose
+    bounds the entry keeps. `check` may refuse, before the write and before the commit.
+    """
     session = rows.sparkSession
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
     folder = batch_folder(root, writer, batch_id)
+    check()
     rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(folder)
-    commit(session, root, writer, batch_id)
-
-
-def batch_files(spark: SparkSession, root: str, writer: str, batch_id: int) -> list[dict]:
-    """File name below the layer's folder, size and route of the data files in a batch's folder."""
-    fs, folder = _file_system(spark, batch_folder(root, writer, batch_id))
-    found, files = [], fs.listFiles(folder, True)
-    while files.hasNext():
-        status = files.next()
-        name = status.getPath().toString()
-        if name.endswith(".parquet"):
-            file = name[name.rindex(f"writer={writer}/batch_id={batch_id}/") :]
-            route = next(p.split("=", 1)[1] for p in file.split("/") if p.startswith("route="))
-            found.append({"file": file, "bytes": status.getLen(), "route": route})
-    return sorted(found, key=lambda f: f["file"])
-
-
-def commit(spark: SparkSession, root: str, writer: str, batch_id: int) -> None:
+    return commit(session, root, writer, batch_id, sources, timed, check)
+
+
+def batch_lines(spark: SparkSession, root: str, writer: str, batch_id: int, timed: bool) -> DataFrame:
+    """The lines of a written batch's files: counts come from their footers, times from one column."""
+    kept = "route string" + (", event_time timestamp_ntz" if timed else "")
+    found = spark.read.schema(kept).parquet(batch_folder(root, writer, batch_id))
+    time = F.col("event_time") if timed else F.lit(None).cast("timestamp_ntz")
+    of_file = found.select("route", time.alias("t"), "_metadata.file_path", "_metadata.file_size")
+    return of_file.groupBy("file_path", "file_size", "route").agg(
+        F.count("*").alias("rows"), F.min("t").cast("string").alias("first_time"), F.max("t").cast("string").alias("last_time")
+    ).select(
+        relative_name(F.col("file_path"), root).alias("file"), F.col("file_size").alias("bytes"), "route", "rows",
+        "first_time", "last_time", F.lit(None).cast("string").alias("source"),
+    )
+
+
+def commit(
+    spark: SparkSession,
+    root: str,
+    writer: str,
+    batch_id: int,
+    sources: DataFrame | None = None,
+    timed: bool = False,
+    check: Callable[[], None] = lambda: None,
+) -> str:
     """Make a written batch count, by one object that appears as a whole."""
-    lines = "".join(json.dumps(f) + "\n" for f in batch_files(spark, root, writer, batch_id))
-    fs, entry = _file_system(spark, _entry(root, writer, batch_id))
-    _, hidden = _file_system(spark, f"{commit_folder(root)}/.{writer}-{batch_id}")
-    out = fs.create(hidden, True)
-    try:
-        out.write(bytearray(lines.encode()))
-    finally:
-        out.close()
-    if not fs.rename(hidden, entry):
-        raise OSError(f"could not commit {entry.toString()}")
+    entry = f"{writer}-{batch_id}"
+    nothing = {n: F.lit(None).cast(COMMIT[n].dataType) for n in names(COMMIT)}
+    # An entry has a line even if its batch has no file.
+    lines = spark.range(1).select(*(c.alias(n) for n, c in nothing.items()))
+    if sources is not None:
+        read = {**nothing, "source": F.col("entry")}
+        lines = sources.select("entry").distinct().select(*(c.alias(n) for n, c in read.items())).unionByName(lines)
+    lines = batch_lines(spark, root, writer, batch_id, timed).unionByName(lines)
+    hidden = f"{commit_folder(root)}/.{entry}"
+    lines.coalesce(1).write.mode("overwrite").json(hidden)
+    part = next(n for n in files.names(spark, hidden) if n.startswith("part-"))
+    check()
+    if not files.rename_once(spark, f"{hidden}/{part}", f"{commit_folder(root)}/{entry}.json"):
+        raise OSError(f"{entry} is committed already")
+    files.delete(spark, hidden)
+    return entry
 
 
 def write_layer(rows: DataFrame, path: str, partition_by: list[str]) -> None:

@@ -4,12 +4,17 @@ Each hop follows the commit log of a layer, reads the files of new entries, writ
 batch and commits it with an entry of its own. A replayed batch finds its rows committed, or writes
 them again; it overwrites its own file tasks and watermark. So a crash at any point leaves no
 duplicates and loses nothing, on file systems and object stores alike, and a hop may run while
-the one before it does. One run of a hop at a time, as with any checkpoint.
+the one before it does. What a checkpoint has not committed may be replayed, so it is a fence: files of
+such batches are not archived, and entries that a hop may ask for again are not compacted.
+One run of a hop at a time, as with any checkpoint; `run_full`, `settle_archive` and `compact` hold a lease.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -32,7 +37,8 @@ from eventlayers.schemas import (
     WATERMARK_LOG,
     names,
 )
-from eventlayers.sources import layers, messages
+from eventlayers.sources import files, layers, manifests, messages
+from eventlayers.streaming import leases
 
 # Triggers: work off what is there and stop, or follow the topic in small batches.
 DRAIN = {"availableNow": True}
@@ -68,6 +74,17 @@ FILES = {
     gold.PRODUCT_EVENTS: ("gold", gold.PRODUCT_EVENTS),
 }
 
+# The hop that writes each layer folder, and the hops that read it; what marts are read by are reports.
+WRITERS = {
+    "bronze": "ingest",
+    "silver": "bronze_to_silver",
+    "gold": "silver_to_gold",
+    **{target: f"load_{target}" for _, _, target, _, _ in _MARTS.values()},
+}
+READERS = {"bronze": ("silver",), "silver": ("gold",), "gold": tuple(t for _, _, t, _, _ in _MARTS.values())}
+# Folders that are moved at the same time, and failed ones after which moving is given up.
+_MOVERS, _MOST_FAILURES = 16, 1000
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -113,17 +130,40 @@ def read_log(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return layers.read_log(spark, layout.layer(name), _LOGS[name])
 
 
-def _hand_over(
-    spark: SparkSession, layout: Layout, layer: str, files: list[str], writer: str, batch_id: int
-) -> None:
+def checkpoint(layout: Layout, job: str) -> str:
+    return layout.layer(f"checkpoints/{job}")
+
+
+def committed(spark: SparkSession, layout: Layout) -> DataFrame:
+    """`job, writer, committed`: the id of each hop's query and the newest batch that its checkpoint has committed."""
+    rows = []
+    for job in WRITERS.values():
+        place = checkpoint(layout, job)
+        if "metadata" in files.names(spark, place):
+            done = [int(n) for n in files.names(spark, f"{place}/commits") if n.isdecimal()]
+            rows.append((job, json.loads(files.read_text(spark, f"{place}/metadata"))["id"], max(done, default=-1)))
+    return spark.createDataFrame(rows, "job string, writer string, committed bigint")
+
+
+@contextmanager
+def leased(spark: SparkSession, layout: Layout, name: str, owner: str, seconds: float = leases.SECONDS) -> Iterator[leases.Lease]:
+    """The lease of a schedule, for the time of the block; raises `leases.LeaseHeld` while another run has it."""
+    lease = leases.acquire(spark, layout.layer(f"_leases/{name}"), owner, seconds)
+    try:
+        yield lease
+    finally:
+        lease.release()
+
+
+def _hand_over(spark: SparkSession, layout: Layout, layer: str, read: DataFrame, writer: str, batch_id: int) -> None:
     """Tasks for the files that a batch has read, whether or not they gave it any rows."""
     now = _now()
-    keys = spark.createDataFrame([(f,) for f in files], "partition_key string").withColumns(
-        {"dataset": F.lit(ledger.DATASET), "layer": F.lit(layer)}
+    keys = read.select(
+        F.col("file").alias("partition_key"), F.lit(ledger.DATASET).alias("dataset"), F.lit(layer).alias("layer")
     )
     # A replay must not see the tasks its first try wrote.
     own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-    log = read_log(spark, layout, "tasks").filter((F.col("layer") == layer) & ~own)
+    log = read_log(spark, layout, "tasks").filter((F.col("layer") == layer) & ~F.coalesce(own, F.lit(False)))
     new = ledger.enqueue(log, keys, F.lit(now), F.lit(_micros(now)))
     new.write.mode("overwrite").parquet(layers.batch_folder(layout.layer("tasks"), writer, batch_id))
 
@@ -149,18 +189,21 @@ class _Source:
 
     task_layer: str
     row: T.StructType
-    # What to measure of the rows read, besides their number.
-    measured: dict[str, Column] = field(default_factory=dict)
+    # Whether the watermark is that of the rows read, not of those written.
+    marks_read: bool = False
 
-    def files(self, entries: DataFrame) -> list[str]:
-        """The committed files of this route; as many as one batch of the hop reads."""
-        route = FILES[self.task_layer][1]
-        return [r["file"] for r in entries.filter(F.col("route") == route).select("file").distinct().collect()]
+    @property
+    def route(self) -> str:
+        return FILES[self.task_layer][1]
 
     def folder(self, layout: Layout) -> str:
         return layout.layer(FILES[self.task_layer][0])
 
 
+def _rows_of(*routes: str) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("route").isin(*routes), F.col("rows"))), F.lit(0))
+
+
 def _start(
     spark: SparkSession,
     stream: DataFrame | _Source,
@@ -168,48 +211,60 @@ def _start(
     job: str,
     target: str,
     transform: Callable[[DataFrame], DataFrame],
-    counts: dict[str, Column],
+    counts: dict[str, str],
     read_count: str,
     date: str = "event_date",
     watermark: bool = False,
     options: dict[str, str] | None = None,
     trigger: dict | None = None,
     after_write: Callable[[int], None] | None = None,
+    lease: leases.Lease | None = None,
 ) -> Job:
-    """Start one hop. `after_write` runs between the writes and the commit of a batch.
+    """Start one hop. `counts` names the route that each counter counts; `after_write` runs between the writes and the
+    commit of a batch.
 
-    Rows are counted where they are committed: counts taken while they are written would count
-    the rows of a repeated task again.
+    Counters and watermarks come from the entries of what was read and of what is committed, whose counts are those of
+    the files' footers: counts taken while rows are written would count the rows of a repeated task again.
+    Under a lease, a run that was taken over neither writes nor commits.
     """
     counters = Counters()
     source = stream if isinstance(stream, _Source) else None
     root = layout.layer(target)
-    measured = counts | {"rejected": F.count_if(F.col("route") == QUARANTINE)}
+    timed = target != "bronze"
+    measured = {name: _rows_of(route) for name, route in counts.items()} | {"rejected": _rows_of(QUARANTINE)}
     if not source:
-        measured |= {read_count: F.count("*")}
-    elif watermark and "latest" not in source.measured:
-        measured |= {"latest": F.max(F.when(F.col("route") != QUARANTINE, F.col("event_time")))}
+        measured[read_count] = F.coalesce(F.sum("rows"), F.lit(0))
+    elif watermark and not source.marks_read:
+        measured["latest"] = F.max(F.when(F.col("route") != QUARANTINE, F.col("last_time").cast("timestamp_ntz")))
     if source:
         counters.skipped_files = _handed_over(spark, layout, source.task_layer)
         stream = layers.stream_commits(spark, source.folder(layout), layout.max_batches_per_trigger)
+    check = lease.check if lease else lambda: None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         line = {"batch_id": batch_id}
-        files: list[str] = []
+        if lease:
+            lease.renew()
+        read = sources = None
         if source:
-            files = source.files(batch)
-            batch = layers.read_files(session, source.folder(layout), source.row, files)
-            seen = {read_count: F.count("*"), **source.measured}
-            line |= {"files": len(files), **batch.agg(*(c.alias(n) for n, c in seen.items())).first().asDict()}
-        if not layers.is_published(session, root, writer, batch_id):
-            layers.publish_batch(transform(batch), root, writer, batch_id, ["route", date], **(options or {}))
-        there = "route string" + (", event_time timestamp_ntz" if "latest" in measured else "")
-        shown = session.read.schema(there).parquet(layers.batch_folder(root, writer, batch_id))
-        line |= shown.agg(*(c.alias(n) for n, c in measured.items())).first().asDict()
+            sources = batch.select("entry")
+            read = batch.filter(F.col("route") == source.route)
+            seen = {read_count: F.coalesce(F.sum("rows"), F.lit(0)), "files": F.count("*")}
+            if source.marks_read:
+                seen["latest"] = F.max(F.col("last_time").cast("timestamp_ntz"))
+            line |= read.agg(*(c.alias(n) for n, c in seen.items())).first().asDict()
+            batch = layers.read_routes(session, source.folder(layout), source.row, batch, source.route)
+        entry = layers.published(session, root, writer, batch_id)
+        if entry is None:
+            own = layers.tag(writer, lease.number if lease else None)
+            entry = layers.publish_batch(
+                transform(batch), root, own, batch_id, ["route", date], sources, timed, check, **(options or {})
+            )
+        line |= layers.read_entry(session, root, entry).agg(*(c.alias(n) for n, c in measured.items())).first().asDict()
         if source:
-            _hand_over(session, layout, source.task_layer, files, writer, batch_id)
+            _hand_over(session, layout, source.task_layer, read, writer, batch_id)
         if watermark:
             _mark(session, layout, job, line["latest"], writer, batch_id)
         if after_write:
@@ -218,7 +273,7 @@ def _start(
 
     query = (
         stream.writeStream.queryName(job)
-        .option("checkpointLocation", layout.layer(f"checkpoints/{job}"))
+        .option("checkpointLocation", checkpoint(layout, job))
         .trigger(**(trigger or DRAIN))
         .foreachBatch(write)
         .start()
@@ -252,7 +307,7 @@ def ingest(topic: DataFrame, layout: Layout, trigger: dict | None = None, **hook
 
     return _start(
         topic.sparkSession, topic, layout, "ingest", "bronze", transform,
-        {"bronze_count": F.count_if(F.col("route") == ROWS)}, "messages",
+        {"bronze_count": ROWS}, "messages",
         date="ingest_date", trigger=trigger, **hooks,
     )
 
@@ -266,7 +321,7 @@ def bronze_to_silver(spark: SparkSession, layout: Layout, **hooks) -> Job:
 
     return _start(
         spark, _Source("bronze", _BRONZE_READ), layout, "bronze_to_silver", "silver", transform,
-        {"silver_count": F.count_if(F.col("route") == ROWS)}, "bronze_count", watermark=True, **hooks,
+        {"silver_count": ROWS}, "bronze_count", watermark=True, **hooks,
     )
 
 
@@ -276,11 +331,8 @@ def silver_to_gold(spark: SparkSession, layout: Layout, **hooks) -> Job:
     def transform(batch: DataFrame) -> DataFrame:
         return gold.routed(batch, "source_file").withColumn("event_date", _event_date())
 
-    counts = {
-        "gold_page_views_count": F.count_if(F.col("route") == gold.PAGE_VIEWS),
-        "gold_product_events_count": F.count_if(F.col("route") == gold.PRODUCT_EVENTS),
-    }
-    source = _Source("silver", _SILVER_READ, {"latest": F.max("event_time")})
+    counts = {"gold_page_views_count": gold.PAGE_VIEWS, "gold_product_events_count": gold.PRODUCT_EVENTS}
+    source = _Source("silver", _SILVER_READ, marks_read=True)
     return _start(
         spark, source, layout, "silver_to_gold", "gold", transform, counts, "silver_count", watermark=True, **hooks
     )
@@ -296,7 +348,7 @@ def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
 
     return _start(
         spark, _Source(table, row), layout, f"load_{target}", target, transform,
-        {counter: F.count_if(F.col("route") == ROWS)}, "gold_rows",
+        {counter: ROWS}, "gold_rows",
         options=layers.lookup_options(sort_key), **hooks,
     )
 
@@ -332,15 +384,22 @@ def _log_run(spark: SparkSession, layout: Layout, run_id: str, status: str, **va
 def run_full(spark: SparkSession, layout: Layout, run_id: str | None = None) -> dict[str, int]:
     """All hops from the raw layer to the marts, in order, with a run record around them.
 
-    A failing hop marks the run FAILED and is raised; later hops do not start.
+    One run at a time: `leases.LeaseHeld` is raised while another is active, and a run without a sign of life for the
+    lease's time may be taken over; it cannot commit after that. A failing hop marks the run FAILED and is raised;
+    later hops do not start.
     """
     run_id = run_id or _now().strftime("%Y%m%dT%H%M%S%f")
+    with leased(spark, layout, "run", run_id) as lease:
+        return _run_hops(spark, layout, run_id, lease)
+
+
+def _run_hops(spark: SparkSession, layout: Layout, run_id: str, lease: leases.Lease) -> dict[str, int]:
     _log_run(spark, layout, run_id, runs.RUNNING)
     hops = (
-        lambda: bronze_to_silver(spark, layout),
-        lambda: silver_to_gold(spark, layout),
-        lambda: load_mart(spark, layout, gold.PAGE_VIEWS),
-        lambda: load_mart(spark, layout, gold.PRODUCT_EVENTS),
+        lambda: bronze_to_silver(spark, layout, lease=lease),
+        lambda: silver_to_gold(spark, layout, lease=lease),
+        lambda: load_mart(spark, layout, gold.PAGE_VIEWS, lease=lease),
+        lambda: load_mart(spark, layout, gold.PRODUCT_EVENTS, lease=lease),
     )
     done = dict.fromkeys(RUN_COUNTERS, 0)
     try:
@@ -363,24 +422,18 @@ def read_mart(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Rows and files per active layer; zero for those that are empty or not there yet."""
-    schemas = {
-        "bronze": BRONZE,
-        "silver": SILVER,
-        gold.PAGE_VIEWS: GOLD_PAGE_VIEW,
-        gold.PRODUCT_EVENTS: GOLD_PRODUCT_EVENT,
-    }
-
-    def files(layer: str, folder: str, route: str) -> DataFrame:
-        if not layers.exists(spark, layout.layer(folder)):
-            return spark.createDataFrame([], "object_name string")
-        rows = layers.read_layer(spark, layout.layer(folder), schemas[layer], route)
-        return rows.select(F.col("_metadata.file_path").alias("object_name"))
-
-    return monitoring.layer_stats(
-        *(monitoring.file_counts(files(layer, *place), layer) for layer, place in FILES.items()),
-        layers=(*FILES, "gold"),
-    )
+    """Rows and files per active layer; zero for those that are empty or not there yet.
+
+    Sums what the entries say of the files whose tasks are not done; no data file is listed or opened.
+    """
+    tasks = ledger.current_tasks(read_log(spark, layout, "tasks")).filter(F.col("status") == ledger.DONE)
+    counts = []
+    for layer, (folder, route) in FILES.items():
+        lines = layers.read_entries(spark, layout.layer(folder)).filter(F.col("route") == route)
+        gone = tasks.filter(F.col("layer") == layer).select(F.col("partition_key").alias("file"))
+        active = lines.join(gone, "file", "left_anti")
+        counts.append(active.select(F.lit(layer).alias("layer"), F.col("file").alias("object_name"), "rows"))
+    return monitoring.layer_stats(*counts, layers=(*FILES, "gold"))
 
 
 def _routes(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -388,31 +441,108 @@ def _routes(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, layer string, source string, archive string")
 
 
-def _move(spark: SparkSession, plan: DataFrame) -> None:
+def _move_folder(spark: SparkSession, source: str, target: str) -> str | None:
+    """Move a folder whose files may be there already, as a whole or in part; what went wrong, or None.
+
+    As a whole where nothing is there yet; else file by file, where one of the same size is not moved again.
+    """
+    fs, old = files.file_system(spark, source)
+    to_fs, new = files.file_system(spark, target)
+    if not fs.exists(old):
+        return None
+    same = fs.getUri().equals(to_fs.getUri())
+    try:
+        if same and not to_fs.exists(new):
+            to_fs.mkdirs(new.getParent())
+            if fs.rename(old, new) and not fs.exists(old):
+                return None
+        base, found, left = len(old.toUri().getPath()) + 1, fs.listFiles(old, True), 0
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while found.hasNext():
+            status = found.next()
+            _, there = files.file_system(spark, f"{target}/{status.getPath().toUri().getPath()[base:]}")
+            if not to_fs.exists(there) or to_fs.getFileStatus(there).getLen() != status.getLen():
+                to_fs.delete(there, False)
+                to_fs.mkdirs(there.getParent())
+                if same:
+                    fs.rename(status.getPath(), there)
+                else:
+                    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, status.getPath(), to_fs, there, False, True, conf)
+            arrived = to_fs.exists(there) and to_fs.getFileStatus(there).getLen() == status.getLen()
+            left += not arrived
+        if left:
+            return f"{left} files did not arrive in {target}"
+        fs.delete(old, True)
+        return None
+    except Exception as error:
+        return f"moving {source}: {error}"
+
+
+def _move(spark: SparkSession, plan: DataFrame) -> DataFrame:
     """Move the batch folders of the planned files' routes; a hop reads a route of a batch as a whole, so all its
-    files are due together. What is not there any more is left alone."""
-    folder = F.regexp_extract("partition_key", r"\A(writer=[^/]+/batch_id=[^/]+/route=[^/]+)/", 1).alias("folder")
-    due = plan.filter(F.col("error").isNull()).select("source", "archive", folder).filter("folder <> ''").distinct()
-    for r in due.toLocalIterator():
-        fs, source = layers._file_system(spark, f"{r['source'].rstrip('/')}/{r['folder']}")
-        _, target = layers._file_system(spark, f"{r['archive'].rstrip('/')}/{r['folder']}")
-        if fs.exists(source):
-            fs.mkdirs(target.getParent())
-            fs.rename(source, target)
+    files are due together. Returns `source, folder, failure` of those that failed.
+
+    Moves change names, not data, on a file system (an object store copies on its side), so a few threads of the
+    driver do them; the folders are streamed, one for each batch and route.
+    """
+    due = plan.filter(F.col("error").isNull()).select("source", "archive", _folder_of("partition_key"))
+    due = due.filter("folder <> ''").distinct()
+    failed: list[tuple[str, str, str]] = []
+
+    def move(r) -> None:
+        source = f"{r['source'].rstrip('/')}/{r['folder']}"
+        error = _move_folder(spark, source, f"{r['archive'].rstrip('/')}/{r['folder']}")
+        if error:
+            failed.append((r["source"], r["folder"], error))
+
+    with ThreadPoolExecutor(_MOVERS) as pool:
+        some: list = []
+        for r in due.toLocalIterator():
+            some.append(r)
+            if len(some) == 64 * _MOVERS:
+                list(pool.map(move, some))
+                some = []
+                if len(failed) > _MOST_FAILURES:
+                    raise OSError(f"{len(failed)} folders could not be moved, such as {failed[0][1]}: {failed[0][2]}")
+        list(pool.map(move, some))
+    return spark.createDataFrame(failed, "source string, folder string, failure string")
+
+
+def _folder_of(key: str) -> Column:
+    return F.regexp_extract(key, r"\A(writer=[^/]+/batch_id=[^/]+/route=[^/]+)/", 1).alias("folder")
+
+
+def due_tasks(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The tasks whose files no hop will read again: those of batches that their hop's checkpoint has committed.
+
+    A batch hands its files over before its checkpoint commits it. If it stops in between it is replayed and reads
+    them once more, so until then they stay where they are.
+    """
+    # Before the log: a batch that is committed in between has its tasks wait for the next run.
+    fence = committed(spark, layout)
+    log = read_log(spark, layout, "tasks")
+    # One row for each hop.
+    open_batches = log.join(F.broadcast(fence), "writer").filter(F.col("batch_id") > F.col("committed"))
+    return ledger.current_tasks(log).join(open_batches.select(*ledger.TASK_KEY).distinct(), list(ledger.TASK_KEY), "left_anti")
 
 
 def settle_archive(
     spark: SparkSession, layout: Layout, limit: int | None = None, routes: DataFrame | None = None
 ) -> DataFrame:
-    """Archive the files of all open tasks and settle the tasks.
+    """Archive the files of all open tasks that are due and settle the tasks.
 
-    A file found in the archive, or in neither folder, is done; one still active stays open.
-    A task without a route fails. Appends to the task log and returns the report. `limit` takes only
-    so many tasks, those longest untouched.
+    A file found in the archive, or in neither folder, is done; one still active stays open. A task without a route, or
+    whose files could not be moved, fails with that error and is tried again while it has attempts. Appends to the
+    task log and returns the report. `limit` takes only so many tasks, those longest untouched. One run at a time.
     """
     if not layout.archive_root:
         raise ValueError("the layout has no archive_root")
-    tasks = ledger.current_tasks(read_log(spark, layout, "tasks"))
+    with leased(spark, layout, "archive", "settle_archive"):
+        return _settle(spark, layout, limit, routes)
+
+
+def _settle(spark: SparkSession, layout: Layout, limit: int | None, routes: DataFrame | None) -> DataFrame:
+    tasks = due_tasks(spark, layout)
     now = _now()
     seq = _micros(now)
 
@@ -423,7 +553,9 @@ def settle_archive(
         return spark.read.schema(rows.schema).parquet(folder)
 
     plan = kept(archive.archive_plan(tasks, routes or _routes(spark, layout), limit), "archive_plans")
-    _move(spark, plan)
+    failures = F.broadcast(_move(spark, plan))
+    plan = plan.withColumn("folder", _folder_of("partition_key")).join(failures, ["source", "folder"], "left")
+    plan = plan.withColumn("error", F.coalesce("error", "failure"))
 
     def listing(archived: bool) -> DataFrame:
         found = None
@@ -448,3 +580,70 @@ def settle_archive(
     folder = layers.batch_folder(layout.layer("tasks"), "archive", seq)
     claimed.unionByName(ended).write.mode("overwrite").parquet(folder)
     return archive.archive_report(outcomes)
+
+
+def _batch_of(entry: Column) -> tuple[Column, Column]:
+    """Query id and batch in the name of an entry or a batch folder's writer and number."""
+    return F.regexp_extract(entry, r"\A([^.]+?)(?:\.\d+)?-(\d+)\z", 1), F.regexp_extract(
+        entry, r"-(\d+)\z", 1
+    ).try_cast("bigint")
+
+
+def _settled_entries(lines: DataFrame, fence: DataFrame) -> DataFrame:
+    """The lines of entries whose batch the checkpoint of its hop has committed."""
+    writer, batch = _batch_of(F.col("entry"))
+    marked = lines.withColumns({"writer": writer, "batch": batch})
+    return marked.join(F.broadcast(fence.drop("job")), "writer").filter("batch <= committed").drop("writer", "batch", "committed")
+
+
+def compact(spark: SparkSession, layout: Layout, least: int = 16) -> dict[str, int]:
+    """Keep old commit entries and task states in levelled snapshots; how many parts of each log went there.
+
+    An entry goes when its own batch is committed and every hop that reads the layer has committed a batch that read it,
+    so no stream misses one. Of tasks, every state that a newer one has replaced goes for good. Logs with fewer than
+    `least` such parts are left alone. One compaction at a time.
+    """
+    with leased(spark, layout, "compact", "compact") as lease:
+        fence = committed(spark, layout)
+        done = {}
+        for folder in WRITERS:
+            root = layout.layer(folder)
+            if not layers.exists(spark, root):
+                continue
+            lines = layers.read_entries(spark, root)
+            kept = manifests.read(spark, root, layers.ENTRY)
+            if kept is not None:
+                lines = lines.join(kept.select("entry").distinct(), "entry", "left_anti").select(*names(layers.ENTRY))
+            fresh = _settled_entries(lines, fence)
+            for reader in READERS.get(folder, ()):
+                read = _settled_entries(layers.read_entries(spark, layout.layer(reader)), fence)
+                seen = read.filter(F.col("source").isNotNull()).select(F.col("source").alias("entry")).distinct()
+                fresh = fresh.join(seen, "entry", "left_semi")
+            entries = [r["entry"] for r in fresh.select("entry").distinct().collect()]
+            if len(entries) >= least:
+                parts = [f"_commits/{e}.json" for e in entries]
+                manifests.add(root, fresh.select(*names(layers.ENTRY)), parts, lambda rows: rows.coalesce(1), lease.check)
+                done[folder] = len(entries)
+        done |= _compact_tasks(spark, layout, fence, least, lease)
+        return done
+
+
+def _compact_tasks(spark: SparkSession, layout: Layout, fence: DataFrame, least: int, lease: leases.Lease) -> dict[str, int]:
+    root = layout.layer("tasks")
+    if not layers.exists(spark, root):
+        return {}
+    _, manifest = manifests.current(spark, root)
+    newest = {r["writer"]: r["committed"] for r in fence.collect()}
+    parts = []
+    for writer in files.names(spark, root):
+        if writer.startswith("writer="):
+            name = writer.split("=", 1)[1]
+            batches = files.names(spark, f"{root}/{writer}")
+            old = [b for b in batches if b.startswith("batch_id=") and int(b.split("=", 1)[1]) <= newest.get(name, 1 << 62)]
+            parts += [f"{writer}/{b}" for b in old]
+    parts = sorted(set(parts) - set(manifest["stale"]))
+    if len(parts) < least:
+        return {}
+    fresh = spark.read.schema(TASK_LOG).parquet(*(f"{root}/{p}" for p in parts))
+    manifests.add(root, fresh, parts, lambda rows: ledger.current_tasks(rows).select(*names(TASK_LOG)), lease.check)
+    return {"tasks": len(parts)}
