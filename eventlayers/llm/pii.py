@@ -1,20 +1,22 @@
 """Information-theoretic sanitisation of personal data, in built-in functions only.
 
 Protected entities are the personal values of the base patterns. The corpus says how much a term reveals one of
-them: with n(c, t) the mentions of entity c that have term t nearby, n(t) the term's occurrences in the corpus,
-n(c) the mentions of c and N all term occurrences, the pointwise mutual information
+them. Seeing term t takes the information about entity c from -ln P(c) to -ln P(c | t): the pointwise mutual information is
+their difference, and what is left, -ln P(c | t), says how well t gives c away, whatever the size of the corpus. With
+n(t) the documents that hold t and n(c, t) the mentions of c that have it nearby,
 
-    PMI(c; t) = ln(n(c, t) * N / (n(c) * n(t)))
+    P(c | t) = min(1, n(c, t) / n(t)),
 
-is compared with the information content IC(c) = ln(N / n(c)). Their ratio is the share of c that t discloses:
-one if t never occurs without c, zero if they are independent. A term whose largest share reaches `remove_at`
-is removed wherever it occurs, one that reaches `generalise_at` is replaced by a general word.
+and its lower confidence bound (Wilson's, `Z` deviations) is the disclosure. The sample that it is estimated from is the
+number of distinct contexts of c with t, over P: copies raise both counts alike and add no evidence, so repeating a
+corpus changes nothing. A term whose largest disclosure reaches `remove_at` is removed wherever it occurs, one that
+reaches `generalise_at` is replaced by a general word.
 
 Nearby means within `CONTEXT` characters of a mention in the whole text, whatever other values stand there, so the
-pairs grow with the mentions and not with the square of anything; counts combine before they are shuffled, and equal
-contexts (copies) support a term once. One context is no evidence by itself: a term that stands by chance beside an
-entity with one mention reaches a large share too. With `alone` a pair of one context counts where its mentions, copies
-included, are at least that share of the documents that hold the term, as with a name found only there.
+pairs grow with the mentions and not with the square of anything; counts combine before they are shuffled. A term with
+a single context may stand there by chance, and most words of a corpus occur in one text only. Pairs of one context count
+only where such terms are found near values so often that chance, by the share of all terms that stand near
+values, explains at most `FALSE_SHARE` of them.
 """
 
 from __future__ import annotations
@@ -27,17 +29,17 @@ from eventlayers.llm.quality import let
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 80
-MIN_SUPPORT = 2
-GENERALISE_AT = 0.75
-REMOVE_AT = 0.9
+GENERALISE_AT = 0.5
+REMOVE_AT = 0.75
+Z = 1.0
+FALSE_SHARE = 0.5
 #: Terms are sent to all executors up to this number; more of them are joined by shuffling.
 BROADCAST_TERMS = 100_000
 #: Letters of the shortest term, and characters of the parts in which texts are searched for terms.
 TERM_LETTERS = 4
 PART = 1000
-#: What the query and the pipeline ask for: single contexts of terms that half their documents have there, and names
-#: of any length.
-WHOLE = {"alone": 0.5, "letters": 1}
+#: What the query and the pipeline ask for: names of any length.
+WHOLE = {"letters": 1}
 
 # The contract's patterns. A match can only begin where the run of its first characters begins or where the last
 # match ended, which the first group says; that and possessive repeats keep the time linear in the text.
@@ -159,9 +161,14 @@ def joined(spans: Column) -> Column:
     )
 
 
+def confidence_bound(share: Column, n: Column) -> Column:
+    """Wilson's lower bound of a share seen in a sample of n."""
+    spread = F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))
+    return (share + Z * Z / (2 * n) - Z * spread) / (1 + Z * Z / n)
+
+
 def disclosing_terms(
-    found: DataFrame, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, min_support: int = MIN_SUPPORT,
-    letters: int = TERM_LETTERS, alone: float | None = None,
+    found: DataFrame, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, letters: int = TERM_LETTERS
 ) -> DataFrame:
     """`term, disclosure, removed` of the terms that reveal an entity; `found` is what `with_mentions` returns."""
     pattern = F.lit(term_pattern(letters))
@@ -186,28 +193,23 @@ def disclosing_terms(
         contexts.select("entity", "n", F.explode(near).alias("term")).groupBy("entity", "term")
         .agg(F.sum("n").alias("n_ct"), F.count("*").alias("support"))
     )
-    entities = contexts.groupBy("entity").agg(F.sum("n").alias("n_c"))
-    enough = F.col("support") >= min_support
-    words = F.regexp_extract_all(F.lower("text"), pattern, F.lit(0))
-    if alone is None:
-        pairs = pairs.where(enough)
-        terms = found.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        # Each occurrence, and once more each term of a document.
-        enough = enough | (F.col("n_ct") >= alone * F.col("n_docs"))
-        twice = let(words, lambda w: F.concat(
-            F.transform(w, lambda x: F.struct(x.alias("term"), F.lit(False).alias("doc"))),
-            F.transform(F.array_distinct(w), lambda x: F.struct(x.alias("term"), F.lit(True).alias("doc"))),
-        ))
-        terms = found.select(F.inline(twice)).groupBy("term").agg(F.count_if(~F.col("doc")).alias("n_t"), F.count_if("doc").alias("n_docs"))
+    pairs = materialise(pairs, "term-pairs")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), pattern, F.lit(0)))
+    h = F.xxhash64("text").alias("h")
+    terms = found.select(h, F.explode(words).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_t"), (F.min("h") == F.max("h")).alias("one_text")
+    )
     terms = materialise(terms, "term-counts")
-    n_all = F.lit(float(terms.agg(F.sum("n_t").alias("n_all")).first()["n_all"] or 1))
-    content = F.ln(n_all / F.col("n_c"))
-    shared = F.ln(F.col("n_ct") * n_all / (F.col("n_c").cast("double") * F.col("n_t")))
-    share = F.when(content > 0, F.least(F.lit(1.0), shared / content)).otherwise(F.lit(0.0))
+    whole = terms.agg(F.sum("n_t").alias("all"), F.count_if("one_text").alias("single")).first()
+    known = pairs.join(terms, "term")
+    seen = known.agg(F.sum("n_ct").alias("near"), F.count_distinct(F.when(F.col("one_text"), F.col("term"))).alias("single")).first()
+    chance = min(1.0, (seen["near"] or 0) / (whole["all"] or 1))
+    alone = chance * whole["single"] <= FALSE_SHARE * seen["single"]
+    share = F.least(F.lit(1.0), F.col("n_ct") / F.col("n_t"))
+    bound = confidence_bound(share, F.col("support") / share)
     return (
-        pairs.join(terms, "term").where(enough).join(entities, "entity")
-        .groupBy("term").agg(F.max(share).alias("disclosure"))
+        known.where(F.lit(True) if alone else F.col("support") > 1)
+        .groupBy("term").agg(F.max(bound).alias("disclosure"))
         .where(F.col("disclosure") >= generalise_at)
         .select("term", "disclosure", (F.col("disclosure") >= remove_at).alias("removed"))
     )

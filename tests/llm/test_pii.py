@@ -45,35 +45,44 @@ def letters(text):
     return [m for m in re.finditer(r"[^\W\d_]{4,}", text)]
 
 
-def disclosing(texts):
+def words(text, least):
+    return [m[0].lower() for m in re.finditer(rf"[^\W\d_]{{{least},}}", text)]
+
+
+def bound(p, n):
+    return (p + 1 / (2 * n) - math.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+
+
+def disclosing(texts, least=pii.TERM_LETTERS):
+    """Lower bounds of P(entity | term), from the 80 characters of the whole text around each mention."""
     contexts = defaultdict(Counter)
-    counts = Counter(m[0].lower() for t in texts for m in letters(t))
     for t in texts:
-        for kind in range(4):
-            pattern = BASE[KINDS[kind]]
-            cuts = [0, *(x for m in re.finditer(pattern, t) for x in m.span()), len(t)]
-            pieces = {(a, b) for a, b in zip(cuts[::2], cuts[1::2])}
-            for start, k, end in base_spans(t):
-                if k == kind:
-                    left = next(t[a:b] for a, b in pieces if b == start)[-80:]
-                    right = next(t[a:b] for a, b in sorted(pieces) if a == end)[:80]
-                    left = re.sub(r"\A[^\W\d_]+", "", left) if len(left) == 80 else left
-                    right = re.sub(r"[^\W\d_]+\Z", "", right) if len(right) == 80 else right
-                    value = t[start:end].lower() if k == 0 else re.sub("[^0-9.]", "", t[start:end])
-                    contexts[k, value][left, right] += 1
-    n = sum(counts.values())
-    best = {}
-    for group in contexts.values():
-        n_c = sum(group.values())
-        n_ct, support = Counter(), Counter()
+        for start, kind, end in base_spans(t):
+            left, right = t[max(0, start - 80) : start], t[end : end + 80]
+            left = re.sub(r"\A[^\W\d_]+", "", left) if len(left) == 80 else left
+            right = re.sub(r"[^\W\d_]+\Z", "", right) if len(right) == 80 else right
+            value = t[start:end].lower() if kind == 0 else re.sub("[^0-9.]", "", t[start:end])
+            contexts[kind, value][left, right] += 1
+    held = Counter(w for t in texts for w in set(words(t, least)))
+    texts_of = defaultdict(set)
+    for t in texts:
+        for w in words(t, least):
+            texts_of[w].add(t)
+    n_ct, support = Counter(), Counter()
+    for entity, group in contexts.items():
         for (left, right), k in group.items():
-            for term in {m[0].lower() for x in (left, right) for m in letters(x)}:
-                n_ct[term] += k
-                support[term] += 1
-        for term, k in n_ct.items():
-            if support[term] >= pii.MIN_SUPPORT and n > n_c:
-                share = min(1.0, math.log(k * n / (n_c * counts[term])) / math.log(n / n_c))
-                best[term] = max(best.get(term, -9), share)
+            for term in {*words(left, least), *words(right, least)}:
+                n_ct[entity, term] += k
+                support[entity, term] += 1
+    single = {w for w, some in texts_of.items() if len(some) == 1}
+    near = {term for _, term in n_ct}
+    chance = min(1, sum(n_ct.values()) / max(1, sum(held.values())))
+    alone = chance * len(single) <= 0.5 * len(single & near)
+    best = {}
+    for (entity, term), k in n_ct.items():
+        if alone or support[entity, term] > 1:
+            p = min(1.0, k / held[term])
+            best[term] = max(best.get(term, 0), bound(p, support[entity, term] / p))
     return {t: v for t, v in best.items() if v >= pii.GENERALISE_AT}
 
 
