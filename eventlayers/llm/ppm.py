@@ -31,19 +31,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventlayers.llm.common import attach, chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
+from eventlayers.llm.common import chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
 
 ORDER = 5
 END = 256
 SYMBOLS = 257
 #: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
 #: and bytes of the parts in which a group is read.
-GROUP_BYTES, GROUPS, LEAST_BYTES = 20 << 20, 12, 4 << 20
-CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 1 << 14
+GROUP_BYTES, GROUPS, LEAST_BYTES = 16 << 20, 12, 4 << 20
+CHUNK_BYTES, CHUNK_DOCS = 1 << 20, 1 << 14
 PACK_BYTES = 32 << 20
 #: Grams that a shard should hold.
 SHARD_GRAMS = 1_000_000
@@ -246,10 +246,14 @@ def score_texts(
     rows = dealt(docs, group_bytes, folds, held)
     asked = materialise(group_statistics(rows), "gram-counts")
     grams = materialise(asked.where(F.col("code") != WORD).groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    words = asked.where(F.col("code") == WORD)
-    counted = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"), F.count("*").alias("groups"))
-    counted = materialise(counted, "words")
-    known = counted.agg(F.sum("value").alias("tokens"), F.count_if(F.col("value") > 0).alias("kinds")).first()
+    # One shuffle gives each group's words their counts in all groups. A word has one row for each group at most (16 MB of
+    # text each), so a frequent word is millions of narrow rows at 100 TB, which the window spills.
+    word = Window.partitionBy("word")
+    words = asked.where(F.col("code") == WORD).select(
+        "part", "word", F.sum("n").over(word).cast("double").alias("value"), (F.min("part").over(word) == F.col("part")).alias("first")
+    )
+    words = materialise(words, "words")
+    known = words.where("first").agg(F.sum("value").alias("tokens"), F.count_if(F.col("value") > 0).alias("kinds")).first()
     tokens, kinds = int(known["tokens"] or 0), known["kinds"] or 0
     # At most 256 contexts of one byte times 257 symbols: bounded whatever the corpus.
     low = np.zeros((256, SYMBOLS))
@@ -280,7 +284,7 @@ def score_texts(
     answers = (
         asked.where(F.col("code") != WORD).select("part", "code").join(priced, "code")
         .select("part", "code", F.lit(None).cast("binary").alias("word"), "value")
-        .unionByName(attach(words.select("part", "code", "word"), counted, "word", "groups"))
+        .unionByName(words.select("part", F.lit(WORD).cast("long").alias("code"), "word", "value"))
     )
 
     rest = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
