@@ -42,9 +42,9 @@ END = 256
 SYMBOLS = 257
 #: Most bytes of text in a group of documents, groups that even a small corpus is dealt to (of `LEAST_BYTES` at least),
 #: and bytes of the parts in which a group is read.
-GROUP_BYTES, GROUPS, LEAST_BYTES = 16 << 20, 12, 4 << 20
+GROUP_BYTES, GROUPS, LEAST_BYTES = 12 << 20, 12, 4 << 20
 CHUNK_BYTES, CHUNK_DOCS = 1 << 20, 1 << 14
-PACK_BYTES = 32 << 20
+PACK_BYTES = 8 << 20
 #: Grams that a shard should hold.
 SHARD_GRAMS = 1_000_000
 WORD = -1
@@ -150,6 +150,8 @@ def group_statistics(rows: DataFrame) -> DataFrame:
         words.update(dict.fromkeys(unseen, 0))
         codes, counts = distinct_codes(keys)
         del keys
+        # Workers live on; what they do not use goes back to the machine.
+        pa.default_memory_pool().release_unused()
         part = table.column("part")[0].as_py()
         return pa.table({
             "part": pa.array(np.full(len(codes) + len(words), part, np.int32)),
@@ -246,7 +248,7 @@ def score_texts(
     rows = dealt(docs, group_bytes, folds, held)
     asked = materialise(group_statistics(rows), "gram-counts")
     grams = materialise(asked.where(F.col("code") != WORD).groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    # One shuffle gives each group's words their counts in all groups. A word has one row for each group at most (16 MB of
+    # One shuffle gives each group's words their counts in all groups. A word has one row for each group at most (12 MB of
     # text each), so a frequent word is millions of narrow rows at 100 TB, which the window spills.
     word = Window.partitionBy("word")
     words = asked.where(F.col("code") == WORD).select(
@@ -317,6 +319,7 @@ def score_texts(
                 "base_score": sum_by(gains, many) + end - floor * many_and_end,
                 "score": np.bincount(got & (CHUNK_DOCS - 1), found, len(texts)),
             }, schema=out[0].schema))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, schema)
