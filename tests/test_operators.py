@@ -198,13 +198,17 @@ def names(df, column="partition_key"):
     return sorted(r[column] for r in df.collect())
 
 
-def test_only_new_files_are_processed(spark):
-    files = spark.createDataFrame(
-        [("2026/05/17/new.parquet",), ("2026/05/17/processed.parquet",)], "object_name string"
+def test_unprocessed_files_of_a_layer(spark):
+    """A name that begins like a handed-over one, one handed over for another data set, and one listed twice."""
+    listed = ["lake/a", "lake/a.1", "lake/b", "lake/c", "lake/c"]
+    found = spark.createDataFrame([(n,) for n in listed], "object_name string")
+    other = task("lake/b")
+    tasks = log(spark, task("lake/a"), task("lake/c", layer="silver")).unionByName(
+        log(spark, other).withColumn("dataset", F.lit("other_events"))
     )
-    tasks = log(spark, task("2026/05/17/processed.parquet"), task("2026/05/17/new.parquet", layer="silver"))
-    assert names(ledger.unprocessed_files(files, tasks, "bronze"), "object_name") == ["2026/05/17/new.parquet"]
-    assert tuple(ledger.file_progress(files, tasks, "bronze").first()) == (2, 1, 1)
+    left = names(ledger.unprocessed_files(found, tasks, "bronze"), "object_name")
+    assert left == ["lake/a.1", "lake/b", "lake/c", "lake/c"]
+    assert tuple(ledger.file_progress(found, tasks, "bronze").first()) == (5, 1, 4)
 
 
 def test_existing_keys(spark):
