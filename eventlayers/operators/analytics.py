@@ -26,8 +26,12 @@ def page_stats(page_views: DataFrame) -> DataFrame:
 
 
 def top_landing_pages(page_views: DataFrame, limit: int = 10) -> DataFrame:
+    return first_pages(page_stats(page_views), limit)
+
+
+def first_pages(stats: DataFrame, limit: int = 10) -> DataFrame:
     _check_limit(limit)
-    return page_stats(page_views).orderBy(F.desc("page_views"), "page_url").limit(limit)
+    return stats.orderBy(F.desc("page_views"), "page_url").limit(limit)
 
 
 def product_stats(product_events: DataFrame) -> DataFrame:
@@ -45,8 +49,12 @@ def product_stats(product_events: DataFrame) -> DataFrame:
 
 def top_products(product_events: DataFrame, limit: int = 10) -> DataFrame:
     """Products by revenue; those without any price come last and show 0."""
+    return first_products(product_stats(product_events), limit)
+
+
+def first_products(stats: DataFrame, limit: int = 10) -> DataFrame:
     _check_limit(limit)
-    top = product_stats(product_events).orderBy(F.desc_nulls_last("total_revenue"), "product_id").limit(limit)
+    top = stats.orderBy(F.desc_nulls_last("total_revenue"), "product_id").limit(limit)
     return top.withColumn("total_revenue", F.coalesce(F.col("total_revenue").cast("double"), F.lit(0.0)))
 
 
@@ -66,6 +74,11 @@ def ab_test_summary(page_views: DataFrame, product_events: DataFrame) -> DataFra
             F.count("*").alias("product_events"),
         )
     )
+    return meet(views, products)
+
+
+def meet(views: DataFrame, products: DataFrame) -> DataFrame:
+    """The two sides of the A/B summary, a row per group each."""
 
     def or_zero(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).alias(name)
@@ -79,10 +92,7 @@ def ab_test_summary(page_views: DataFrame, product_events: DataFrame) -> DataFra
 
 def user_sessions(page_views: DataFrame, user_id: str, skip: int = 0, limit: int = 20) -> DataFrame:
     """A page of one user's sessions, newest first."""
-    _check_limit(limit)
-    if skip < 0:
-        raise ValueError(f"skip must not be negative: {skip}")
-    return (
+    sessions = (
         page_views.filter(F.col("user_id") == user_id)
         .groupBy("session_id")
         .agg(
@@ -90,10 +100,16 @@ def user_sessions(page_views: DataFrame, user_id: str, skip: int = 0, limit: int
             F.max("event_time").alias("last_event_time"),
             F.count("*").alias("page_views"),
         )
-        .orderBy(F.desc("first_event_time"), "session_id")
-        .offset(skip)
-        .limit(limit)
     )
+    return page_of(sessions, skip, limit)
+
+
+def page_of(sessions: DataFrame, skip: int, limit: int) -> DataFrame:
+    """A page of sessions, newest first."""
+    _check_limit(limit)
+    if skip < 0:
+        raise ValueError(f"skip must not be negative: {skip}")
+    return sessions.orderBy(F.desc("first_event_time"), "session_id").offset(skip).limit(limit)
 
 
 def user_total_sessions(page_views: DataFrame, user_id: str) -> DataFrame:

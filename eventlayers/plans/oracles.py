@@ -208,6 +208,12 @@ SELECT * FROM (
 """
 )
 
+_GAPS = """WITH sent AS (
+  SELECT event_type AS topic, CAST(user_id % 3 AS INT) AS partition, event_id AS o FROM events
+), gaps AS (
+  SELECT * FROM (SELECT *, lag(o) OVER (PARTITION BY topic, partition ORDER BY o) AS before FROM sent) WHERE o - before > 1
+)"""
+
 _PAGE_STATS = """SELECT page_url, count(*) AS page_views,
   count(*) FILTER (WHERE scroll_depth IS NULL OR scroll_depth < 30) AS bounces,
   count(*) FILTER (WHERE scroll_depth IS NULL OR scroll_depth < 30) / count(*) AS bounce_rate
@@ -297,6 +303,14 @@ ORACLES: dict[str, str] = {
         WHERE {_BAD_MESSAGE} IS NOT NULL GROUP BY 1""",
     "next_offsets": """SELECT 'sessions_raw' AS topic, CAST(event_id % 3 AS INT) AS partition,
         max(event_id) + 1 AS next_offset FROM events GROUP BY 2""",
+    "offset_gaps": f"{_GAPS} SELECT topic, partition, before + 1 AS first_missing, o - 1 AS last_missing FROM gaps",
+    "contiguous_offsets": f"""{_GAPS}, lost AS (
+          SELECT topic, partition, min(before + 1) AS until, count(*) AS gaps, CAST(sum(o - before - 1) AS BIGINT) AS missing
+          FROM gaps GROUP BY ALL
+        ), ends AS (SELECT topic, partition, min(o) AS first_offset, max(o) + 1 AS next_offset FROM sent GROUP BY ALL)
+        SELECT topic, partition, first_offset, coalesce(until, next_offset) AS contiguous_until, next_offset,
+               coalesce(gaps, 0) AS gaps, coalesce(missing, 0) AS missing_offsets
+        FROM ends LEFT JOIN lost USING (topic, partition)""",
     "publish_roundtrip": f"""{_WEB} SELECT event_id AS "offset", event_type, page_url, price, ab_group, scroll_depth,
         CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS DOUBLE) AS basket_value, session_id AS key FROM web""",
     "flatten": """SELECT event_id, event_type, 0 AS copy FROM events
@@ -380,6 +394,21 @@ ORACLES: dict[str, str] = {
           count(DISTINCT event_id) AS keys, count(*) AS named FROM silver GROUP BY 1""",
     "stream_dedupe": """SELECT CAST(event_id % 3 AS INTEGER) AS partition, count(*) AS rows,
           count(DISTINCT event_id) AS offsets FROM events GROUP BY 1""",
+    "stream_dedupe_runs": """SELECT CAST(event_id % 3 AS INTEGER) AS partition, count(*) AS rows,
+          count(DISTINCT event_id) AS offsets FROM events GROUP BY 1""",
+    "stream_rollups": f"""{_STREAM}, prod AS (
+          SELECT ab_group, count(DISTINCT session_id) AS sessions, count(*) AS n
+          FROM good_products WHERE ab_group IS NOT NULL GROUP BY ab_group
+        )
+        SELECT 'page' AS report, page_url AS key, count(*) AS rows,
+               count(*) FILTER (WHERE scroll_depth IS NULL OR scroll_depth < 30) AS other, CAST(NULL AS DOUBLE) AS amount
+        FROM good_views GROUP BY page_url
+        UNION ALL SELECT 'product', product_id, count(*), NULL, CAST(sum(CAST(price AS DECIMAL(10, 2))) AS DOUBLE)
+        FROM good_products WHERE product_id <> 'NaN' GROUP BY product_id
+        UNION ALL SELECT 'group', v.ab_group, v.n, coalesce(p.sessions, 0), CAST(coalesce(p.n, 0) AS DOUBLE)
+        FROM (SELECT ab_group, count(*) AS n FROM good_views WHERE ab_group IS NOT NULL GROUP BY ab_group) v
+        LEFT JOIN prod p ON v.ab_group = p.ab_group
+        UNION ALL SELECT 'user', user_id, count(*), count(DISTINCT session_id), NULL FROM good_views GROUP BY user_id""",
     "stream_layer_counts": _STREAM_COUNTS,
     "stream_replay_no_duplicates": _STREAM_COUNTS,
     "stream_mart_page_views": f"{_STREAM} SELECT * FROM good_views",

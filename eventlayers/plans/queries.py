@@ -17,6 +17,7 @@ from eventlayers.operators import (
     ledger,
     marts,
     monitoring,
+    rollups,
     runs,
     silver,
     star,
@@ -27,7 +28,7 @@ from eventlayers.session import scratch_dir
 from eventlayers.sources import event_table as et
 from eventlayers.sources import layers, messages
 from eventlayers.sources.layers import flatten_batches
-from eventlayers.streaming import jobs
+from eventlayers.streaming import jobs, offsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +170,21 @@ def next_offsets(spark, sf):
     return messages.next_offsets(et.topic_messages(et.read_events(spark, sf)))
 
 
+def _sent_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a topic of three partitions for each type, which leave each other's offsets out."""
+    return et.read_events(spark, sf).select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset")
+    )
+
+
+def offset_gaps(spark, sf):
+    return offsets.offset_gaps(_sent_by_type(spark, sf))
+
+
+def contiguous_offsets(spark, sf):
+    return offsets.contiguous_offsets(_sent_by_type(spark, sf))
+
+
 def publish_roundtrip(spark, sf):
     """Events to message key and text and back."""
     rows = et.raw_events(et.read_events(spark, sf), faults=False)
@@ -665,6 +681,47 @@ def stream_dedupe(spark, sf):
     return rows.groupBy("partition").agg(F.count("*").alias("rows"), F.count_distinct("offset").alias("offsets"))
 
 
+def stream_dedupe_runs(spark, sf):
+    """Each message twice in the topic, and the topic sent again by a second run: kept once without a time bound."""
+    sent = et.topic_messages(et.read_events(spark, sf), faults=False).select("topic", "partition", "offset")
+    path = scratch_dir(spark, "deduped")
+    for _ in range(2):
+        sent.unionByName(sent).write.mode("append").parquet(f"{path}/topic")
+        topic = spark.readStream.schema(sent.schema).parquet(f"{path}/topic")
+        query = (
+            offsets.dedupe_by_runs(topic)
+            .writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+            .start(f"{path}/rows", format="parquet")
+        )
+        query.awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.groupBy("partition").agg(F.count("*").alias("rows"), F.count_distinct("offset").alias("offsets"))
+
+
+def stream_rollups(spark, sf):
+    """Pages, products, A/B groups and users by the states of the marts, one line each."""
+    layout = _drained(spark, sf)
+    states = []
+    for table in _MARTS:
+        jobs.finish(jobs.roll_up(spark, layout, table))
+        states.append(jobs.read_states(spark, layout, table))
+    views, products = states
+    by_user = views.filter(F.col("route") == rollups.USERS).groupBy("key").agg(
+        F.sum("rows").alias("rows"), F.count_distinct(F.coalesce("session_id", F.lit(""))).alias("other")
+    )
+    groups = rollups.ab_test_summary(views, products)
+    parts = (
+        rollups.page_stats(views).select(F.lit("page").alias("report"), F.col("page_url").alias("key"), F.col("page_views").alias("rows"),
+                                         F.col("bounces").alias("other"), F.lit(None).cast("double").alias("amount")),
+        rollups.product_stats(products).select(F.lit("product").alias("report"), F.col("product_id").alias("key"), F.col("events_count").alias("rows"),
+                                               F.lit(None).cast("bigint").alias("other"), F.col("total_revenue").cast("double").alias("amount")),
+        groups.select(F.lit("group").alias("report"), F.col("ab_group").alias("key"), F.col("page_views").alias("rows"),
+                      F.col("sessions_with_product").alias("other"), F.col("product_events").cast("double").alias("amount")),
+        by_user.select(F.lit("user").alias("report"), "key", "rows", "other", F.lit(None).cast("double").alias("amount")),
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -678,7 +735,7 @@ QUERIES: dict[str, Query] = {
         refused_transitions, archive_plan, archive_report, retention_plan,
         watermark_upsert, layer_watermark, run_history, latest_runs,
         dim_users, dim_sessions, fact_events, skipped_sessions, skipped_count,
-        layer_stats, layer_files, stream_dedupe,
+        layer_stats, layer_files, stream_dedupe, stream_dedupe_runs, stream_rollups, offset_gaps, contiguous_offsets,
         stream_layer_counts, stream_replay_no_duplicates, stream_replay_after_archive, lake_compacted, stream_mart_page_views,
         stream_mart_product_events, stream_tasks, stream_run_full, archive_settled,
     )

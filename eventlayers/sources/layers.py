@@ -61,13 +61,17 @@ def read_layer(
 
     A layer that is not there yet has no rows.
     """
+    return read_all_routes(spark, path, row, date).filter(F.col("route") == route)
+
+
+def read_all_routes(spark: SparkSession, path: str, row: T.StructType, date: str | None = None) -> DataFrame:
+    """All routes of a layer's committed batches, with the route as a column."""
     if not exists(spark, path):
         return spark.createDataFrame([], layer_schema(row, date))
     found = (
         spark.read.schema(layer_schema(row, date))
         .option("ignoreCorruptFiles", "false")
         .parquet(path)
-        .filter(F.col("route") == route)
     )
     # At most one per writer that is at work or has crashed.
     for writer, batch_id in uncommitted(spark, path):

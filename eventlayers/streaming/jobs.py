@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlayers.operators import archive, gold, ledger, marts, monitoring, runs, silver
+from eventlayers.operators import archive, gold, ledger, marts, monitoring, rollups, runs, silver
 from eventlayers.schemas import (
     BRONZE,
     GOLD_PAGE_VIEW,
@@ -80,8 +80,11 @@ WRITERS = {
     "silver": "bronze_to_silver",
     "gold": "silver_to_gold",
     **{target: f"load_{target}" for _, _, target, _, _ in _MARTS.values()},
+    **{f"{target}_states": f"roll_up_{target}" for _, _, target, _, _ in _MARTS.values()},
 }
 READERS = {"bronze": ("silver",), "silver": ("gold",), "gold": tuple(t for _, _, t, _, _ in _MARTS.values())}
+# States are made of marts where they are asked for; a mart's entries wait for them once they are.
+OPTIONAL_READERS = {target: (f"{target}_states",) for _, _, target, _, _ in _MARTS.values()}
 # Folders that are moved at the same time, and failed ones after which moving is given up.
 _MOVERS, _MOST_FAILURES = 16, 1000
 
@@ -353,6 +356,50 @@ def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
     )
 
 
+def roll_up(
+    spark: SparkSession, layout: Layout, table: str, trigger: dict | None = None,
+    after_write: Callable[[int], None] | None = None,
+) -> Job:
+    """States of a mart's new batches, for the reports of `rollups`; once for each batch of the mart.
+
+    Follows the mart's commit log, as the hops do theirs. Start it before the mart's log is compacted for the first time;
+    later compactions leave it the entries it has not read.
+    """
+    _, row, target, _, _ = _MARTS[table]
+    source, root, job = layout.layer(target), layout.layer(f"{target}_states"), f"roll_up_{target}"
+    counters = Counters()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        entry = layers.published(session, root, writer, batch_id)
+        if entry is None:
+            rows = layers.read_routes(session, source, row, batch, ROWS)
+            entry = layers.publish_batch(
+                rollups.STATES[table](rows), root, writer, batch_id, ["route"], batch.select("entry")
+            )
+        if after_write:
+            after_write(batch_id)
+        made = layers.read_entry(session, root, entry).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("states"))
+        counters.batches.append({"batch_id": batch_id} | made.first().asDict())
+
+    query = (
+        layers.stream_commits(spark, source, layout.max_batches_per_trigger)
+        .writeStream.queryName(job)
+        .option("checkpointLocation", checkpoint(layout, job))
+        .trigger(**(trigger or DRAIN))
+        .foreachBatch(write)
+        .start()
+    )
+    return query, counters
+
+
+def read_states(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """The states that `roll_up` has made of a mart; a filter on `route`, the kind, prunes folders."""
+    root = layout.layer(f"{_MARTS[table][2]}_states")
+    return layers.read_all_routes(spark, root, rollups.STATE).select(*names(rollups.STATE), "route")
+
+
 def load_marts(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Both marts, and the loader's six counters: rows, files and skipped files of each."""
     done: dict[str, int] = {}
@@ -615,7 +662,8 @@ def compact(spark: SparkSession, layout: Layout, least: int = 16) -> dict[str, i
             if kept is not None:
                 lines = lines.join(kept.select("entry").distinct(), "entry", "left_anti").select(*names(layers.ENTRY))
             fresh = _settled_entries(lines, fence)
-            for reader in READERS.get(folder, ()):
+            asked = tuple(r for r in OPTIONAL_READERS.get(folder, ()) if layers.exists(spark, checkpoint(layout, WRITERS[r])))
+            for reader in (*READERS.get(folder, ()), *asked):
                 read = _settled_entries(layers.read_entries(spark, layout.layer(reader)), fence)
                 seen = read.filter(F.col("source").isNotNull()).select(F.col("source").alias("entry")).distinct()
                 fresh = fresh.join(seen, "entry", "left_semi")

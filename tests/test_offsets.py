@@ -1,0 +1,72 @@
+"""Gaps of offsets and repeats of any age, against plain sets of numbers."""
+
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from eventlayers.streaming import offsets
+
+
+def sent(spark, *numbers, partition=0):
+    rows = [("t", partition, n) for n in numbers]
+    return spark.createDataFrame(rows, "topic string, partition int, offset long")
+
+
+def plain_gaps(numbers):
+    seen = sorted(set(numbers))
+    return {(a + 1, b - 1) for a, b in zip(seen, seen[1:]) if b - a > 1}
+
+
+def test_gaps_within_and_across_stripes(spark):
+    numbers = [0, 1, 2, 5, 5, 7, 8, 15, 16, 17, 40, 41, 47, 48, 49]
+    other = [3, 4, 5]
+    frame = sent(spark, *numbers, None).unionByName(sent(spark, *other, partition=1))
+    for stripe in (1, 4, 8, 1 << 20):
+        got = {(r.partition, r.first_missing, r.last_missing) for r in offsets.offset_gaps(frame, stripe).collect()}
+        assert got == {(0, *g) for g in plain_gaps(numbers)}
+        ends = {r.partition: tuple(r)[2:] for r in offsets.contiguous_offsets(frame, stripe).collect()}
+        assert ends == {0: (0, 3, 50, 5, 50 - len(set(numbers))), 1: (3, 6, 6, 0, 0)}
+
+
+def test_no_messages_have_no_gaps(spark):
+    assert offsets.offset_gaps(sent(spark).limit(0)).count() == 0
+    assert offsets.contiguous_offsets(sent(spark).limit(0)).count() == 0
+
+
+@given(st.lists(st.lists(st.integers(0, 60), max_size=12), max_size=6))
+def test_runs_hold_what_was_added(batches):
+    starts = ends = np.empty(0, np.int64)
+    seen: set[int] = set()
+    for batch in batches:
+        new = np.array(sorted(set(batch)), np.int64)
+        fresh = new[~offsets.held(starts, ends, new)]
+        assert set(fresh.tolist()) == set(batch) - seen
+        if len(fresh):
+            starts, ends = offsets.with_offsets(starts, ends, np.random.permutation(fresh))
+        seen |= set(batch)
+        assert {n for a, b in zip(starts, ends) for n in range(a, b + 1)} == seen
+        assert (starts[1:] > ends[:-1] + 1).all()
+
+
+def test_replays_of_any_age_are_dropped_and_the_state_is_runs(spark, tmp_path):
+    """Three batches: all but some offsets, a replay with what was missing, everything once more."""
+    numbers = list(range(1000))
+    late = [n for n in numbers if n % 100 == 50]
+    for batch in ([n for n in numbers if n not in late], [*numbers[:300], *late], [*numbers, *numbers]):
+        rows = sent(spark, *batch).withColumn("value", F.lit(b"v"))
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
+        topic = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "topic"))
+        query = (
+            offsets.dedupe_by_runs(topic, stripe=256)
+            .writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True)
+            .start(str(tmp_path / "rows"), format="parquet")
+        )
+        query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "rows"))
+    assert sorted(r.offset for r in got.collect()) == numbers and got.columns == rows.columns
+    state = spark.read.format("statestore").option("stateVarName", "runs").load(str(tmp_path / "checkpoint"))
+    kept = state.select("key._stripe", "value.starts", "value.ends").collect()
+    assert sorted((r["_stripe"], r.starts, r.ends) for r in kept) == [
+        (0, [0], [255]), (1, [256], [511]), (2, [512], [767]), (3, [768], [999]),
+    ]
