@@ -57,7 +57,8 @@ def count_tokens(
     version = tokenizer_version(path)
     cache_path = cache_path or f"{shared_dir(spark)}/eventlayers/token-counts/{version}"
     keyed = id_and_text(docs).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    texts = keyed.select("digest", "text").dropDuplicates(["digest", "text"])
+    # Dealt by the digest alone, as the cache is: texts move once, one of each digest from a task.
+    texts = keyed.select("digest", "text").dropDuplicates(["digest"])
     if _exists(spark, cache_path):
         texts = texts.join(read_cache(spark, cache_path, version), "digest", "left_anti")
 
