@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventlayers.llm.common import chunks, fold_of, id_and_text, materialise, row_schema, sum_by, text_bytes
+from eventlayers.llm.common import chunks, fold_of, id_and_text, lean_worker, materialise, row_schema, sum_by, text_bytes
 
 ORDER = 5
 END = 256
@@ -80,6 +80,7 @@ def dealt(docs: DataFrame, group_bytes: int, folds: int, held: int) -> DataFrame
     groups = max(1, -(-total // group_bytes), min(GROUPS, -(-total // min(LEAST_BYTES, group_bytes))))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
             part = batch.column(3).to_numpy()
@@ -134,6 +135,7 @@ def group_statistics(rows: DataFrame) -> DataFrame:
     """`part, code, word, n`: what each group asks for, with its training counts; the empty word is the end."""
 
     def count(table: pa.Table) -> pa.Table:
+        lean_worker()
         words, unseen = Counter({b"": 0}), set()
         keys, at = np.empty(symbols_of(table), np.int64), 0
         for docs, texts in unpacked(table):
@@ -150,8 +152,6 @@ def group_statistics(rows: DataFrame) -> DataFrame:
         words.update(dict.fromkeys(unseen, 0))
         codes, counts = distinct_codes(keys)
         del keys
-        # Workers live on; what they do not use goes back to the machine.
-        pa.default_memory_pool().release_unused()
         part = table.column("part")[0].as_py()
         return pa.table({
             "part": pa.array(np.full(len(codes) + len(words), part, np.int32)),
@@ -277,6 +277,7 @@ def score_texts(
     few = docs.sparkSession.sparkContext.broadcast((low, hot, hot_counts))
 
     def shard_probabilities(table: pa.Table) -> pa.Table:
+        lean_worker()
         codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy().astype(np.float64)
         return pa.table({"code": codes, "value": log_probabilities(codes, counts, *few.value)})
 
@@ -293,6 +294,7 @@ def score_texts(
     schema = row_schema(docs, rest)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        lean_worker()
         code, value = answers.column("code").to_numpy(), answers.column("value").to_numpy()
         is_word = code == WORD
         # Zero for words that training has not seen, and above zero for the others.
@@ -319,7 +321,6 @@ def score_texts(
                 "base_score": sum_by(gains, many) + end - floor * many_and_end,
                 "score": np.bincount(got & (CHUNK_DOCS - 1), found, len(texts)),
             }, schema=out[0].schema))
-        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(score, schema)
