@@ -41,12 +41,26 @@ def row_schema(docs: DataFrame, rest: str) -> T.StructType:
     return T.StructType([id_field(docs), *T.StructType.fromDDL(rest).fields])
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(frame: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+    """Write to the shared folder and read back: cuts lineage and survives lost executors.
+
+    Nothing reads the shuffles of the write again, so their files go with it and not when the driver collects garbage.
+    """
     spark = frame.sparkSession
     path = scratch_dir(spark, name)
     schema = frame.schema
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(schema).parquet(path)
 
 
