@@ -1,10 +1,12 @@
 """Column expressions: text, URL and time rules. All JVM-side, no UDFs."""
 
 from eventlayers.functions.text import (
+    KEY_PARTS,
     basename,
     canonical_uuid,
     is_missing,
     keep_where,
+    key_part,
     nan_to_null,
     strip_text,
     truncate_error,
@@ -18,6 +20,7 @@ from eventlayers.functions.times import (
 from eventlayers.functions.urls import has_valid_host, url_hierarchy, with_url_parts
 
 __all__ = [
+    "KEY_PARTS",
     "basename",
     "canonical_uuid",
     "dated_object_name",
@@ -27,6 +30,7 @@ __all__ = [
     "iso_parts",
     "iso_timestamp",
     "keep_where",
+    "key_part",
     "nan_to_null",
     "strip_text",
     "truncate_error",

@@ -63,3 +63,12 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     projections that compute them, and they would be computed once more above it.
     """
     return df.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept")).drop("_kept")
+
+
+#: Into so many parts the lookup keys of a mart are dealt.
+KEY_PARTS = 256
+
+
+def key_part(key: Column | str) -> Column:
+    """The part of a lookup key: the same in what deals rows to files, in commit entries and in lookups."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlayers.functions import nan_to_null
+from eventlayers.functions import key_part, nan_to_null
 from eventlayers.schemas import MART_PAGE_VIEW, MART_PRODUCT_EVENT, names
 
 # The mart's declared lengths, required columns and insert chunk.
@@ -58,14 +58,14 @@ def mart_rejects(gold: DataFrame, table: str) -> DataFrame:
     return classify(gold, table).filter("reason IS NOT NULL").drop("created_at")
 
 
-def clustered(rows: DataFrame, *partition_by: str, sort_key: str, parts: int = 256) -> DataFrame:
+def clustered(rows: DataFrame, *partition_by: str, sort_key: str) -> DataFrame:
     """Rows gathered per output folder and part of the lookup keys, and sorted inside each file by the key.
 
     REBALANCE lets adaptive execution split a folder that holds most of the batch and join
     small ones, so one busy day is many tasks; a key's rows of a day share a file, and the key
     filters of the other files keep a lookup out of them.
     """
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(sort_key), F.lit(parts)))
+    dealt = rows.withColumn("_part", key_part(sort_key))
     return dealt.hint("rebalance", *partition_by, "_part").sortWithinPartitions(*partition_by, sort_key).drop("_part")
 
 

@@ -413,6 +413,10 @@ ORACLES: dict[str, str] = {
     "stream_replay_no_duplicates": _STREAM_COUNTS,
     "stream_mart_page_views": f"{_STREAM} SELECT * FROM good_views",
     "stream_mart_product_events": f"{_STREAM} SELECT * FROM good_products",
+    "stream_user_sessions": f"""{_STREAM} SELECT session_id, min(event_time) AS first_event_time,
+          max(event_time) AS last_event_time, count(*) AS page_views
+        FROM good_views WHERE user_id = 'u7' GROUP BY session_id
+        ORDER BY first_event_time DESC, session_id LIMIT 20""",
     "stream_replay_after_archive": _STREAM_COUNTS,
     "lake_compacted": _STREAM_COUNTS,
     "stream_tasks": f"""{_STREAM}, {_TASK_ROWS} SELECT layer, rows FROM task_rows""",

@@ -602,6 +602,12 @@ def stream_mart_page_views(spark, sf):
     return rows.drop("created_at", "event_date")
 
 
+def stream_user_sessions(spark, sf):
+    """One user's sessions from the mart files that the commit entries name for the user."""
+    layout = _drained(spark, sf, tables=(gold.PAGE_VIEWS,))
+    return analytics.user_sessions(jobs.lookup(spark, layout, gold.PAGE_VIEWS, "u7"), "u7")
+
+
 def stream_mart_product_events(spark, sf):
     layout = _drained(spark, sf, tables=(gold.PRODUCT_EVENTS,))
     rows = jobs.read_mart(spark, layout, gold.PRODUCT_EVENTS)
@@ -737,6 +743,6 @@ QUERIES: dict[str, Query] = {
         dim_users, dim_sessions, fact_events, skipped_sessions, skipped_count,
         layer_stats, layer_files, stream_dedupe, stream_dedupe_runs, stream_rollups, offset_gaps, contiguous_offsets,
         stream_layer_counts, stream_replay_no_duplicates, stream_replay_after_archive, lake_compacted, stream_mart_page_views,
-        stream_mart_product_events, stream_tasks, stream_run_full, archive_settled,
+        stream_mart_product_events, stream_user_sessions, stream_tasks, stream_run_full, archive_settled,
     )
 }

@@ -17,14 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlayers.functions import key_part
 from eventlayers.schemas import names, plus
 from eventlayers.sources import files, manifests
 
 # More route x date outputs than this per task and Spark sorts the task's rows instead.
 _OPEN_FILES = "32"
 
-# A line of an entry: a file of the batch (with the first and last event time as texts), or in `source` the name
-# of an entry that the batch has read.
+# A line of an entry: a file of the batch (with the first and last event time as texts, and in marts the parts of the
+# lookup keys that it holds, of which there are `functions.KEY_PARTS` at most), or in `source` the name of an entry
+# that the batch has read.
 COMMIT = T.StructType(
     [
         T.StructField("file", T.StringType()),
@@ -34,6 +36,7 @@ COMMIT = T.StructType(
         T.StructField("first_time", T.StringType()),
         T.StructField("last_time", T.StringType()),
         T.StructField("source", T.StringType()),
+        T.StructField("parts", T.ArrayType(T.IntegerType())),
     ]
 )
 ENTRY = plus(COMMIT, entry=T.StringType())
@@ -129,6 +132,24 @@ def read_routes(spark: SparkSession, path: str, row: T.StructType, lines: DataFr
     )
 
 
+def read_files(
+    spark: SparkSession, path: str, row: T.StructType, lines: DataFrame, date: str | None = None
+) -> DataFrame:
+    """The rows of the files that the lines name; other files are neither listed nor opened.
+
+    The names pass through the driver: choose few by what the lines say of the files.
+    """
+    found = [r["file"] for r in lines.select("file").distinct().collect()]
+    if not found:
+        return spark.createDataFrame([], layer_schema(row, date))
+    return (
+        spark.read.schema(layer_schema(row, date))
+        .option("ignoreCorruptFiles", "false")
+        .option("basePath", path)
+        .parquet(*(f"{path.rstrip('/')}/{f}" for f in found))
+    )
+
+
 def relative_name(file_path: Column, root: str) -> Column:
     """The object name of a file: its path below the layer's folder."""
     folder = root.rstrip("/").split("://")[-1]
@@ -254,32 +275,39 @@ def publish_batch(
     sources: DataFrame | None = None,
     timed: bool = False,
     check: Callable[[], None] = lambda: None,
+    key: str | None = None,
     **options: str,
 ) -> str:
     """Write a batch to its folder, over what a crash may have left there, and commit it; the name of its entry.
 
     `sources` has the names of the entries read (column `entry`). `timed` says that the rows have an event time, whose
-    bounds the entry keeps. `check` may refuse, before the write and before the commit.
+    bounds the entry keeps. `check` may refuse, before the write and before the commit. `key` is a column by which rows
+    are looked up: the entry keeps which parts of it each file has.
     """
     session = rows.sparkSession
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
     folder = batch_folder(root, writer, batch_id)
     check()
     rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(folder)
-    return commit(session, root, writer, batch_id, sources, timed, check)
+    return commit(session, root, writer, batch_id, sources, timed, check, key)
 
 
-def batch_lines(spark: SparkSession, root: str, writer: str, batch_id: int, timed: bool) -> DataFrame:
-    """The lines of a written batch's files: counts come from their footers, times from one column."""
-    kept = "route string" + (", event_time timestamp_ntz" if timed else "")
+def batch_lines(
+    spark: SparkSession, root: str, writer: str, batch_id: int, timed: bool, key: str | None = None
+) -> DataFrame:
+    """The lines of a written batch's files: counts come from their footers, times and parts of keys from a column each."""
+    kept = "route string" + (", event_time timestamp_ntz" if timed else "") + (f", {key} string" if key else "")
     found = spark.read.schema(kept).parquet(batch_folder(root, writer, batch_id))
     time = F.col("event_time") if timed else F.lit(None).cast("timestamp_ntz")
-    of_file = found.select("route", time.alias("t"), "_metadata.file_path", "_metadata.file_size")
+    part = key_part(key) if key else F.lit(None).cast("int")
+    of_file = found.select("route", time.alias("t"), part.alias("p"), "_metadata.file_path", "_metadata.file_size")
+    parts = F.sort_array(F.collect_set("p")) if key else F.lit(None).cast("array<int>")
     return of_file.groupBy("file_path", "file_size", "route").agg(
-        F.count("*").alias("rows"), F.min("t").cast("string").alias("first_time"), F.max("t").cast("string").alias("last_time")
+        F.count("*").alias("rows"), F.min("t").cast("string").alias("first_time"), F.max("t").cast("string").alias("last_time"),
+        parts.alias("parts"),
     ).select(
         relative_name(F.col("file_path"), root).alias("file"), F.col("file_size").alias("bytes"), "route", "rows",
-        "first_time", "last_time", F.lit(None).cast("string").alias("source"),
+        "first_time", "last_time", F.lit(None).cast("string").alias("source"), "parts",
     )
 
 
@@ -291,6 +319,7 @@ def commit(
     sources: DataFrame | None = None,
     timed: bool = False,
     check: Callable[[], None] = lambda: None,
+    key: str | None = None,
 ) -> str:
     """Make a written batch count, by one object that appears as a whole."""
     entry = f"{writer}-{batch_id}"
@@ -300,7 +329,7 @@ def commit(
     if sources is not None:
         read = {**nothing, "source": F.col("entry")}
         lines = sources.select("entry").distinct().select(*(c.alias(n) for n, c in read.items())).unionByName(lines)
-    lines = batch_lines(spark, root, writer, batch_id, timed).unionByName(lines)
+    lines = batch_lines(spark, root, writer, batch_id, timed, key).unionByName(lines)
     hidden = f"{commit_folder(root)}/.{entry}"
     lines.coalesce(1).write.mode("overwrite").json(hidden)
     part = next(n for n in files.names(spark, hidden) if n.startswith("part-"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlayers.functions import key_part
 from eventlayers.operators import archive, gold, ledger, marts, monitoring, rollups, runs, silver
 from eventlayers.schemas import (
     BRONZE,
@@ -222,6 +223,7 @@ def _start(
     trigger: dict | None = None,
     after_write: Callable[[int], None] | None = None,
     lease: leases.Lease | None = None,
+    key: str | None = None,
 ) -> Job:
     """Start one hop. `counts` names the route that each counter counts; `after_write` runs between the writes and the
     commit of a batch.
@@ -263,7 +265,7 @@ def _start(
         if entry is None:
             own = layers.tag(writer, lease.number if lease else None)
             entry = layers.publish_batch(
-                transform(batch), root, own, batch_id, ["route", date], sources, timed, check, **(options or {})
+                transform(batch), root, own, batch_id, ["route", date], sources, timed, check, key, **(options or {})
             )
         line |= layers.read_entry(session, root, entry).agg(*(c.alias(n) for n, c in measured.items())).first().asDict()
         if source:
@@ -352,7 +354,7 @@ def load_mart(spark: SparkSession, layout: Layout, table: str, **hooks) -> Job:
     return _start(
         spark, _Source(table, row), layout, f"load_{target}", target, transform,
         {counter: ROWS}, "gold_rows",
-        options=layers.lookup_options(sort_key), **hooks,
+        options=layers.lookup_options(sort_key), key=sort_key, **hooks,
     )
 
 
@@ -468,6 +470,36 @@ def read_mart(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return rows.select(*names(row), "event_date")
 
 
+def _or_unknown(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(True))
+
+
+def lookup(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    key: str,
+    since: datetime | None = None,
+    before: datetime | None = None,
+) -> DataFrame:
+    """The mart rows of one lookup key (user of page views, product of product events), with event times from `since` on and
+    below `before` (UTC wall clocks, as the mart has them).
+
+    The commit entries say which parts of the keys and which times each file has, so files are chosen before any is
+    listed or opened: about one part in `functions.KEY_PARTS` of a large mart. Files of entries that do not say are read.
+    """
+    _, row, target, sort_key, _ = _MARTS[table]
+    root = layout.layer(target)
+    rows, lines = F.col(sort_key) == F.lit(key), _or_unknown(F.array_contains("parts", key_part(F.lit(key))))
+    for bound, last, test in ((since, "last_time", Column.__ge__), (before, "first_time", Column.__lt__)):
+        if bound is not None:
+            at = F.lit(bound.isoformat(" ")).cast("timestamp_ntz")
+            rows &= test(F.col("event_time"), at)
+            lines &= _or_unknown(test(F.col(last).cast("timestamp_ntz"), at))
+    chosen = layers.read_entries(spark, root).filter((F.col("route") == ROWS) & lines)
+    return layers.read_files(spark, root, row, chosen, "event_date").filter(rows).select(*names(row), "event_date")
+
+
 def stats(spark: SparkSession, layout: Layout) -> DataFrame:
     """Rows and files per active layer; zero for those that are empty or not there yet.
 

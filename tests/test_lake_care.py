@@ -249,3 +249,62 @@ def test_manifests_merge_levels_and_switch_once(spark, tmp_path, monkeypatch):
     with pytest.raises(leases.LeaseLost):
         manifests.add(root, spark.createDataFrame([(99,)], "n int"), [], lambda rows: rows, refuse)
     assert manifests.current(spark, root)[0] == 10
+
+
+def test_lookups_open_only_the_files_that_entries_name(spark, tmp_path):
+    """Key filters and time bounds of the entries choose the files; all others may be gone."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout = filled(spark, tmp_path, 40, batches=2)
+        jobs.run_full(spark, layout)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    root = Path(layout.layer("mart_page_views"))
+    rows = jobs.read_mart(spark, layout, gold.PAGE_VIEWS).cache()
+    users = sorted({r.user_id for r in rows.select("user_id").collect()})[:3]
+    middle = rows.agg(F.percentile_approx(F.col("event_time").cast("timestamp"), 0.5)).first()[0]
+    want = {}
+    for user in users:
+        own = rows.filter(F.col("user_id") == user)
+        later = own.filter(F.col("event_time") >= F.lit(middle).cast("timestamp_ntz"))
+        earlier = own.filter(F.col("event_time") < F.lit(middle).cast("timestamp_ntz"))
+        want[user] = [sorted(map(tuple, x.collect()), key=repr) for x in (own, later, earlier)]
+        assert want[user][0]
+    # The session's zone is UTC, so the wall clock is the time.
+    at = datetime.fromisoformat(spark.range(1).select(F.lit(middle).cast("string")).first()[0])
+    every = {str(f.relative_to(root)) for f in root.rglob("*.parquet")}
+
+    def found(user, **bounds):
+        return sorted(map(tuple, jobs.lookup(spark, layout, gold.PAGE_VIEWS, user, **bounds).collect()), key=repr)
+
+    named = {u: jobs.lookup(spark, layout, gold.PAGE_VIEWS, u).inputFiles() for u in users}
+    for user in users:
+        assert 0 < len(named[user]) < len(every)
+        assert [found(user), found(user, since=at), found(user, before=at)] == want[user]
+    assert len(jobs.lookup(spark, layout, gold.PAGE_VIEWS, users[0], since=at).inputFiles()) < len(every)
+    assert found("nobody") == []
+    rows.unpersist()
+    keep = {f.split(str(root) + "/", 1)[1] for f in named[users[0]]}
+    for f in every - keep:
+        (root / f).unlink()
+    assert found(users[0]) == want[users[0]][0]
+
+
+def test_lookups_read_files_of_entries_without_key_parts(spark, tmp_path):
+    layout = filled(spark, tmp_path, 12)
+    jobs.run_full(spark, layout)
+    rows = jobs.read_mart(spark, layout, gold.PAGE_VIEWS)
+    user = rows.first().user_id
+    for entry in Path(layout.layer("mart_page_views")).glob("_commits/*.json"):
+        lines = [json.loads(x) for x in entry.read_text().splitlines()]
+        assert all(x["parts"] == sorted(set(x["parts"])) for x in lines if "file" in x)
+        crc = entry.with_name(f".{entry.name}.crc")
+        if crc.exists():
+            crc.unlink()
+        entry.write_text("".join(json.dumps({k: v for k, v in x.items() if k not in ("parts", "last_time", "first_time")}) + "\n" for x in lines))
+    got = jobs.lookup(spark, layout, gold.PAGE_VIEWS, user, since=datetime(2000, 1, 1), before=datetime(2100, 1, 1))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, rows.filter(F.col("user_id") == user).collect()), key=repr)
+    jobs.compact(spark, layout, least=1)
+    assert jobs.lookup(spark, layout, gold.PAGE_VIEWS, user).count() == got.count()
+    empty = jobs.Layout(str(tmp_path / "none"))
+    assert jobs.lookup(spark, empty, gold.PAGE_VIEWS, user).count() == 0
