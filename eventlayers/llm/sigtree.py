@@ -116,17 +116,34 @@ def signed(s: np.ndarray) -> np.ndarray:
 def count_rows(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
     """A task's counts as compressed slices."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    return list(range(SLICES)), [squeeze(x.tobytes()) for x in counts.reshape(SLICES, -1)]
+    return list(range(SLICES)), [squeeze(x.astype(np.uint64).tobytes()) for x in counts.reshape(SLICES, -1)]
 
 
-def summed_counts(slices: DataFrame) -> np.ndarray:
-    """The sums of all tasks' slices, as 8-bit logarithms (0 for none, else 1 + 4 log2): a fixed number of bytes."""
+def summed_counts(slices: DataFrame, at_once: int = 256) -> np.ndarray:
+    """The sums of all tasks' slices, as 8-bit logarithms (0 for none, else 1 + 4 log2): a fixed number of bytes.
 
-    def add(table: pa.Table) -> pa.Table:
+    `slices` is read several times and should be a written table. Where a slice has more than `at_once` rows, they are
+    dealt to lots of about as many and summed in rounds, so that no task holds the rows of all tasks.
+    """
+
+    def total_of(table: pa.Table) -> np.ndarray:
         grow = zstandard.ZstdDecompressor().decompress
-        total = 0
-        for x in table.column("counts").to_pylist():
-            total = total + np.frombuffer(grow(x), np.uint32).astype(np.float64)
+        total = np.zeros((1 << COUNT_BITS) // SLICES, np.uint64)
+        for x in table.column("counts"):
+            total += np.frombuffer(grow(x.as_py()), np.uint64)
+        return total
+
+    def add_some(table: pa.Table) -> pa.Table:
+        data = zstandard.ZstdCompressor(level=1).compress(total_of(table).tobytes())
+        return pa.table({"slice": table.column("slice")[:1], "counts": [data]})
+
+    while (rows := slices.count()) > SLICES * at_once:
+        lot = F.pmod(F.xxhash64("counts"), F.lit(-(-rows // (SLICES * at_once))))
+        some = slices.groupBy("slice", lot.alias("lot")).applyInArrow(add_some, "slice int, counts binary")
+        slices = materialise(some, "counts")
+
+    def add(table: pa.Table) -> pa.Table:
+        total = total_of(table).astype(np.float64)
         logs = np.where(total > 0, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0).clip(0, 255).astype(np.uint8)
         return pa.table({"slice": table.column("slice")[:1], "counts": [logs.tobytes()], "n": [float(total.sum())]})
 
@@ -413,7 +430,8 @@ def of_classes(docs: DataFrame, wanted: DataFrame, schema: str, describe) -> Dat
         yield pa.RecordBatch.from_arrays([pa.array(index, pa.int32()), pa.array(data, pa.binary())], names=["slice", "counts"])
 
     # A filter of fixed size: it spares most classes the way where few are wanted; the join decides.
-    table = spark.sparkContext.broadcast(summed_counts(wanted.mapInArrow(slices, "slice int, counts binary")) > 0)
+    counted = materialise(wanted.mapInArrow(slices, "slice int, counts binary"), "counts")
+    table = spark.sparkContext.broadcast(summed_counts(counted) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = table.value

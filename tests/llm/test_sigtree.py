@@ -95,6 +95,21 @@ def test_one_row_of_each_component_stays(spark, rows):
     assert {i for i, _ in worded} == roots
 
 
+def test_counts_of_many_tasks_are_summed_in_rounds(spark):
+    """Any number of tasks, some with the same counts: rounds of a few rows give what one round gives."""
+    rng = np.random.default_rng(5)
+    each = [rng.integers(0, 50, 1 << sigtree.COUNT_BITS, dtype=np.uint32) * (rng.random(1 << sigtree.COUNT_BITS) < 0.01) for _ in range(3)]
+    each = [*each, each[0], each[0]]
+    rows = [r for c in each for r in zip(*sigtree.count_rows(c.astype(np.uint32)))]
+    slices = spark.createDataFrame(rows, "slice int, counts binary").repartition(8)
+    total = sum(c.astype(np.float64) for c in each)
+    usual = 1 + np.floor(4 * np.log2(total.mean() + 6 * np.sqrt(total.mean()) + 8))
+    logs = np.where(total > 0, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0)
+    want = np.where(logs > usual, logs, total > 0).astype(np.uint8)
+    for at_once in (2, 256):
+        assert (sigtree.summed_counts(slices, at_once) == want).all()
+
+
 def test_frequent_shingles_come_last(spark, rows):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     _, frequent = sigtree.shingle_sets(frame)
