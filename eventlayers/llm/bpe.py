@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from eventlayers.llm.common import chunks, id_and_text, row_schema, text_bytes
+from eventlayers.llm.common import KEPT, chunks, id_and_text, row_schema, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Entries of each of the two generations of a worker's cache, and the longest part that is kept there.
@@ -168,14 +168,11 @@ class Encoder:
         return data.decode("utf-8", "replace").encode()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file, made once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if path not in KEPT:
+        KEPT[path] = Encoder(path)
+    return KEPT[path]
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -42,6 +42,7 @@ from eventlayers.llm.common import (
     chunks,
     finish,
     id_and_text,
+    lean_worker,
     materialise,
     powers,
     row_schema,
@@ -127,6 +128,7 @@ def summed_counts(slices: DataFrame, at_once: int = 256) -> np.ndarray:
     """
 
     def total_of(table: pa.Table) -> np.ndarray:
+        lean_worker()
         grow = zstandard.ZstdDecompressor().decompress
         total = np.zeros((1 << COUNT_BITS) // SLICES, np.uint64)
         for x in table.column("counts"):
@@ -335,6 +337,7 @@ def shingle_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """`doc_id, n_shingles, cls` (null for no shingles) of every row, and how frequent hashes of shingles are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         counts, kind = counter(), None
         for batch in batches:
             kind = batch.column(0).type
@@ -370,6 +373,7 @@ def shingle_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 def new_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, int, np.ndarray]]]:
     """Text, class and shingles of the classes that a task has not met before, in lists of a few texts."""
+    lean_worker()
     seen: set[int] = set()
     for batch in batches:
         texts = text_bytes(batch.column(0))
@@ -423,6 +427,7 @@ def of_classes(docs: DataFrame, wanted: DataFrame, schema: str, describe) -> Dat
     types = to_arrow_schema(T.StructType.fromDDL(schema)).types
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         counts = counter()
         for batch in batches:
             count(counts, batch.column(0).to_numpy().view(np.uint64))
@@ -482,6 +487,7 @@ def candidate_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_b
     rows = cells.join(marks, "cls").withColumn("lot", F.pmod("cell", F.lit(lots)))
 
     def run(table: pa.Table) -> pa.Table:
+        lean_worker()
         size, side = table.column("size").to_numpy(), table.column("side").to_numpy()
         cls, first = table.column("cls").to_numpy(), table.column("first").to_numpy().view(np.uint64)
         bits = table.column("bits").combine_chunks()
@@ -511,6 +517,7 @@ def class_links(docs: DataFrame, buckets: DataFrame, bucket_rows: int, lot_bytes
     rows = cells.join(texts, "cls").select("cell", "cls", "side", "words", F.pmod("cell", F.lit(lots)).alias("lot"))
 
     def run(table: pa.Table) -> pa.Table:
+        lean_worker()
         cls, side = table.column("cls").to_numpy(), table.column("side").to_numpy()
         words = table.column("words").combine_chunks()
         grow = zstandard.ZstdDecompressor().decompress
@@ -582,6 +589,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     key, at = f"_c{names.index('doc_id')}", names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             texts = text_bytes(batch.column(at))
             for part in chunks([len(t) for t in texts], CHUNK_BYTES):

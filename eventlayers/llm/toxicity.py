@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlayers.llm.common import WordTable, chunks, fold_of, hash_words, id_and_text, row_schema, text_bytes
+from eventlayers.llm.common import WordTable, chunks, fold_of, hash_words, id_and_text, lean_worker, row_schema, text_bytes
 
 #: Labelled documents in the training sample (half of them toxic where there are enough): the driver gets no more.
 SAMPLE_ROWS = 3_000
@@ -333,6 +333,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, folds: i
 
 def scored(net: Network, text_at: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Parts of the batches with the score of each row's text."""
+    lean_worker()
     table = WordTable(net.projected)
     for batch in batches:
         texts = text_bytes(batch.column(text_at))
