@@ -282,10 +282,11 @@ def publish_batch(
 
     `sources` has the names of the entries read (column `entry`). `timed` says that the rows have an event time, whose
     bounds the entry keeps. `check` may refuse, before the write and before the commit. `key` is a column by which rows
-    are looked up: the entry keeps which parts of it each file has.
+    are looked up: the entry keeps which parts of it each file has, and the rows are sorted by `partition_by` and it.
     """
     session = rows.sparkSession
-    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", _OPEN_FILES)
+    # Rows with a lookup key come sorted by folder, so a task needs one open file, with its key filters, at a time.
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", "0" if key else _OPEN_FILES)
     folder = batch_folder(root, writer, batch_id)
     check()
     rows.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(folder)
